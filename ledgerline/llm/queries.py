@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, token_files
+from . import chat, decontamination, html_main, mtree, packing, quality, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,10 +17,33 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), with_ids=False).drop("ids")
 
 
+def op3_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.extract(_table(spark, sf_dir, "pages"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op4_token_files)}
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    same = r"\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", same), (-7, 1, "assistant", same)], "conv_id long, turn long, role string, text string")
+    return chat.round_trip(rows.unionAll(more))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op9_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_k(_table(spark, sf_dir, "embeddings"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op3_html_main, op4_token_files, op5_quality, op6_chat, op7_decontamination, op9_mtree)}
 
 ORACLE_SQL: dict[str, str] = {}
