@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontamination, html_main, mtree, packing, quality, token_files
+from . import chat, decontamination, html_main, mtree, near_dup, packing, pii, quality, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), with_ids=False).drop("ids")
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.spans(_table(spark, sf_dir, "documents"))
+
+
 def op3_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_main.extract(_table(spark, sf_dir, "pages"))
 
@@ -40,10 +44,14 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.classes(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "kept")
+
+
 def op9_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mtree.top_k(_table(spark, sf_dir, "embeddings"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op3_html_main, op4_token_files, op5_quality, op6_chat, op7_decontamination, op9_mtree)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op2_pii, op3_html_main, op4_token_files, op5_quality, op6_chat, op7_decontamination, op8_near_dup, op9_mtree)}
 
 ORACLE_SQL: dict[str, str] = {}
