@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontamination, html_main, mtree, near_dup, packing, pii, quality, token_files
+from . import chat, decontamination, html_main, mtree, near_dup, packing, pii, quality, substring_dedup, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +52,10 @@ def op9_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mtree.top_k(_table(spark, sf_dir, "embeddings"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op2_pii, op3_html_main, op4_token_files, op5_quality, op6_chat, op7_decontamination, op8_near_dup, op9_mtree)}
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(_table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op2_pii, op3_html_main, op4_token_files, op5_quality, op6_chat, op7_decontamination, op8_near_dup, op9_mtree, op10_substring_dedup)}
 
 ORACLE_SQL: dict[str, str] = {}
