@@ -17,7 +17,6 @@ without words match nothing; an empty benchmark leaves every document clean.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .store import written
-from .textbytes import LOWER_VALUES, chunks, fingerprints, owners, prefix_sums, ranges, word_bounds
+from .textbytes import LOWER_VALUES, chunks, fingerprints, owners, prefix_sums, word_bounds
 
 WINDOW = 10
 #: Benchmark words that are searched for in one pass (about 100 bytes each in every task); a larger benchmark takes more passes.
@@ -44,6 +43,18 @@ def _words(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
         yield row, end, fingerprints(prefix_sums(data, LOWER_VALUES), start, stop), first
 
 
+def _shard(ids: pa.Array, words: np.ndarray, first: np.ndarray) -> dict[str, bytes]:
+    """The binary fields of one shard."""
+    order = np.argsort(words, kind="stable")
+    position = (order + owners(first)[order]).astype(np.int32)
+    terms, counts = np.unique(words, return_counts=True)
+    fields = {
+        "doc_ids": ids.cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False), "null_ids": ids.is_null().to_numpy(zero_copy_only=False), "n_words": np.diff(first).astype(np.int32),
+        "terms": terms, "counts": counts.astype(np.int32), "steps": np.diff(position, prepend=np.int32(0)).astype(np.int32),
+    }
+    return {k: x.tobytes() for k, x in fields.items()}
+
+
 def build_index(docs: DataFrame) -> DataFrame:
     """INDEX_SCHEMA: a row is a shard.  Word k of the shard's i-th document stands at position k + i (one position stays
     empty between documents, so no phrase crosses them); the lists of the sorted terms follow one another as steps."""
@@ -52,13 +63,8 @@ def build_index(docs: DataFrame) -> DataFrame:
         part, number = TaskContext.get().partitionId(), 0
         for batch in batches:
             for row, end, words, first in _words(batch.column(1)):
-                ids = batch.column(0).slice(row, end - row)
-                order = np.argsort(words, kind="stable")
-                position = (order + owners(first)[order]).astype(np.int32)
-                terms, counts = np.unique(words, return_counts=True)
-                steps = np.diff(position, prepend=np.int32(0)).astype(np.int32)
-                fields = [ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), ids.is_null().to_numpy(zero_copy_only=False), np.diff(first).astype(np.int32), terms, counts.astype(np.int32), steps]
-                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([number], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in fields)], ["part", "shard", "doc_ids", "null_ids", "n_words", "terms", "counts", "steps"])
+                fields = _shard(batch.column(0).slice(row, end - row), words, first)
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([number], pa.int32()), *(pa.array([x], pa.binary()) for x in fields.values())], ["part", "shard", *fields])
                 number += 1
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(index, INDEX_SCHEMA)
@@ -170,7 +176,7 @@ def _search_shard(row: dict, phrases: Phrases, slop: int) -> tuple[np.ndarray, n
 
 
 def search(index: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int = 0, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """HIT_SCHEMA: every document with its hit words (their numbers in the text) and the items whose windows occur."""
+    """index: stored rows of build_index().  HIT_SCHEMA: every document with its hit words (their numbers in the text) and the items whose windows occur."""
 
     def one(phrases: Phrases) -> DataFrame:
         sent = index.sparkSession.sparkContext.broadcast(phrases)
@@ -203,3 +209,21 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     hits = search(written(build_index(docs), "positional-index"), benchmark, window)
     n_hit = F.size("hits").cast("long")
     return hits.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The rows of docs in which no window of an item occurs, all columns as they were.  A task indexes each chunk of its
+    texts, searches the shard and passes on the clean rows, so the texts are neither shuffled nor joined back."""
+    for phrases in _blocks(benchmark, window, block_words):
+        sent = docs.sparkSession.sparkContext.broadcast(phrases)
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                names, keep = batch.schema.names, []
+                for row, end, words, first in _words(batch.column(names.index("text"))):
+                    _, _, _, per_doc = _search_shard(_shard(pa.nulls(end - row, pa.int64()), words, first), sent.value, 0)
+                    keep += [not len(hits) for hits, _ in per_doc]
+                yield batch.filter(pa.array(keep, pa.bool_()))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

@@ -47,6 +47,7 @@ NAMES = {
 }
 
 _TOKEN = re.compile(r"<!--|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>")
+_UNFINISHED = re.compile(r"</?[a-zA-Z]")
 _ATTRIBUTE = re.compile(r"([^\s=/\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _PART = re.compile(r"[a-z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
@@ -116,7 +117,7 @@ def parse(page: str) -> tuple[list[tuple[str, tuple[int, ...], bool, bool]], lis
     while at < n:
         m = _TOKEN.search(page, at)
         if not m:
-            line.append(page[at:])
+            line.append(_UNFINISHED.split(page[at:], maxsplit=1)[0])
             break
         line.append(page[at : m.start()])
         at = m.end()

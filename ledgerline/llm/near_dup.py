@@ -15,7 +15,8 @@ signatures and, unless that is far from the threshold, counts the shingles thems
 
 Defined results: a text of fewer than five words is one shingle of all its words; texts without words are the same only if
 equal, and null or empty texts are the copies of none; rows with the same doc_id are separate documents; the kept one of
-a class has the smallest doc_id (nulls last, then input order).
+a class has the smallest doc_id (nulls last, then input order), and a class is named by it, so classes whose smallest
+doc_ids are equal have the same name.
 """
 
 from __future__ import annotations
@@ -83,7 +84,7 @@ def dart_signatures(cells: np.ndarray, start: np.ndarray, k: int = K) -> np.ndar
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         nth = 0
         while len(alive):
-            dart = mix(cells[alive] + _U(nth + 1) * _U(0x9E3779B97F4A7C15))
+            dart = mix(cells[alive] + _U((nth + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
             rank = rank - np.log(((dart >> _U(11)).astype(np.float64) + 1) * 2.0**-53)
             kept = rank <= limit[of[alive]]
             alive, rank, dart = alive[kept], rank[kept], mix(dart[kept] + _U(1))
@@ -228,7 +229,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 def deduplicated(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """docs with one document of each class, all columns as they were."""
     kept = written(classes(docs, similarity).where("kept").select(F.col("doc_id").alias("kept_id"), F.col("fp").alias("kept_fp")), "near-kept")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")) & (F.xxhash64("text") == F.col("kept_fp"))
+    same = docs["doc_id"].cast("long").eqNullSafe(kept["kept_id"]) & (F.xxhash64(docs["text"]) == kept["kept_fp"])
     out = docs.join(kept, same, "left_semi")
     # rows with the same id and text are told apart by nothing: all but one of them go, unless they are empty
     twice = docs.groupBy("doc_id", F.xxhash64("text").alias("fp")).count().where("count > 1")

@@ -203,30 +203,29 @@ def _listed(spans: Column) -> Column:
     return F.array_join(F.array_distinct(F.transform(ordered, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string")))), ",")
 
 
-def _found(docs: DataFrame, *keep: str) -> DataFrame:
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return written(docs.select(*keep, candidates(text).alias("found")), "pii-candidates")
+def _found(docs: DataFrame, keep: Column) -> DataFrame:
+    return written(docs.select(keep, candidates(F.coalesce(F.col("text"), F.lit(""))).alias("found")), "pii-candidates")
 
 
 def spans(docs: DataFrame) -> DataFrame:
     """doc_id, n_<base kind>, base_sha256, spans for every row of docs(doc_id, text)."""
-    found = _found(docs, "doc_id")
+    found = _found(docs, F.col("doc_id"))
     out = found.withColumn("all", accepted(found)).withColumn("base", F.filter("found", lambda s: s["base"]))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == KINDS.index(kind))).cast("long").alias(f"n_{kind}")
     return out.select("doc_id", *map(count, BASE), F.sha2(_listed(F.col("base")), 256).alias("base_sha256"), _listed(F.col("all")).alias("spans"))
 
 
 def redacted(docs: DataFrame) -> DataFrame:
-    """docs with every span of its texts replaced by the kind in brackets, all columns as they were."""
-    found = _found(docs, *[F.col(f"`{c}`") for c in docs.columns])
+    """docs with every span of its texts replaced by the kind in brackets, all other columns as they were."""
+    found = _found(docs, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     order = F.array_sort(F.transform(accepted(found), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
+    names, text = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS]), F.col("row.text")
 
     def put(acc: Column, s: Column) -> Column:
-        gap = F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"])
+        gap = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
         fresh = s["start"] >= acc["at"]
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(fresh, F.concat(acc["out"], F.array(gap, F.element_at(names, s["kind"] + 1)))).otherwise(acc["out"]).alias("out"))
 
-    parts = F.aggregate(order, F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), put, lambda a: F.concat(a["out"], F.array(F.substring(F.col("text"), a["at"] + 1, F.length("text")))))
-    masked = F.when(F.size(order) > 0, F.array_join(parts, "")).otherwise(F.col("text"))
-    return found.select(*[masked.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    parts = F.aggregate(order, F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), put, lambda a: F.concat(a["out"], F.array(F.substring(text, a["at"] + 1, F.length(text)))))
+    masked = F.when(F.size(order) > 0, F.array_join(parts, "")).otherwise(text)
+    return found.select(*[masked.alias("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])

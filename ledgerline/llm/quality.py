@@ -226,16 +226,21 @@ class Gam:
         return 1 / (1 + np.exp(-margin))
 
 
-def fit(featured: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Gam:
-    known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out()).select(F.col("doc_id").cast("long").alias("labelled"), F.col("quality").cast("int").alias("quality"))
-    rows = featured.join(known, F.col("doc_id") == F.col("labelled")).orderBy(F.xxhash64("doc_id"), "quality").limit(sample).select("quality", *FEATURES).toPandas()
+def _known(labels: DataFrame, sample: int) -> DataFrame:
+    """labelled, quality of at most `sample` labelled rows outside the held-out fold: small enough to broadcast."""
+    usable = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
+    return usable.select(F.col("doc_id").cast("long").alias("labelled"), F.col("quality").cast("int").alias("quality")).orderBy(F.xxhash64("labelled"), "labelled", "quality").limit(sample)
+
+
+def fit(featured: DataFrame, known: DataFrame) -> Gam:
+    rows = featured.join(F.broadcast(known), F.col("doc_id") == F.col("labelled")).select("quality", *FEATURES).toPandas()
     return Gam(rows[FEATURES].to_numpy(float), rows["quality"].to_numpy())
 
 
 def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """doc_id, held_out, score, predicted of every row of docs, by a model fitted on labels(doc_id, quality)."""
     featured = written(featurised(docs), "quality-features")
-    model = fit(featured, labels, sample)
+    model = fit(featured, _known(labels, sample))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -247,7 +252,8 @@ def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFram
 
 def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs whose score is at least the threshold, all columns as they were."""
-    model = fit(written(featurised(docs.join(labels.select("doc_id").where("doc_id is not null").distinct(), "doc_id", "left_semi")), "quality-features"), labels, sample)
+    known = written(_known(labels, sample), "quality-labels")
+    model = fit(featurised(docs.join(F.broadcast(known), docs["doc_id"].cast("long") == known["labelled"], "left_semi")), known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
