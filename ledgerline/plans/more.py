@@ -89,7 +89,7 @@ def probabilistic_links(t: Tables):
 
 @query("K30,O23", None)
 def anchored_clusters(t: Tables):
-    l = t.lineitem.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("item"), (F.col("l_partkey") * 50 + F.col("l_quantity").cast("int")).alias("bucket"), F.col("l_orderkey").alias("at"), (F.col("l_quantity") * 30).alias("size"), F.col("l_extendedprice").alias("price"))
+    l = t.lineitem.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("item"), F.col("l_partkey").alias("bucket"), F.col("l_orderkey").alias("at"), (F.col("l_quantity") * 30).alias("size"), F.col("l_extendedprice").alias("price"))
     return linkage.anchored_clusters(l, "bucket", "at", "item", "size", "price")
 
 
