@@ -37,8 +37,9 @@ from .textbytes import LOWER_VALUES, VALUES, chunks, fingerprints, mix, owners,
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 28, 5
 K = BANDS * ROWS
-#: Leaders that a bucket's members are compared with in one round.
-LEADERS = 3
+#: Leaders that a bucket's members are compared with in the first round, and how many times as many in each later one:
+#: what is left then is little, and mostly alike in nothing, so each would become a leader anyway.
+LEADERS, MORE_LEADERS = 3, 8
 #: Estimates beyond these, four to five standard deviations from the threshold, need no exact count.
 SURE_NOT, SURE = 0.62, 0.95
 
@@ -178,17 +179,18 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     all_ = written(signatures(docs), "near-signatures")
     key = ["digest", "digest2", "shingles"]
     texts = written(all_.groupBy(*key).agg(F.min("uid").alias("uid"), F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "uid")).alias("first")), "near-texts")
-    nodes = written(all_.join(texts.select("uid"), "uid", "left_semi").select("uid", "signature", "cells", "bands"), "near-nodes")
-    met = nodes.select("uid", F.explode("bands").alias("bucket"))
+    # one document stands for each text; signatures are looked up in the table of all
+    nodes = all_
+    met = all_.select("uid", "bands").join(texts.select("uid"), "uid", "left_semi").select("uid", F.explode("bands").alias("bucket"))
     shared = written(met.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "near-shared")
     members = written(met.join(shared, "bucket"), "near-members")
     degree = members.groupBy("uid").agg(F.sum("n").alias("degree"))
     members = written(members.drop("n").join(degree, "uid"), "near-members")
     links = grey = None
-    scores = None
+    scores, most = None, LEADERS
     while True:
         best = Window.partitionBy("bucket").orderBy(F.col("degree").desc(), "uid")
-        leaders = written(members.withColumn("r", F.row_number().over(best)).where(F.col("r") <= LEADERS).select("bucket", F.col("uid").alias("leader"), "r"), "near-leaders")
+        leaders = written(members.withColumn("r", F.row_number().over(best)).where(F.col("r") <= most).select("bucket", F.col("uid").alias("leader"), "r"), "near-leaders")
         against = written(members.join(leaders, "bucket").select("bucket", "uid", "degree", "leader", "r"), "near-against")
         pairs = against.where("uid <> leader").select(F.least("uid", "leader").alias("a"), F.greatest("uid", "leader").alias("b")).distinct()
         if scores is not None:
@@ -209,6 +211,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         members = written(more.join(written(alone.select("bucket"), "near-shared"), "bucket"), "near-members")
         if not members.limit(1).count():
             break
+        most *= MORE_LEADERS
     labels = components(links)
     # an outsider whose distance to the leader leaves room for a link to a member that the leader accepted
     label = lambda n: labels.select(F.col("node").alias(n), F.col("label").alias(f"{n}_label"))

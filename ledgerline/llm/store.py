@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,8 +26,32 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/ledgerline/{name}-{uuid.uuid4().hex}"
 
 
+#: Paths written under an owner's name, and the present owner.
+_MADE: dict[str, list[str]] = {}
+_OWNER: list[str] = []
+
+
+@contextmanager
+def owned(name: str) -> Iterator[None]:
+    """Tables written inside can be deleted together, once nothing reads them, by drop(name)."""
+    _OWNER.append(name)
+    try:
+        yield
+    finally:
+        _OWNER.pop()
+
+
+def drop(spark: SparkSession, name: str) -> None:
+    for path in _MADE.pop(name, ()):
+        there = spark._jvm.org.apache.hadoop.fs.Path(path)
+        there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+
+
 def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """df, stored once as Parquet in the shared folder and read again."""
-    path = path or new_path(df.sparkSession, name)
+    """df, stored once as Parquet in the shared folder (or at `path`) and read again."""
+    if path is None:
+        path = new_path(df.sparkSession, name)
+        if _OWNER:
+            _MADE.setdefault(_OWNER[-1], []).append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
