@@ -6,12 +6,13 @@ k ln k + 2k of them, hashes each dart to one of k coordinates, and the earliest
 value.  So a signature costs one look at each shingle and a few hundred darts, not k hashes a shingle, and two documents
 agree in a coordinate with the probability of their weighted Jaccard similarity.
 
-Documents with the same shingles are one text and one node.  Nodes that share one of BANDS bands of ROWS coordinates meet
-in a bucket.  No bucket is paired off: its members are compared with a few leaders (those that meet most others), the
-members that no leader accepts go on to the next round among themselves, until nothing is left; at last an outsider that
-was rejected by a leader by a margin that the triangle inequality of the Jaccard distance does not rule out is compared
-with the members that this leader accepted, if they are still in different components.  A comparison estimates from the
-signatures and, unless that is far from the threshold, counts the shingles themselves.  Links give components.
+Documents with the same shingles are one text and one node.  Nodes that share one of BANDS
+bands of ROWS coordinates meet in a bucket.  No bucket is paired off, for all that matters is which component a member
+belongs to: its members are compared with a leader (the one that meets most others); links give components; members that
+are in no component of a leader go on to the next round among themselves.  At last an outsider is compared with those
+members of a leader's component that the triangle inequality of the Jaccard distance does not rule out, given the
+similarities of both to the leader.  A comparison estimates from the signatures and, unless that is far from the
+threshold, counts the shingles themselves.
 
 Defined results: a text of fewer than five words is one shingle of all its words; texts without words are the same only if
 equal, and null or empty texts are the copies of none; rows with the same doc_id are separate documents; the kept one of
@@ -39,9 +40,10 @@ BANDS, ROWS = 28, 5
 K = BANDS * ROWS
 #: Leaders that a bucket's members are compared with in the first round, and how many times as many in each later one:
 #: what is left then is little, and mostly alike in nothing, so each would become a leader anyway.
-LEADERS, MORE_LEADERS = 3, 8
-#: Estimates beyond these, four to five standard deviations from the threshold, need no exact count.
-SURE_NOT, SURE = 0.62, 0.95
+LEADERS, MORE_LEADERS = 1, 8
+#: Estimates beyond these, four to five standard deviations from the threshold, need no exact count; where they are used
+#: as distances, they may be wrong by SLACK.
+SURE_NOT, SURE, SLACK = 0.62, 0.95, 0.15
 
 SIGNATURE_SCHEMA = "doc_id long, fp long, uid long, digest long, digest2 long, shingles long, signature binary, cells binary, bands array<long>"
 _U = np.uint64
@@ -164,14 +166,24 @@ def _compare(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """a, b, score (stored) of the pairs(a, b): the estimate where it is sure, else the exact similarity."""
 
     def score(p: DataFrame, column: str, exact: bool) -> DataFrame:
-        left, right = nodes.select(F.col("uid").alias("a"), F.col(column).alias("x")), nodes.select(F.col("uid").alias("b"), F.col(column).alias("y"))
+        # of the whole table, first those that are compared: a stored list, so that a short one is broadcast by its size
+        need = written(p.select(F.col("a").alias("uid")).union(p.select("b")).distinct(), "near-compared")
+        some = written(nodes.select("uid", column).join(need, "uid", "left_semi"), "near-compared-texts")
+        left, right = some.select(F.col("uid").alias("a"), F.col(column).alias("x")), some.select(F.col("uid").alias("b"), F.col(column).alias("y"))
         wide = p.join(left, "a").join(right, "b").select("a", "b", "x", "y")
         return wide.mapInArrow(lambda it: _similar(it, exact), "a long, b long, score double")
 
-    rough = written(score(pairs, "signature", False), "near-estimates")
+    rough = written(score(written(pairs, "near-pairs"), "signature", False), "near-estimates")
     unsure = F.col("score").between(SURE_NOT, SURE)
-    fine = score(rough.where(unsure).select("a", "b"), "cells", True)
-    return written(rough.where(~unsure).unionAll(fine), "near-scores")
+    grey = rough.where(unsure).select("a", "b")
+    sure = rough.where(~unsure)
+    return written(sure.unionAll(score(grey, "cells", True)) if grey.limit(1).count() else sure, "near-scores")
+
+
+def _labelled(df: DataFrame, labels: DataFrame, column: str) -> DataFrame:
+    """df with the component of `column` as <column>_label; a node without links is its own component."""
+    side = labels.select(F.col("node").alias("__node"), F.col("label").alias("__label"))
+    return df.join(side, F.col(column) == F.col("__node"), "left").withColumn(f"{column}_label", F.coalesce("__label", column)).drop("__node", "__label")
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -186,41 +198,38 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     members = written(met.join(shared, "bucket"), "near-members")
     degree = members.groupBy("uid").agg(F.sum("n").alias("degree"))
     members = written(members.drop("n").join(degree, "uid"), "near-members")
-    links = grey = None
-    scores, most = None, LEADERS
+    links = scores = labels = None
+    rounds, most = [], LEADERS
     while True:
         best = Window.partitionBy("bucket").orderBy(F.col("degree").desc(), "uid")
-        leaders = written(members.withColumn("r", F.row_number().over(best)).where(F.col("r") <= most).select("bucket", F.col("uid").alias("leader"), "r"), "near-leaders")
-        against = written(members.join(leaders, "bucket").select("bucket", "uid", "degree", "leader", "r"), "near-against")
-        pairs = against.where("uid <> leader").select(F.least("uid", "leader").alias("a"), F.greatest("uid", "leader").alias("b")).distinct()
-        if scores is not None:
-            pairs = pairs.join(scores, ["a", "b"], "left_anti")
-        new = _compare(pairs, nodes)
+        leaders = written(members.withColumn("r", F.row_number().over(best)).where(F.col("r") <= most).select("bucket", F.col("uid").alias("leader")), "near-leaders")
+        against = written(members.join(leaders, "bucket").select("bucket", "uid", "degree", "leader", F.least("uid", "leader").alias("a"), F.greatest("uid", "leader").alias("b")), "near-against")
+        pairs = against.where("a <> b").select("a", "b").distinct()
+        new = _compare(pairs if scores is None else pairs.join(scores, ["a", "b"], "left_anti"), nodes)
         scores = new if scores is None else written(scores.unionAll(new), "near-scores")
-        judged = against.withColumn("a", F.least("uid", "leader")).withColumn("b", F.greatest("uid", "leader")).join(scores, ["a", "b"], "left")
-        judged = written(judged.select("bucket", "uid", "degree", "leader", F.coalesce("score", F.lit(1.0)).alias("score")), "near-judged")
-        far = judged.where(F.col("score").between(max(0.0, 2 * similarity - 1), similarity - 1e-12)).select("bucket", F.col("uid").alias("c"), "leader", F.col("score").alias("apart"))
-        near = judged.where((F.col("score") >= similarity) & (F.col("uid") != F.col("leader"))).select("bucket", F.col("uid").alias("m"), "leader", F.col("score").alias("close"))
-        found = near.select(F.col("m").alias("a"), F.col("leader").alias("b"))
+        found = new.where(F.col("score") >= similarity).select("a", "b")
         links = found if links is None else links.unionAll(found)
-        grey = [(far, near)] if grey is None else [*grey, (far, near)]
-        # those that no leader of their bucket accepts (a leader accepts itself) go on
-        left = judged.groupBy("bucket", "uid", "degree").agg(F.max("score").alias("best")).where(F.col("best") < similarity).drop("best")
-        more = written(left, "near-members")
-        alone = more.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-        members = written(more.join(written(alone.select("bucket"), "near-shared"), "bucket"), "near-members")
+        labels = components(links)
+        judged = written(against.join(scores, ["a", "b"], "left").select("bucket", "uid", "degree", "leader", F.coalesce("score", F.lit(1.0)).alias("score")), "near-judged")
+        rounds.append(judged)
+        # members in no leader's component go on, where a bucket has them from several components
+        placed = _labelled(_labelled(judged, labels, "uid"), labels, "leader")
+        out = placed.groupBy("bucket", "uid", "degree", "uid_label").agg(F.max((F.col("uid_label") == F.col("leader_label")).cast("int")).alias("in")).where(F.col("in") == 0)
+        left = written(out.select("bucket", "uid", "degree", "uid_label"), "near-left")
+        several = written(left.groupBy("bucket").agg(F.min("uid_label").alias("low"), F.max("uid_label").alias("high")).where("low < high").select("bucket"), "near-several")
+        members = written(left.drop("uid_label").join(several, "bucket"), "near-members")
         if not members.limit(1).count():
             break
         most *= MORE_LEADERS
-    labels = components(links)
-    # an outsider whose distance to the leader leaves room for a link to a member that the leader accepted
-    label = lambda n: labels.select(F.col("node").alias(n), F.col("label").alias(f"{n}_label"))
     extra = None
-    for far, near in grey:
-        apart = far.join(label("c"), "c", "left").join(label("leader"), "leader").where(~F.col("c_label").eqNullSafe(F.col("leader_label"))).drop("c_label", "leader_label")
-        maybe = apart.join(near, ["bucket", "leader"]).where((F.col("close") - F.col("apart") <= 1 - similarity) & (F.col("c") != F.col("m"))).select(F.least("c", "m").alias("a"), F.greatest("c", "m").alias("b"))
+    for judged in rounds:
+        placed = _labelled(_labelled(judged, labels, "uid"), labels, "leader").where("uid <> leader").select("bucket", "leader", "uid", "score", (F.col("uid_label") == F.col("leader_label")).alias("in"))
+        outside, inside = placed.where("not in").drop("in").withColumnRenamed("score", "apart"), placed.where("in").drop("in").toDF("bucket", "leader", "member", "close")
+        exact = F.col("apart").between(SURE_NOT, SURE) & F.col("close").between(SURE_NOT, SURE)
+        room = (1 - similarity) + F.when(exact, 0.0).otherwise(SLACK) + 1e-9
+        maybe = outside.join(inside, ["bucket", "leader"]).where(F.abs(F.col("close") - F.col("apart")) <= room).select(F.least("uid", "member").alias("a"), F.greatest("uid", "member").alias("b"))
         extra = maybe if extra is None else extra.unionAll(maybe)
-    checked = _compare(written(extra.distinct(), "near-extra").join(scores, ["a", "b"], "left_anti"), nodes).where(F.col("score") >= similarity)
+    checked = _compare(extra.distinct().join(scores, ["a", "b"], "left_anti"), nodes).where(F.col("score") >= similarity)
     if checked.limit(1).count():
         labels = components(links.unionAll(checked.select("a", "b")))
     named = texts.join(labels.select(F.col("node").alias("uid"), "label"), "uid", "left").withColumn("label", F.coalesce("label", "uid"))
