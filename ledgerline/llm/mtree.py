@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .store import written
 
 #: Vectors of one tree, entries of a leaf page, children of a routing node, queries sent at once.
-TREE, PAGE, FANOUT, BLOCK = 8192, 96, 24, 4096
+TREE, PAGE, FANOUT, BLOCK = 8192, 512, 24, 4096
 SLACK = 1e-6
 
 TREE_SCHEMA = "dim int, most double, ids binary, vectors binary, spread binary, radius binary, to_parent binary, pivot binary, child binary, n_child binary, leaf binary"
@@ -123,10 +123,17 @@ class Tree:
             margin = limit + SLACK * (1 + limit)
             if self.leaf[node]:
                 s, e = self.child[node], self.child[node] + self.n_child[node]
-                rows = s + np.flatnonzero((np.abs(d - self.spread[s:e]) <= margin) & (self.ids[s:e] != own))
-                asked += len(rows)
-                if len(rows):
-                    ids, score = np.concatenate([best_ids, self.ids[rows]]), np.concatenate([best, self.vectors[rows] @ q])
+                near = np.abs(d - self.spread[s:e]) <= margin
+                n = int(near.sum())
+                asked += n
+                # few: only those; most: the page as one block
+                rows, score = (s + np.flatnonzero(near), None) if 2 * n < e - s else (np.arange(s, e), self.vectors[s:e] @ q)
+                score = self.vectors[rows] @ q if score is None else score
+                good = self.ids[rows] != own
+                if len(best) == k:
+                    good &= score >= best[-1]
+                if good.any():
+                    ids, score = np.concatenate([best_ids, self.ids[rows[good]]]), np.concatenate([best, score[good]])
                     order = np.lexsort((ids, -score))[:k]
                     best_ids, best = ids[order], score[order]
                     if len(best) == k:

@@ -65,7 +65,7 @@ def test_mtree_is_exact_and_prunes():
     v = np.floor(256 * (centres[rng.integers(0, 12, 3000)] + 0.05 * rng.normal(size=(3000, 8)))).astype(np.int64)
     v[:400] = v[0]  # ties
     ids = rng.permutation(3000)
-    tree = mtree.Tree.of(mtree.Tree(ids, v).row())
+    tree = mtree.Tree.of(mtree.Tree(ids, v, page=96).row())
     asked = 0
     for own in range(0, 3000, 100):
         q = v[ids == own][0]
