@@ -77,8 +77,10 @@ def paths(messages: DataFrame) -> DataFrame:
         if longest > 1 and rest[0] > (most := m.groupBy("conv_id").count().agg(F.max("count")).first()[0]):
             break  # only circles are left
         above = chain.select(F.col("conv_id").alias("c"), F.col("node").alias("n"), F.col("up").alias("next"), F.col("score").alias("more"), F.col("path").alias("before"))
-        step = chain.join(above, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("up") == F.col("n")), "left")
-        chain = written(step.select("conv_id", "node", F.col("next").alias("up"), (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"), F.concat(F.coalesce("before", F.array().cast("array<long>")), "path").alias("path")), "chat-chain")
+        # only chains that haven't reached a root are joined again; the topmost parent is always a message that is there
+        step = chain.where("up is not null").join(above, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("up") == F.col("n")))
+        longer = step.select("conv_id", "node", F.col("next").alias("up"), (F.col("score") + F.col("more")).alias("score"), F.concat("before", "path").alias("path"))
+        chain = written(chain.where("up is null").unionAll(longer), "chat-chain")
         longest *= 2
     leaf = chain.where("up is null").join(inner, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("node") == F.col("p")), "left_anti")
     return leaf.select("conv_id", F.col("node").alias("leaf"), "score", "path")
