@@ -4,12 +4,14 @@ A byte goes when a string of LENGTH bytes that covers it also starts anywhere el
 so every window of LENGTH bytes is assigned to an anchor that its content alone determines: the leftmost of its GRAM-byte
 grams with the smallest hash.  Neighbouring windows share anchors, so a document becomes a few hundred regions a hundred
 kilobytes, each known by its anchor's fingerprint; equal windows have equal anchors at equal places.  Regions whose anchor
-occurs once in the corpus hold no repeat.  Of the others, regions that are equal byte for byte are one string with a count;
-where an anchor has several different strings, these go to a shard, whose suffix array is built by induced sorting; the
-permuted common prefixes tell which windows start elsewhere too.  The flags return to all documents that hold the string.
+occurs once in the corpus hold no repeat, and regions that are equal byte for byte are one string with a count.
 
-An anchor in more than GIANT different strings (a passage in very many surroundings) would make a shard of unbounded size;
-its windows are spread by their own fingerprints and counted instead, with the same result.
+Where an anchor has several different strings, their windows are split into spans of SPAN places before the anchor.  All
+windows of a span share a core of bytes, so spans with different cores have no window in common; a core that only one
+string has is done, and equal spans are one again.  The different spans of a core go to one shard, whose suffix array is
+built by induced sorting; the permuted common prefixes tell which windows start elsewhere too.  The flags return to all
+documents that hold the string.  A core in more than GIANT different spans would make a shard of unbounded size; its
+windows are spread by their own fingerprints and counted instead, with the same result.
 
 Defined results: a null text is empty; texts shorter than LENGTH lose nothing; rows with the same doc_id are separate
 documents; an empty table gives no rows.  Fingerprints have 64 bits (two strings share one with a chance of about 2**-60).
@@ -26,22 +28,23 @@ from pyspark.sql import functions as F
 
 from .store import written
 from .suffix_array import repeated
-from .textbytes import VALUES, buffers, chunks, fingerprints, prefix_sums, ranges
+from .textbytes import VALUES, buffers, chunks, fingerprints, mix, prefix_sums, ranges
 
 LENGTH, GRAM = 400, 32
-#: Different strings of one anchor that are sorted together at most, and bytes of a shard (whole anchors).
-GIANT, SHARD_BYTES = 2048, 1 << 20
+#: Windows of a span, different spans of one core that are sorted together at most, and bytes of a shard (whole cores).
+SPAN, GIANT, SHARD_BYTES = 48, 4096, 1 << 20
 
-REGION_SCHEMA = "doc_id long, fp long, at int, windows int, anchor long, string long"
+REGION_SCHEMA = "doc_id long, fp long, at int, windows int, lead int, anchor long, string long"
+SPAN_SCHEMA = "anchor long, string long, copies int, first int, windows int, core long, span long"
 
 
 def regions(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """(text, first window, windows, anchor fingerprint, string fingerprint) of the maximal runs of windows of a text that
-    have the same anchor; positions count from the text's begin."""
+    """(text, first window, windows, anchor's distance from it, anchor fingerprint, string fingerprint) of the maximal runs
+    of windows of a text that have the same anchor; positions count from the text's begin."""
     n, span = len(data), length - gram + 1
     none = np.zeros(0, np.int64)
     if n < length:
-        return none, none, none, none, none
+        return (none,) * 6
     sums = prefix_sums(data, VALUES)
     at = np.arange(n - gram + 1)
     grams = fingerprints(sums, at, at + gram)
@@ -55,7 +58,7 @@ def regions(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: i
     windows = np.maximum(np.diff(offsets) - length + 1, 0)
     start = ranges(offsets[:-1], windows)
     if not len(start):
-        return none, none, none, none, none
+        return (none,) * 6
     of = np.repeat(np.arange(len(windows)), windows)
     least = np.minimum(behind[start], ahead[start + span - 1])
     anchor = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
@@ -64,22 +67,22 @@ def regions(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: i
     first = np.flatnonzero(new)
     count = np.diff(np.append(first, len(start)))
     begin = start[first]
-    return of[first], begin - offsets[of[first]], count, grams[anchor[first]].view(np.int64), fingerprints(sums, begin, begin + count - 1 + length).view(np.int64)
+    return of[first], begin - offsets[of[first]], count, anchor[first] - begin, grams[anchor[first]].view(np.int64), fingerprints(sums, begin, begin + count - 1 + length).view(np.int64)
 
 
 def _regions(docs: DataFrame, length: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, end, data, offsets in chunks(batch.column(1)):
-                of, at, count, anchor, string = regions(data, offsets, length, gram)
+                of, at, count, lead, anchor, string = regions(data, offsets, length, gram)
                 pick = pa.array(of + row)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pick), batch.column(2).take(pick), pa.array(at.astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(anchor), pa.array(string)], ["doc_id", "fp", "at", "windows", "anchor", "string"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pick), batch.column(2).take(pick), pa.array(at.astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(lead.astype(np.int32)), pa.array(anchor), pa.array(string)], ["doc_id", "fp", "at", "windows", "lead", "anchor", "string"])
 
     return docs.mapInArrow(run, REGION_SCHEMA)
 
 
 def _strings(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """anchor, string, copies, giant, bytes of the wanted regions of each text."""
+    """anchor, string, copies, lead, bytes of the wanted regions of each text."""
     for batch in batches:
         data, offsets = buffers(batch.column(0))
         want = batch.column(1)
@@ -90,65 +93,111 @@ def _strings(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
         raw = [data[b : b + w - 1 + length].tobytes() for b, w in zip(begin.tolist(), windows.tolist())]
         for k in range(0, len(raw), 4096):  # one text can have very many regions
             part = flat.slice(k, 4096)
-            yield pa.RecordBatch.from_arrays([*(part.field(c) for c in ("anchor", "string", "copies", "giant")), pa.array(raw[k : k + 4096], pa.binary())], ["anchor", "string", "copies", "giant", "bytes"])
+            yield pa.RecordBatch.from_arrays([*(part.field(c) for c in ("anchor", "string", "copies", "lead")), pa.array(raw[k : k + 4096], pa.binary())], ["anchor", "string", "copies", "lead", "bytes"])
+
+
+def _spans(batches: Iterator[pa.RecordBatch], length: int, size: int) -> Iterator[pa.RecordBatch]:
+    """SPAN_SCHEMA for rows (anchor, string, copies, lead, bytes): the spans of each region, with the fingerprints of the
+    core that all windows of a full span would share and of the span's own bytes."""
+    for batch in batches:
+        lead_, anchor_ = batch.column(3).to_numpy().astype(np.int64), batch.column(0).to_numpy()
+        for row, end, data, offsets in chunks(batch.column(4)):
+            lead, n = lead_[row:end], np.diff(offsets) - length + 1
+            # window i stands lead - i before the anchor; span number q holds the distances q * size ... + size - 1
+            high, low = lead // size, (lead - n + 1) // size
+            pieces = high - low + 1
+            of = np.repeat(np.arange(end - row), pieces)
+            q = high[of] - ranges(np.zeros(end - row, np.int64), pieces)
+            first = np.maximum(0, lead[of] - q * size - size + 1)
+            last = np.minimum(n[of] - 1, lead[of] - q * size)
+            sums, base = prefix_sums(data, VALUES), offsets[:-1][of]
+            middle = base + lead[of] - q * size
+            core = mix(fingerprints(sums, middle, middle - size + 1 + length) ^ mix(q.astype(np.uint64) ^ anchor_[row:end][of].view(np.uint64)))
+            span = fingerprints(sums, base + first, base + last + length)
+            pick = pa.array(of + row)
+            yield pa.RecordBatch.from_arrays([*(batch.column(i).take(pick) for i in range(3)), pa.array(first.astype(np.int32)), pa.array((last - first + 1).astype(np.int32)), pa.array(core.view(np.int64)), pa.array(span.view(np.int64))], ["anchor", "string", "copies", "first", "windows", "core", "span"])
+
+
+def _cut_out(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """core, span, copies, giant, bytes for rows (bytes, wanted spans)."""
+    for batch in batches:
+        data, offsets = buffers(batch.column(0))
+        want = batch.column(1)
+        flat = want.flatten()
+        begin = offsets[np.repeat(np.arange(len(want)), want.value_lengths().fill_null(0).to_numpy())] + flat.field("first").to_numpy()
+        end = begin + flat.field("windows").to_numpy() - 1 + length
+        raw = pa.array([data[b:e].tobytes() for b, e in zip(begin.tolist(), end.tolist())], pa.binary())
+        yield pa.RecordBatch.from_arrays([*(flat.field(c) for c in ("core", "span", "copies", "giant")), raw], ["core", "span", "copies", "giant", "bytes"])
 
 
 def _sorted_shards(batches: Iterator[pa.RecordBatch], length: int, limit: int) -> Iterator[pa.RecordBatch]:
-    """string, first, count of the runs of repeated windows, for rows (anchor, string, copies, bytes) in anchor order."""
+    """core, span, first, count of the runs of repeated windows, for rows (core, span, copies, bytes) in core order."""
     held: list[tuple[int, int, int, bytes]] = []
     size, last = 0, None
 
     def flush() -> pa.RecordBatch:
         out = []
-        for (anchor, string, copies, _), twice in zip(held, repeated([h[3] for h in held], length)):
+        for (core, span, copies, _), twice in zip(held, repeated([h[3] for h in held], length)):
             edge = np.flatnonzero(np.diff(np.concatenate([[0], twice.astype(np.int8), [0]])))
             if copies == 1:
-                out += [(anchor, string, s, e - s) for s, e in zip(edge[::2].tolist(), edge[1::2].tolist())]
+                out += [(core, span, s, e - s) for s, e in zip(edge[::2].tolist(), edge[1::2].tolist())]
         held.clear()
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32()))], ["anchor", "string", "first", "count"])
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32()))], ["core", "span", "first", "count"])
 
     for batch in batches:
-        for anchor, string, copies, raw in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            if size >= limit and anchor != last:
+        for core, span, copies, raw in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            if size >= limit and core != last:
                 yield flush()
                 size = 0
-            held.append((anchor, string, copies, raw))
-            size, last = size + len(raw), anchor
+            held.append((core, span, copies, raw))
+            size, last = size + len(raw), core
     if held:
         yield flush()
 
 
 def _windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """anchor, string, copies, first, window (fingerprint) of every window."""
+    """core, span, copies, first, window (fingerprint) of every window."""
     for batch in batches:
         for row, end, data, offsets in chunks(batch.column(3)):
             n = np.diff(offsets) - length + 1
             start = ranges(offsets[:-1], n)
             pick = pa.array(np.repeat(np.arange(row, end), n))
             print_ = fingerprints(prefix_sums(data, VALUES), start, start + length).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*(batch.column(i).take(pick) for i in range(3)), pa.array(ranges(np.zeros(len(n), np.int64), n).astype(np.int32)), pa.array(print_)], ["anchor", "string", "copies", "first", "window"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i).take(pick) for i in range(3)), pa.array(ranges(np.zeros(len(n), np.int64), n).astype(np.int32)), pa.array(print_)], ["core", "span", "copies", "first", "window"])
 
 
-def _marks(docs: DataFrame, length: int, gram: int, giant: int, shard: int) -> DataFrame:
+def _marks(docs: DataFrame, length: int, gram: int, span: int, giant: int, shard: int) -> DataFrame:
     """doc_id, fp, runs (first window, windows) of the repeated windows of each text that has any."""
     all_ = written(_regions(docs, length, gram), "substring-regions")
     often = written(all_.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "substring-anchors")
     shared = written(all_.join(often, "anchor"), "substring-shared")
-    one = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "fp", "at", "windows"))
+    one = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "fp", "at", "windows", "lead"))
     strings = written(shared.groupBy("anchor", "string").agg(F.count("*").alias("copies"), one.alias("one")), "substring-strings")
     whole = strings.where("copies > 1").select("anchor", "string", F.lit(0).alias("first"), F.col("one.windows").alias("count"))
-    mixed = written(strings.groupBy("anchor").agg(F.count("*").alias("different"), F.min("copies").alias("least")).where("different > 1 and least = 1"), "substring-mixed")
-    want = strings.join(mixed, "anchor").select("anchor", "string", F.least("copies", F.lit(2)).cast("int").alias("copies"), (F.col("different") > giant).alias("giant"), "one.*")
-    by_doc = written(want.groupBy("doc_id", "fp").agg(F.collect_list(F.struct("at", "windows", "anchor", "string", "copies", "giant")).alias("want")), "substring-wanted")
+    # anchors of several strings, one of them a single copy: the bytes of these strings, once each
+    mixed = written(strings.groupBy("anchor").agg(F.count("*").alias("different"), F.min("copies").alias("least")).where("different > 1 and least = 1").select("anchor"), "substring-mixed")
+    want = strings.join(mixed, "anchor").select("anchor", "string", F.least("copies", F.lit(2)).cast("int").alias("copies"), "one.*")
+    by_doc = written(want.groupBy("doc_id", "fp").agg(F.collect_list(F.struct("at", "windows", "anchor", "string", "copies", "lead")).alias("want")), "substring-wanted")
     same = docs["doc_id"].eqNullSafe(by_doc["doc_id"]) & (docs["fp"] == by_doc["fp"])
-    texts = written(docs.join(by_doc, same).select("text", "want").mapInArrow(lambda it: _strings(it, length), "anchor long, string long, copies int, giant boolean, bytes binary"), "substring-texts")
-    near = texts.where("not giant").select("anchor", "string", "copies", "bytes").repartition("anchor").sortWithinPartitions("anchor", "string")
-    sorted_ = near.mapInArrow(lambda it: _sorted_shards(it, length, shard), "anchor long, string long, first int, count int")
-    spread = written(texts.where("giant").select("anchor", "string", "copies", "bytes").mapInArrow(lambda it: _windows(it, length), "anchor long, string long, copies int, first int, window long"), "substring-windows")
+    texts = written(docs.join(by_doc, same).select("text", "want").mapInArrow(lambda it: _strings(it, length), "anchor long, string long, copies int, lead int, bytes binary"), "substring-texts")
+    # their spans, equal ones as one
+    spans = written(texts.mapInArrow(lambda it: _spans(it, length, span), SPAN_SCHEMA), "substring-spans")
+    first_of = F.min(F.struct("anchor", "string", "first", "windows"))
+    kinds = written(spans.groupBy("core", "span").agg(F.sum("copies").alias("copies"), first_of.alias("one")), "substring-kinds")
+    cores = written(kinds.groupBy("core").agg(F.count("*").alias("different"), F.min("copies").alias("least")).where("different > 1 and least = 1").select("core", (F.col("different") > giant).alias("giant")), "substring-cores")
+    wanted = kinds.join(cores, "core").select("core", "span", F.least("copies", F.lit(2)).cast("int").alias("copies"), "giant", "one.*")
+    by_string = written(wanted.groupBy("anchor", "string").agg(F.collect_list(F.struct("first", "windows", "core", "span", "copies", "giant")).alias("want")), "substring-by-string")
+    pieces = written(texts.join(by_string, ["anchor", "string"]).select("bytes", "want").mapInArrow(lambda it: _cut_out(it, length), "core long, span long, copies int, giant boolean, bytes binary"), "substring-pieces")
+    near = pieces.where("not giant").select("core", "span", "copies", "bytes").repartition("core").sortWithinPartitions("core", "span")
+    sorted_ = near.mapInArrow(lambda it: _sorted_shards(it, length, shard), "core long, span long, first int, count int")
+    spread = written(pieces.where("giant").select("core", "span", "copies", "bytes").mapInArrow(lambda it: _windows(it, length), "core long, span long, copies int, first int, window long"), "substring-windows")
     twice = written(spread.groupBy("window").agg(F.sum("copies").alias("n")).where("n > 1").select("window"), "substring-twice")
-    counted = spread.where("copies = 1").join(twice, "window").select("anchor", "string", "first", F.lit(1).alias("count"))
-    flags = written(whole.unionAll(sorted_).unionAll(counted), "substring-flags")
-    return shared.join(flags, ["anchor", "string"]).groupBy("doc_id", "fp").agg(F.collect_list(F.struct((F.col("at") + F.col("first")).alias("first"), "count")).alias("runs"))
+    counted = spread.where("copies = 1").join(twice, "window").select("core", "span", "first", F.lit(1).alias("count"))
+    equal = kinds.where("copies > 1").select("core", "span", F.lit(0).alias("first"), F.col("one.windows").alias("count"))
+    found = written(equal.unionAll(sorted_).unionAll(counted), "substring-found").select("core", "span", F.col("first").alias("inside"), "count")
+    parts = spans.where("copies = 1").select("anchor", "string", "first", "core", "span").join(found, ["core", "span"]).select("anchor", "string", (F.col("first") + F.col("inside")).alias("first"), "count")
+    flags = written(whole.unionAll(parts), "substring-flags")
+    return shared.select("doc_id", "fp", "at", "anchor", "string").join(flags, ["anchor", "string"]).groupBy("doc_id", "fp").agg(F.collect_list(F.struct((F.col("at") + F.col("first")).alias("first"), "count")).alias("runs"))
 
 
 def _cut(text: bytes, runs: list[dict] | None, length: int) -> tuple[bytes, int, int]:
@@ -168,10 +217,10 @@ def _ready(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("fp"), *more)
 
 
-def deduplicated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, giant: int = GIANT, shard: int = SHARD_BYTES) -> DataFrame:
+def deduplicated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, span: int = SPAN, giant: int = GIANT, shard: int = SHARD_BYTES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (binary) for every row of docs(doc_id, text)."""
     ready = _ready(docs)
-    runs = _marks(ready, length, gram, giant, shard).select(F.col("doc_id").alias("run_id"), F.col("fp").alias("run_fp"), "runs")
+    runs = _marks(ready, length, gram, span, giant, shard).select(F.col("doc_id").alias("run_id"), F.col("fp").alias("run_fp"), "runs")
     both = ready.join(runs, F.col("doc_id").eqNullSafe(F.col("run_id")) & (F.col("fp") == F.col("run_fp")), "left").select("doc_id", "text", "runs")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
