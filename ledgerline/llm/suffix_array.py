@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from .textbytes import _random_words, fingerprints, powers
+from .textbytes import fingerprints, mix, powers
 
 
 def _types(t: np.ndarray) -> np.ndarray:
@@ -73,84 +73,55 @@ def _induce(t: np.ndarray, is_s: np.ndarray, lms: np.ndarray, size: int) -> np.n
     return np.concatenate(out)[::-1]
 
 
-def _sort_names(t: list[int], size: int) -> list[int]:
-    """The suffix array of a list whose last symbol, 0, is unique and smallest; symbols are below `size`."""
-    n = len(t)
-    is_s = bytearray(n)
-    is_s[n - 1] = 1
-    for i in range(n - 2, -1, -1):
-        if t[i] < t[i + 1] or (t[i] == t[i + 1] and is_s[i + 1]):
-            is_s[i] = 1
-    counts = [0] * size
-    for c in t:
-        counts[c] += 1
-    starts, ends, total = [0] * size, [0] * size, 0
-    for c in range(size):
-        starts[c] = total
-        total += counts[c]
-        ends[c] = total
-    lms = [i for i in range(1, n) if is_s[i] and not is_s[i - 1]]
-
-    def induce(ordered: list[int]) -> list[int]:
-        sa, tail = [-1] * n, ends[:]
-        for i in reversed(ordered):
-            tail[t[i]] -= 1
-            sa[tail[t[i]]] = i
-        head = starts[:]
-        for k in range(n):
-            j = sa[k] - 1
-            if j >= 0 and not is_s[j]:
-                c = t[j]
-                sa[head[c]] = j
-                head[c] += 1
-        tail = ends[:]
-        for k in range(n - 1, -1, -1):
-            j = sa[k] - 1
-            if j >= 0 and is_s[j]:
-                c = t[j]
-                tail[c] -= 1
-                sa[tail[c]] = j
-        sa[0] = n - 1
-        return sa
-
-    nth = {p: k for k, p in enumerate(lms)}
-    name, names, last = -1, [0] * len(lms), None
-    for p in induce(lms):
-        k = nth.get(p)
-        if k is not None:
-            piece = t[p : lms[k + 1] + 1] if k + 1 < len(lms) else t[p:]
-            if piece != last:
-                name, last = name + 1, piece
-            names[k] = name
-    if name + 1 < len(lms):
-        order = _sort_names(names, name + 1)
-    else:
-        order = [0] * len(lms)
-        for k, c in enumerate(names):
-            order[c] = k
-    return induce([lms[k] for k in order])
-
-
-_SYMBOLS = _random_words(260, 29)
+def _induce_each(t: np.ndarray, is_s: np.ndarray, lms: np.ndarray, size: int) -> np.ndarray:
+    """As _induce(), one suffix after another: for large alphabets, whose buckets hold few."""
+    n, symbols, smaller = len(t), t.tolist(), is_s.tolist()
+    after = np.cumsum(np.bincount(t, minlength=size))
+    sa, tail = [0] * n, after.tolist()
+    for i in reversed(lms.tolist()):
+        c = symbols[i]
+        tail[c] -= 1
+        sa[tail[c]] = i
+    head = (after - np.bincount(t, minlength=size)).tolist()
+    for k in range(n):  # an empty place holds 0, which has no suffix before it
+        j = sa[k] - 1
+        if j >= 0 and not smaller[j]:
+            c = symbols[j]
+            sa[head[c]] = j
+            head[c] += 1
+    tail = after.tolist()
+    for k in range(n - 1, -1, -1):
+        j = sa[k] - 1
+        if j >= 0 and smaller[j]:
+            c = symbols[j]
+            tail[c] -= 1
+            sa[tail[c]] = j
+    sa[0] = n - 1
+    return np.array(sa)
+
+
+#: Symbols up to which a scan goes by whole buckets.
+SMALL_ALPHABET = 1024
 
 
 def _sums(t: np.ndarray) -> np.ndarray:
+    values = mix(np.arange(int(t.max()) + 1, dtype=np.uint64) + np.uint64(0x2545F491))
     out = np.zeros(len(t) + 1, np.uint64)
-    np.cumsum(_SYMBOLS[t] * powers(len(t)), out=out[1:])
+    np.cumsum(values[t] * powers(len(t)), out=out[1:])
     return out
 
 
 def suffix_array(t: np.ndarray, sums: np.ndarray | None = None) -> np.ndarray:
-    """t: small non-negative integers of which the last, 0, is unique and smallest."""
+    """t: non-negative integers of which the last, 0, is unique and smallest."""
     sums = _sums(t) if sums is None else sums
     size, is_s = int(t.max()) + 1, _types(t)
+    induce = _induce if size <= SMALL_ALPHABET else _induce_each
     lms = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
     if not len(lms):
-        return _induce(t, is_s, lms, size)
-    sorted_ = _induce(t, is_s, lms, size)
+        return np.zeros(1, np.int64)  # nothing but the last symbol
     mark = np.full(len(t), -1)
     mark[lms] = np.arange(len(lms))
-    order = mark[sorted_]
+    order = mark[induce(t, is_s, lms, size)]
     order = order[order >= 0]
     end = np.append(lms[1:] + 1, len(t))
     pieces = fingerprints(sums, lms[order], end[order])
@@ -158,8 +129,8 @@ def suffix_array(t: np.ndarray, sums: np.ndarray | None = None) -> np.ndarray:
     if name[-1] + 1 < len(lms):
         names = np.empty(len(lms), np.int64)
         names[order] = name
-        order = np.array(_sort_names(names.tolist(), int(name[-1]) + 1))
-    return _induce(t, is_s, lms[order], size)
+        order = suffix_array(names)
+    return induce(t, is_s, lms[order], size)
 
 
 def permuted_lcp(t: np.ndarray, sa: np.ndarray, most: int, sums: np.ndarray | None = None) -> np.ndarray:

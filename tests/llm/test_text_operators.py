@@ -229,7 +229,7 @@ def cut(rows, length):
     return sorted(out)
 
 
-@pytest.mark.parametrize("options", [{}, {"giant": 1}, {"length": 60, "gram": 8, "shard": 500}, {"length": 60, "gram": 60}])
+@pytest.mark.parametrize("options", [{}, {"giant": 1}, {"length": 60, "gram": 8, "shard": 500, "span": 7}, {"length": 60, "gram": 60, "span": 1}])
 def test_repeated_substrings(spark, options):
     got = substring_dedup.digests(table(spark), **options).collect()
     assert sorted((str(r[0]), *r[1:]) for r in got) == cut(texts(), options.get("length", 400))
@@ -241,7 +241,9 @@ def test_repeated_substrings_whole_table(spark, sf):
     assert substring_dedup.digests(table(spark, [])).count() == 0
 
 
-def test_suffix_array_and_common_prefixes():
+@pytest.mark.parametrize("small", [1024, 0])
+def test_suffix_array_and_common_prefixes(monkeypatch, small):
+    monkeypatch.setattr("ledgerline.llm.suffix_array.SMALL_ALPHABET", small)
     rng = __import__("random").Random(3)
     for _ in range(300):
         n, letters = rng.randint(0, 60), rng.choice([1, 2, 3, 250])
