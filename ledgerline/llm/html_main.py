@@ -3,9 +3,16 @@
 Each page is parsed once into its blocks of text and the elements around them.  The elements of all pages of a host are
 merged into a style tree whose nodes are element paths (tag, id and classes from the root).  A node's importance combines
 the entropy of its presentation (how its sequence of child tags varies over the host's pages) and of its content (a text
-that returns on every page carries nothing).  Branches of low importance are removed from each page, as are branches that
-by their tag, role or name are no article: menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles
-and reader comments.  Where a page has an article (or main) element, the text is taken from it.
+that returns on every page carries nothing).  Branches of low importance are removed from each page.
+
+Tags, roles and names that speak of menus, headers, footers, sidebars, notices, adverts, forms or reader comments are a
+prior: it counts as PRIOR_PAGES pages without importance, so what the host's pages show overrules it, and it decides alone
+only for nodes of fewer than MIN_PAGES pages.  It never holds for text-level elements, article, main, what is around an
+article or main with most of the page's words, or (names and roles) what holds nearly all of the words.  Scripts, styles and hidden
+elements are no text of the page and always go.
+
+If main, or else the articles, hold at least half of the words that are left, the text is taken from there, with the
+first-level headings outside; otherwise all that is left is the text.
 
 Copies of a page count once, a node needs MIN_PAGES different pages to be judged, and text-level elements (paragraphs,
 headings, list items) are never judged, so a sentence that many articles share stays.  The counting is over
@@ -31,13 +38,17 @@ from .store import written
 MIN_PAGES = 8
 #: Weight of the content in a node's importance, and the importance below which a branch goes.
 CONTENT, LOW = 0.9, 0.2
+#: Pages without importance that a tag, role or name of boilerplate is worth.
+PRIOR_PAGES = 8
+#: Share of a page's words above which main or articles are its text, and above which an element is as good as the page.
+MOST, NEARLY_ALL = 0.5, 0.8
 
 # fixed values: names of HTML elements
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template", "object", "svg", "math", "canvas", "audio", "video"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
 TEXT_LEVEL = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "pre", "blockquote", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "figcaption", "summary", "hr"}
-NEVER_MAIN = {"nav", "footer", "aside", "form", "menu", "dialog", "button", "select", "option", "fieldset", "head"}
+NEVER_MAIN = {"nav", "footer", "aside", "form", "menu", "dialog", "button", "select", "option", "fieldset"}
 CLOSED_BY_BLOCK = {"p", "h1", "h2", "h3", "h4", "h5", "h6"}
 CLOSED_BY_SELF = {"li", "dt", "dd", "tr", "td", "th", "option"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "alertdialog", "dialog", "menu", "menubar"}
@@ -50,9 +61,11 @@ _TOKEN = re.compile(r"<!--|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\
 _UNFINISHED = re.compile(r"</?[a-zA-Z]")
 _ATTRIBUTE = re.compile(r"([^\s=/\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _PART = re.compile(r"[a-z]+")
+#: Letters of scripts that put no spaces between words: each counts as a word.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff]")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
-PARSED_SCHEMA = "page_id long, url string, host string, page long, has_article boolean, has_main boolean, blocks array<struct<text: string, within: array<long>, article: boolean, main: boolean>>, nodes array<struct<path: long, style: long, content: long>>"
+PARSED_SCHEMA = "page_id long, url string, host string, page long, blocks array<struct<text: string, words: long, within: array<long>, named: array<long>, article: boolean, main: boolean, title: boolean>>, nodes array<struct<path: long, style: long, content: long, named: boolean>>"
 
 
 def _hash(text: str) -> int:
@@ -64,34 +77,45 @@ def host_of(url: str | None) -> str:
 
 
 class _Node:
-    __slots__ = ("tag", "path", "skip", "article", "main", "within", "kids", "text")
+    __slots__ = ("tag", "path", "key", "above", "gone", "named", "article", "main", "judged", "words", "main_words", "holds_main", "kids", "text")
 
-    def __init__(self, tag: str, above: "_Node | None", name: str, skip: bool):
-        self.tag, self.kids, self.text = tag, [], []
+    def __init__(self, tag: str, above: "_Node | None", name: str, gone: bool, named: bool):
+        self.tag, self.above, self.kids, self.text = tag, above, [], []
         self.path = f"{above.path}/{name}" if above else name
-        self.skip = skip or (above is not None and above.skip)
-        self.article = not self.skip and (tag == "article" or (above is not None and above.article))
-        self.main = not self.skip and (tag == "main" or (above is not None and above.main))
-        self.within = above.within if above else ()
+        self.gone = gone or (above is not None and above.gone)
+        self.named = named
+        self.article = tag == "article" or (above is not None and above.article)
+        self.main = tag == "main" or (above is not None and above.main)
+        self.judged = above is not None and tag not in INLINE and tag not in TEXT_LEVEL and tag not in ("html", "body", "article", "main")
+        self.key = _hash(self.path) if self.judged else 0
+        self.words = self.main_words = 0
+        self.holds_main = False
 
 
 def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "").lower() for m in _ATTRIBUTE.finditer(raw)}
 
 
-def _is_boilerplate(tag: str, at: dict[str, str], above: _Node) -> bool:
-    if tag in NEVER_MAIN or (tag == "header" and not above.article):
-        return True
-    if "hidden" in at or at.get("aria-hidden") == "true" or at.get("role") in ROLES or _HIDDEN.search(at.get("style", "")):
-        return True
-    if tag in ("html", "body", "main") or not at:
+def _is_hidden(tag: str, at: dict[str, str]) -> bool:
+    return tag == "head" or "hidden" in at or at.get("aria-hidden") == "true" or bool(_HIDDEN.search(at.get("style", "")))
+
+
+def _is_named(tag: str, at: dict[str, str], above: _Node) -> bool:
+    if tag in TEXT_LEVEL or tag in INLINE or tag in ("html", "body", "article", "main"):
         return False
-    return not NAMES.isdisjoint(_PART.findall(f"{at.get('class', '')} {at.get('id', '')}"))
+    if tag in NEVER_MAIN or (tag == "header" and not above.article) or at.get("role") in ROLES:
+        return True
+    return bool(at) and not NAMES.isdisjoint(_PART.findall(f"{at.get('class', '')} {at.get('id', '')}"))
+
 
+def _words(text: str) -> int:
+    return len(text.split()) + (0 if text.isascii() else len(_UNSPACED.findall(text)))
 
-def parse(page: str) -> tuple[list[tuple[str, tuple[int, ...], bool, bool]], list[tuple[int, int, int]]]:
-    """(blocks: text, judged elements around it, in an article, in main; nodes: path, style, content)."""
-    root = _Node("", None, "", False)
+
+def parse(page: str) -> tuple[list[dict], list[dict]]:
+    """(blocks: text, words, judged elements around it, those of them with a prior, in an article, in main, a first-level
+    heading; nodes: path, style, content, whether with a prior)."""
+    root = _Node("", None, "", False, False)
     stack, blocks, nodes, line = [root], [], [], []
 
     def end_block() -> None:
@@ -102,8 +126,12 @@ def parse(page: str) -> tuple[list[tuple[str, tuple[int, ...], bool, bool]], lis
             for node in stack:
                 if node.path and node.tag not in INLINE:
                     node.text.append(text)
-            if not top.skip:
-                blocks.append((text, top.within, top.article, top.main))
+            if not top.gone:
+                words = _words(text)
+                for node in stack:
+                    node.words += words
+                    node.main_words += words if top.article or top.main else 0
+                blocks.append((text, words, [n for n in stack if n.judged], top.article, top.main, any(n.tag == "h1" for n in stack)))
 
     def close(depth: int) -> None:
         while len(stack) > depth:
@@ -111,7 +139,7 @@ def parse(page: str) -> tuple[list[tuple[str, tuple[int, ...], bool, bool]], lis
                 end_block()
             node = stack.pop()
             if node.tag not in INLINE and node.tag not in TEXT_LEVEL:
-                nodes.append((_hash(node.path), _hash(" ".join(node.kids)), _hash("\n".join(node.text))))
+                nodes.append((node, _hash(" ".join(node.kids)), _hash("\n".join(node.text))))
 
     at, n = 0, len(page)
     while at < n:
@@ -159,17 +187,25 @@ def parse(page: str) -> tuple[list[tuple[str, tuple[int, ...], bool, bool]], lis
         above = stack[-1]
         at_ = _attributes(m[3]) if m[3].strip() else {}
         name = tag + (f"#{at_['id']}" if at_.get("id") else "") + "".join(f".{c}" for c in sorted(at_.get("class", "").split()))
-        node = _Node(tag, above, name, _is_boilerplate(tag, at_, above))
+        node = _Node(tag, above, name, _is_hidden(tag, at_), _is_named(tag, at_, above))
         if tag not in INLINE:
             above.kids.append(tag)
-            if tag not in TEXT_LEVEL and tag not in ("html", "body", "article", "main"):
-                node.within = (*above.within, _hash(node.path))
+        if tag in ("article", "main"):
+            for around in stack:
+                around.holds_main = True
         stack.append(node)
         if m[3].endswith("/") and tag in INLINE:
             stack.pop()
     end_block()
     close(1)
-    return blocks, nodes
+    for node, _, _ in nodes:
+        own = node.main_words if node.holds_main else 0
+        whole = node.words >= NEARLY_ALL * root.words and node.tag not in NEVER_MAIN
+        node.named = node.named and not (root.words and (own > MOST * root.words or whole))
+    return (
+        [{"text": t, "words": w, "within": [n.key for n in around], "named": [n.key for n in around if n.named], "article": a, "main": m, "title": h} for t, w, around, a, m, h in blocks],
+        [{"path": n.key if n.judged else _hash(n.path), "style": s, "content": c, "named": n.named} for n, s, c in nodes],
+    )
 
 
 def parsed(pages: DataFrame) -> DataFrame:
@@ -180,8 +216,8 @@ def parsed(pages: DataFrame) -> DataFrame:
             rows = []
             for page_id, url, text in zip(f["page_id"].astype("Int64"), f["url"], f["html"]):
                 blocks, nodes = parse(text or "")
-                rows.append((page_id, url, host_of(url), _hash("\n".join(b[0] for b in blocks)), any(b[2] for b in blocks), any(b[3] for b in blocks), [{"text": t, "within": list(w), "article": a, "main": m} for t, w, a, m in blocks], [{"path": p, "style": s, "content": c} for p, s, c in nodes]))
-            out = pd.DataFrame(rows, columns=["page_id", "url", "host", "page", "has_article", "has_main", "blocks", "nodes"])
+                rows.append((page_id, url, host_of(url), _hash("\n".join(b["text"] for b in blocks)), blocks, nodes))
+            out = pd.DataFrame(rows, columns=["page_id", "url", "host", "page", "blocks", "nodes"])
             out["page_id"] = out["page_id"].astype("Int64")
             yield out
 
@@ -189,27 +225,35 @@ def parsed(pages: DataFrame) -> DataFrame:
 
 
 def style_tree(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """host, path, pages, presentation, content, importance of the nodes seen on at least min_pages different pages."""
+    """host, path, pages, named, presentation, content, importance of the nodes seen on at least min_pages different pages."""
     seen = pages.select("host", "page", F.explode("nodes").alias("n")).select("host", "page", "n.*").distinct()
-    both = seen.select("host", "path", "page", F.explode(F.array(F.struct(F.lit("style").alias("kind"), F.col("style").alias("value")), F.struct(F.lit("content").alias("kind"), F.col("content").alias("value")))).alias("v")).select("host", "path", "v.kind", "v.value")
-    counts = both.groupBy("host", "path", "kind", "value").agg(F.count("*").alias("c"))
+    both = seen.select("host", "path", "page", "named", F.explode(F.array(F.struct(F.lit("style").alias("kind"), F.col("style").alias("value")), F.struct(F.lit("content").alias("kind"), F.col("content").alias("value")))).alias("v")).select("host", "path", "named", "v.kind", "v.value")
+    counts = both.groupBy("host", "path", "kind", "value").agg(F.count("*").alias("c"), F.max("named").alias("named"))
     m = F.sum("c")
     # c * log(c) sums give both entropies: log(m) - sum(c log c) / m, divided by log(m)
+    learned = (1 - CONTENT) * F.col("presentation") + CONTENT * F.col("content")
     return (
-        counts.groupBy("host", "path", "kind").agg(m.alias("m"), F.sum(F.col("c") * F.log("c")).alias("l"))
+        counts.groupBy("host", "path", "kind").agg(m.alias("m"), F.sum(F.col("c") * F.log("c")).alias("l"), F.max("named").alias("named"))
         .where(F.col("m") >= min_pages)
         .withColumn("entropy", 1 - F.col("l") / (F.col("m") * F.log("m")))
-        .groupBy("host", "path").agg(F.max("m").alias("pages"), F.max(F.when(F.col("kind") == "style", F.col("entropy"))).alias("presentation"), F.max(F.when(F.col("kind") == "content", F.col("entropy"))).alias("content"))
-        .withColumn("importance", (1 - CONTENT) * F.col("presentation") + CONTENT * F.col("content"))
+        .groupBy("host", "path").agg(F.max("m").alias("pages"), F.max("named").alias("named"), F.max(F.when(F.col("kind") == "style", F.col("entropy"))).alias("presentation"), F.max(F.when(F.col("kind") == "content", F.col("entropy"))).alias("content"))
+        .withColumn("importance", learned * F.when(F.col("named"), F.col("pages") / (F.col("pages") + PRIOR_PAGES)).otherwise(1.0))
     )
 
 
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES, low: float = LOW) -> DataFrame:
     """page_id, url, text, n_chars of every page of pages(page_id, url, html)."""
     ready = written(parsed(pages), "html-parsed")
-    cut = written(style_tree(ready, min_pages).where(F.col("importance") < low).groupBy("host").agg(F.collect_set("path").alias("low")), "html-low")
-    joined = ready.select("page_id", "url", "host", "has_article", "has_main", "blocks").join(cut, "host", "left")
-    gone = F.coalesce("low", F.array().cast("array<long>"))
-    inside = F.filter("blocks", lambda b: F.when(F.col("has_article"), b["article"]).when(F.col("has_main"), b["main"]).otherwise(True) & ~F.arrays_overlap(b["within"], gone))
+    tree = style_tree(ready, min_pages)
+    is_low = F.col("importance") < low
+    cut = written(tree.where(is_low | F.col("named")).groupBy("host").agg(F.collect_set(F.when(is_low, F.col("path"))).alias("low"), F.collect_set(F.when(~is_low & F.col("named"), F.col("path"))).alias("kept")), "html-low")
+    joined = ready.select("page_id", "url", "host", "blocks").join(cut, "host", "left")
+    none = F.array().cast("array<long>")
+    low_, kept = F.coalesce("low", none), F.coalesce("kept", none)
+    left = joined.select("page_id", "url", F.filter("blocks", lambda b: ~F.arrays_overlap(b["within"], low_) & (F.size(F.array_except(b["named"], kept)) == 0)).alias("b"))
+    words = lambda blocks: F.aggregate(blocks, F.lit(0).cast("long"), lambda n, b: n + b["words"])
+    most = lambda name: (words(F.filter("b", lambda b: b[name])) >= MOST * words(F.col("b"))) & F.exists("b", lambda b: b[name])
+    chosen = left.select("page_id", "url", "b", most("article").alias("by_article"), most("main").alias("by_main"))
+    inside = F.filter("b", lambda b: F.when(F.col("by_main"), b["main"] | b["title"]).when(F.col("by_article"), b["article"] | b["title"]).otherwise(True))
     text = F.array_join(F.transform(inside, lambda b: b["text"]), "\n")
-    return joined.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+    return chosen.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))

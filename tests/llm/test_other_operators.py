@@ -29,6 +29,18 @@ def test_style_tree_removes_what_returns_on_every_page(spark):
     assert set(text_of(spark, *pages[:1] * 12)) == {"Welcome to the site\nstory 0 0\nshared line\nGood bye"}
 
 
+def test_names_and_article_are_only_a_prior(spark):
+    # one page: names never take text-level elements, article or what is around it; a teaser is not the page
+    own = "<div class='page has-sidebar'><article class='post has-sidebar'><h2 id='related-work'>Related</h2><p class='notice'>Note</p><div class='share'>x</div><p>one two three</p></article></div>"
+    teaser = "<div id='content'><p>the body of the page is here and long</p></div><article>a teaser</article>"
+    title = "<h1>Title</h1><article><p>one two three</p></article>"
+    got = text_of(spark, own, teaser, f"<main>{title}</main><p>out</p>", f"<nav>menu</nav>{title}<p>out</p>", "<article><p>one two three</p></article><div class='comments'><article>first</article></div>")
+    assert got == ["Related\nNote\none two three", "the body of the page is here and long\na teaser", "Title\none two three", "Title\none two three", "one two three"]
+    # many pages: a section with a name of boilerplate whose text is each page's own stays, one that returns goes
+    pages = [f"<body><div class='search'><p>result {i} of the search for {i * 7}</p></div><div class='related'>the same links again</div><div><p>story {i}</p></div></body>" for i in range(24)]
+    assert text_of(spark, *pages) == [f"result {i} of the search for {i * 7}\nstory {i}" for i in range(24)]
+
+
 def test_html_empty_table(spark):
     assert html_main.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
