@@ -3,7 +3,8 @@
 Each page is parsed once into its blocks of text and the elements around them.  The elements of all pages of a host are
 merged into a style tree whose nodes are element paths (tag, id and classes from the root).  A node's importance combines
 the entropy of its presentation (how its sequence of child tags varies over the host's pages) and of its content (a text
-that returns on every page carries nothing).  Branches of low importance are removed from each page.
+that returns on every page carries nothing).  A branch of low importance is removed from those pages on which its content is
+one that returns on at least RETURNS of the host's pages; a page's own content under the same path stays.
 
 Tags, roles and names that speak of menus, headers, footers, sidebars, notices, adverts, forms or reader comments are a
 prior: it counts as PRIOR_PAGES pages without importance, so what the host's pages show overrules it, and it decides alone
@@ -14,7 +15,7 @@ elements are no text of the page and always go.
 If main, or else the articles, hold at least half of the words that are left, the text is taken from there, with the
 first-level headings outside; otherwise all that is left is the text.
 
-Copies of a page count once, a node needs MIN_PAGES different pages to be judged, and text-level elements (paragraphs,
+Pages with the same main text (the largest blocks that hold NEARLY_ALL of the words) count once, a node needs MIN_PAGES different pages to be judged, and text-level elements (paragraphs,
 headings, list items) are never judged, so a sentence that many articles share stays.  The counting is over
 (host, path, value) with partial sums, so a host with a third of all pages is no hot key.
 
@@ -40,6 +41,8 @@ MIN_PAGES = 8
 CONTENT, LOW = 0.9, 0.2
 #: Pages without importance that a tag, role or name of boilerplate is worth.
 PRIOR_PAGES = 8
+#: Share of a host's pages on which a content of low importance returns if it is to be removed.
+RETURNS = 0.1
 #: Share of a page's words above which main or articles are its text, and above which an element is as good as the page.
 MOST, NEARLY_ALL = 0.5, 0.8
 
@@ -65,7 +68,7 @@ _PART = re.compile(r"[a-z]+")
 _UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff]")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
-PARSED_SCHEMA = "page_id long, url string, host string, page long, blocks array<struct<text: string, words: long, within: array<long>, named: array<long>, article: boolean, main: boolean, title: boolean>>, nodes array<struct<path: long, style: long, content: long, named: boolean>>"
+PARSED_SCHEMA = "page_id long, url string, host string, page long, whole long, blocks array<struct<text: string, words: long, contents: array<long>, named: array<long>, article: boolean, main: boolean, title: boolean>>, nodes array<struct<path: long, style: long, content: long, named: boolean>>"
 
 
 def _hash(text: str) -> int:
@@ -77,7 +80,7 @@ def host_of(url: str | None) -> str:
 
 
 class _Node:
-    __slots__ = ("tag", "path", "key", "above", "gone", "named", "article", "main", "judged", "words", "main_words", "holds_main", "kids", "text")
+    __slots__ = ("tag", "path", "key", "above", "gone", "named", "article", "main", "judged", "content", "words", "main_words", "holds_main", "kids", "text")
 
     def __init__(self, tag: str, above: "_Node | None", name: str, gone: bool, named: bool):
         self.tag, self.above, self.kids, self.text = tag, above, [], []
@@ -88,7 +91,7 @@ class _Node:
         self.main = tag == "main" or (above is not None and above.main)
         self.judged = above is not None and tag not in INLINE and tag not in TEXT_LEVEL and tag not in ("html", "body", "article", "main")
         self.key = _hash(self.path) if self.judged else 0
-        self.words = self.main_words = 0
+        self.words = self.main_words = self.content = 0
         self.holds_main = False
 
 
@@ -113,7 +116,7 @@ def _words(text: str) -> int:
 
 
 def parse(page: str) -> tuple[list[dict], list[dict]]:
-    """(blocks: text, words, judged elements around it, those of them with a prior, in an article, in main, a first-level
+    """(blocks: text, words, hashes of the paths and contents of the judged elements around it, paths of those with a prior, in an article, in main, a first-level
     heading; nodes: path, style, content, whether with a prior)."""
     root = _Node("", None, "", False, False)
     stack, blocks, nodes, line = [root], [], [], []
@@ -139,7 +142,8 @@ def parse(page: str) -> tuple[list[dict], list[dict]]:
                 end_block()
             node = stack.pop()
             if node.tag not in INLINE and node.tag not in TEXT_LEVEL:
-                nodes.append((node, _hash(" ".join(node.kids)), _hash("\n".join(node.text))))
+                node.content = _hash("\n".join((node.path, *node.text)))
+                nodes.append((node, _hash(" ".join(node.kids))))
 
     at, n = 0, len(page)
     while at < n:
@@ -198,16 +202,28 @@ def parse(page: str) -> tuple[list[dict], list[dict]]:
             stack.pop()
     end_block()
     close(1)
-    for node, _, _ in nodes:
+    for node, _ in nodes:
         own = node.main_words if node.holds_main else 0
         whole = node.words >= NEARLY_ALL * root.words and node.tag not in NEVER_MAIN
         node.named = node.named and not (root.words and (own > MOST * root.words or whole))
     return (
-        [{"text": t, "words": w, "within": [n.key for n in around], "named": [n.key for n in around if n.named], "article": a, "main": m, "title": h} for t, w, around, a, m, h in blocks],
-        [{"path": n.key if n.judged else _hash(n.path), "style": s, "content": c, "named": n.named} for n, s, c in nodes],
+        [{"text": t, "words": w, "contents": [n.content for n in around], "named": [n.key for n in around if n.named], "article": a, "main": m, "title": h} for t, w, around, a, m, h in blocks],
+        [{"path": n.key if n.judged else _hash(n.path), "style": s, "content": n.content, "named": n.named} for n, s in nodes],
     )
 
 
+def main_text(blocks: list[dict]) -> int:
+    """A hash of the largest blocks, in the order of the page, that hold NEARLY_ALL of its words: what copies that differ in a
+    counter or a date have in common."""
+    want, held = NEARLY_ALL * sum(b["words"] for b in blocks), []
+    for i in sorted(range(len(blocks)), key=lambda i: (-blocks[i]["words"], i)):
+        if want <= 0:
+            break
+        held.append(i)
+        want -= blocks[i]["words"]
+    return _hash("\n".join(blocks[i]["text"] for i in sorted(held)))
+
+
 def parsed(pages: DataFrame) -> DataFrame:
     """PARSED_SCHEMA: each page with its blocks and elements."""
 
@@ -216,19 +232,26 @@ def parsed(pages: DataFrame) -> DataFrame:
             rows = []
             for page_id, url, text in zip(f["page_id"].astype("Int64"), f["url"], f["html"]):
                 blocks, nodes = parse(text or "")
-                rows.append((page_id, url, host_of(url), _hash("\n".join(b["text"] for b in blocks)), blocks, nodes))
-            out = pd.DataFrame(rows, columns=["page_id", "url", "host", "page", "blocks", "nodes"])
+                rows.append((page_id, url, host_of(url), main_text(blocks), _hash("\n".join(b["text"] for b in blocks)), blocks, nodes))
+            out = pd.DataFrame(rows, columns=["page_id", "url", "host", "page", "whole", "blocks", "nodes"])
             out["page_id"] = out["page_id"].astype("Int64")
             yield out
 
     return pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")).mapInPandas(run, PARSED_SCHEMA)
 
 
-def style_tree(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """host, path, pages, named, presentation, content, importance of the nodes seen on at least min_pages different pages."""
-    seen = pages.select("host", "page", F.explode("nodes").alias("n")).select("host", "page", "n.*").distinct()
-    both = seen.select("host", "path", "page", "named", F.explode(F.array(F.struct(F.lit("style").alias("kind"), F.col("style").alias("value")), F.struct(F.lit("content").alias("kind"), F.col("content").alias("value")))).alias("v")).select("host", "path", "named", "v.kind", "v.value")
-    counts = both.groupBy("host", "path", "kind", "value").agg(F.count("*").alias("c"), F.max("named").alias("named"))
+def contents(pages: DataFrame) -> DataFrame:
+    """host, path, kind, value, c, named: on how many pages with different main texts an element has a style or content.  Of
+    the pages with one main text, one stands for all."""
+    seen = pages.select("host", "page", "whole", F.explode("nodes").alias("n")).select("host", "page", "whole", "n.*").distinct()
+    stands = pages.groupBy("host", "page").agg(F.min("whole").alias("whole"))
+    one = seen.join(stands, ["host", "page", "whole"])
+    both = one.select("host", "path", "named", F.explode(F.array(F.struct(F.lit("style").alias("kind"), F.col("style").alias("value")), F.struct(F.lit("content").alias("kind"), F.col("content").alias("value")))).alias("v")).select("host", "path", "named", "v.kind", "v.value")
+    return both.groupBy("host", "path", "kind", "value").agg(F.count("*").alias("c"), F.max("named").alias("named"))
+
+
+def style_tree(counts: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """host, path, pages, named, presentation, content, importance of the nodes of contents() seen on at least min_pages different pages."""
     m = F.sum("c")
     # c * log(c) sums give both entropies: log(m) - sum(c log c) / m, divided by log(m)
     learned = (1 - CONTENT) * F.col("presentation") + CONTENT * F.col("content")
@@ -244,13 +267,18 @@ def style_tree(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES, low: float = LOW) -> DataFrame:
     """page_id, url, text, n_chars of every page of pages(page_id, url, html)."""
     ready = written(parsed(pages), "html-parsed")
-    tree = style_tree(ready, min_pages)
-    is_low = F.col("importance") < low
-    cut = written(tree.where(is_low | F.col("named")).groupBy("host").agg(F.collect_set(F.when(is_low, F.col("path"))).alias("low"), F.collect_set(F.when(~is_low & F.col("named"), F.col("path"))).alias("kept")), "html-low")
+    counts = written(contents(ready), "html-contents")
+    tree = written(style_tree(counts, min_pages).where((F.col("importance") < low) | F.col("named")).select("host", "path", "named", (F.col("importance") < low).alias("is_low")), "html-tree")
+    on_host = ready.groupBy("host", "page").agg(F.lit(1).alias("n")).groupBy("host").agg(F.count("*").alias("n"))
+    # few: at most 1 / RETURNS contents of a path return so often
+    often = counts.where((F.col("kind") == "content") & (F.col("c") > 1)).join(on_host, "host").where(F.col("c") >= RETURNS * F.col("n"))
+    returns = often.join(tree.where("is_low"), ["host", "path"], "left_semi").select("host", "value", F.lit(None).cast("long").alias("kept"))
+    overruled = tree.where("named AND NOT is_low").select("host", F.lit(None).cast("long").alias("value"), F.col("path").alias("kept"))
+    cut = written(returns.unionByName(overruled).groupBy("host").agg(F.collect_set("value").alias("gone"), F.collect_set("kept").alias("kept")), "html-low")
     joined = ready.select("page_id", "url", "host", "blocks").join(cut, "host", "left")
     none = F.array().cast("array<long>")
-    low_, kept = F.coalesce("low", none), F.coalesce("kept", none)
-    left = joined.select("page_id", "url", F.filter("blocks", lambda b: ~F.arrays_overlap(b["within"], low_) & (F.size(F.array_except(b["named"], kept)) == 0)).alias("b"))
+    gone, kept = F.coalesce("gone", none), F.coalesce("kept", none)
+    left = joined.select("page_id", "url", F.filter("blocks", lambda b: ~F.arrays_overlap(b["contents"], gone) & (F.size(F.array_except(b["named"], kept)) == 0)).alias("b"))
     words = lambda blocks: F.aggregate(blocks, F.lit(0).cast("long"), lambda n, b: n + b["words"])
     most = lambda name: (words(F.filter("b", lambda b: b[name])) >= MOST * words(F.col("b"))) & F.exists("b", lambda b: b[name])
     chosen = left.select("page_id", "url", "b", most("article").alias("by_article"), most("main").alias("by_main"))

@@ -41,6 +41,20 @@ def test_names_and_article_are_only_a_prior(spark):
     assert text_of(spark, *pages) == [f"result {i} of the search for {i * 7}\nstory {i}" for i in range(24)]
 
 
+def test_style_tree_keeps_a_pages_own_content(spark):
+    # nine tenths of the pages are copies but for a counter outside the article's div; the others have their own article there
+    copy = "the one article that everybody has copied from the same source " * 3
+    page = "<body><div class='top'>Welcome to the site</div><div class='body'><div class='inner'><p>{}</p></div></div><div class='count'>{} visits</div></body>"
+    pages = [page.format(copy if i >= 12 else f"article {i} of its own with words enough for a page and a number {i * 7}", i) for i in range(120)]
+    for i, got in enumerate(text_of(spark, *pages)):
+        assert got == f"{copy.strip() if i >= 12 else f'article {i} of its own with words enough for a page and a number {i * 7}'}\n{i} visits"
+    # also where the content of most pages does return on pages with different main texts
+    box = "<body><div class='box'>{}</div><div class='body'><p>{}</p></div></body>"
+    pages = [box.format("the own words of this page" if i == 3 else "the same box", f"story {i} that is much longer than the box beside it and ends with {i * 7}") for i in range(200)]
+    got = text_of(spark, *pages)
+    assert got[3].startswith("the own words of this page\nstory 3") and not any("the same box" in t for t in got)
+
+
 def test_html_empty_table(spark):
     assert html_main.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
