@@ -8,6 +8,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import keys
+from .rows import first_rows
+
 
 def match_weight(level: Column, m: list[float], u: list[float]) -> Column:
     """log2 of the Bayes factor of an agreement level (0: best); a null level carries no evidence."""
@@ -30,6 +33,21 @@ def levels(score: Column, cuts: list[float]) -> Column:
     return F.when(score.isNotNull(), out)
 
 
+def best_names(names: DataFrame, least: float = 0.8) -> DataFrame:
+    """a, b, score: for every row of names(k, n, block) the other row of its block with the most similar name by Jaro-Winkler, at
+    `least` similar (ties: the smaller key).  Only different names are compared, so the work is the square of those of a block."""
+    first = names.groupBy("block", "n").agg(F.min("k").alias("k1"))
+    # a name's own second row is the match of its first one, and the first that of all others
+    second = names.join(first, ["block", "n"]).where("k <> k1").groupBy("block", "n").agg(F.min("k").alias("k2"))
+    x, y = first.toDF("block", "n", "x1"), first.toDF("block", "o", "y1")
+    pairs = x.join(y, "block").where("n <> o").withColumn("j", keys.jaro_winkler(F.col("n"), F.col("o"))).where(F.col("j") >= least)
+    other = first_rows(pairs, ["block", "n"], [F.round("j", 9).desc(), F.col("y1")]).select("block", "n", "y1", "j")
+    known = first.join(second, ["block", "n"], "left").join(other, ["block", "n"], "left")
+    b = F.when(F.col("k") != F.col("k1"), F.col("k1")).otherwise(F.coalesce("k2", "y1"))
+    score = F.when(F.col("k2").isNotNull(), F.lit(1.0)).otherwise(F.col("j"))
+    return names.join(known, ["block", "n"]).select(F.col("k").alias("a"), b.alias("b"), score.alias("score")).where("b IS NOT NULL")
+
+
 def anchored_clusters(rows: DataFrame, bucket: str, order: str, item: str, size: str, price: str) -> DataFrame:
     """item, anchor: in order, each row joins the first anchor of its bucket whose size is within max(3 %, 25) and price within
     max(2 %, 2000), or becomes an anchor.  Buckets are bounded (one building and room count)."""

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import geo, keys
-from ..operators import rows, space, stats
+from ..operators import linkage, rows, space, stats
 from .registry import Tables, query
 
 
@@ -124,10 +124,15 @@ def canonical_values(t: Tables):
 @query("I26,K14,D31,K15", """WITH p AS (SELECT p_partkey AS k, p_name AS n, split_part(p_name, ' ', 1) AS block FROM part), s AS (SELECT a.k AS a, b.k AS b, jaro_winkler_similarity(a.n, b.n) AS j FROM p a JOIN p b ON a.block = b.block AND a.k <> b.k WHERE a.k % 10 = 0)
     SELECT a, b, round(j, 6) AS score FROM s WHERE j >= 0.8 QUALIFY row_number() OVER (PARTITION BY a ORDER BY round(j, 9) DESC, b) = 1""")
 def best_name_match(t: Tables):
+    """The tenth of best_name_match_whole that its SQL can pair off."""
+    return best_name_match_whole(t).where("a % 10 = 0")
+
+
+@query("I26,K14,D31,K15")
+def best_name_match_whole(t: Tables):
+    """The best match of every part; SQL that pairs off all parts is too slow to stand beside it."""
     p = t.part.select(F.col("p_partkey").alias("k"), F.col("p_name").alias("n"), F.split_part("p_name", F.lit(" "), F.lit(1)).alias("block"))
-    a, b = p.where("k % 10 = 0").toDF("a", "an", "block"), p.toDF("b", "bn", "block")
-    s = a.join(b, "block").where("a <> b").withColumn("j", keys.jaro_winkler(F.col("an"), F.col("bn"))).where("j >= 0.8")
-    return rows.first_rows(s, ["a"], [F.round("j", 9).desc(), F.col("b")]).select("a", "b", F.round("j", 6).alias("score"))
+    return linkage.best_names(p).withColumn("score", F.round("score", 6))
 
 
 @query("I27,K20", "SELECT a.n_nationkey AS a, b.n_nationkey AS b FROM nation a JOIN nation b ON a.n_nationkey < b.n_nationkey AND levenshtein(a.n_name, b.n_name) <= 2")
@@ -164,10 +169,17 @@ def shared_code_lists(t: Tables):
 
 @query("I30,I33,C13", """SELECT doc_id, CASE WHEN regexp_matches(head, '[0-9]{3}') THEN 'number' WHEN regexp_matches(head, '[|]') THEN 'table' WHEN regexp_matches(head, '[#$%&*]{3}') THEN 'marks' WHEN regexp_matches(head, '[A-Z]{6}') THEN 'capitals' ELSE 'prose' END AS role FROM (SELECT doc_id, substr(coalesce(text, ''), 1, 60) AS head FROM documents)""")
 def name_roles(t: Tables):
+    """The roles of the documents' first 60 characters; name_roles_whole judges the texts."""
     head = F.substring(F.coalesce("text", F.lit("")), 1, 60)
     return t.documents.select("doc_id", F.when(head.rlike("[0-9]{3}"), "number").when(head.rlike("[|]"), "table").when(head.rlike("[#$%&*]{3}"), "marks").when(head.rlike("[A-Z]{6}"), "capitals").otherwise("prose").alias("role"))
 
 
+@query("I30,I33,C13", """SELECT doc_id, CASE WHEN regexp_matches(t, '[0-9]{3}') THEN 'number' WHEN regexp_matches(t, '[|]') THEN 'table' WHEN regexp_matches(t, '[#$%&*]{3}') THEN 'marks' WHEN regexp_matches(t, '[A-Z]{6}') THEN 'capitals' ELSE 'prose' END AS role FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)""")
+def name_roles_whole(t: Tables):
+    text = F.coalesce("text", F.lit(""))
+    return t.documents.select("doc_id", F.when(text.rlike("[0-9]{3}"), "number").when(text.rlike("[|]"), "table").when(text.rlike("[#$%&*]{3}"), "marks").when(text.rlike("[A-Z]{6}"), "capitals").otherwise("prose").alias("role"))
+
+
 @query("A20,I07", "SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, CAST(len(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1)) AS BIGINT) AS links FROM pages")
 def html_title_and_links(t: Tables):
     return t.pages.select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.size(F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), F.lit(1))).cast("bigint").alias("links"))

@@ -162,9 +162,19 @@ _FILL = "length(w) >= 12 AND regexp_full_match(w, '[A-Z0-9]+') AND length(regexp
 @query("K03,K04,I09,L01", f"""WITH d AS (SELECT upper(replace(split_part(coalesce(text, ''), ' ', 1), '.', '')) AS w FROM documents), s AS (SELECT count(*) AS rows, count(*) FILTER (WHERE {_FILL}) AS bad FROM d)
     SELECT rows, bad, CASE WHEN bad / rows >= 0.98 THEN 'fabricated' WHEN bad / rows <= 0.02 THEN 'clean' ELSE 'mixed' END AS verdict FROM s""")
 def realness_gate(t: Tables):
+    """The first word of each text; realness_gate_whole judges all words."""
     return gates.realness(t.documents.select(F.upper(F.replace(F.split_part(F.coalesce("text", F.lit("")), F.lit(" "), F.lit(1)), F.lit("."), F.lit(""))).alias("w")), ["w"])
 
 
+@query("K03,K04,I09,L01", f"""WITH d AS (SELECT upper(replace(unnest(regexp_split_to_array(coalesce(text, ''), '[ \t\r\n]+')), '.', '')) AS w FROM documents), s AS (SELECT count(*) AS rows, count(*) FILTER (WHERE {_FILL}) AS bad FROM d WHERE w <> '')
+    SELECT rows, bad, CASE WHEN bad / rows >= 0.98 THEN 'fabricated' WHEN bad / rows <= 0.02 THEN 'clean' ELSE 'mixed' END AS verdict FROM s""")
+def realness_gate_whole(t: Tables):
+    # only a to z are raised: by upper() an ß would become two letters of filler
+    text = F.translate(F.replace(F.coalesce("text", F.lit("")), F.lit("."), F.lit("")), "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+    words = t.documents.select(F.explode(F.split(text, "[ \t\r\n]+")).alias("w"))
+    return gates.realness(words.where("w <> ''"), ["w"])
+
+
 @query("K33", """WITH c AS (SELECT c_nationkey AS g, c_mktsegment AS i, count(*) AS n FROM customer GROUP BY 1, 2), f AS (SELECT g, CASE WHEN n < 8 THEN 'other' ELSE i END AS i, CAST(sum(n) AS BIGINT) AS n FROM c GROUP BY 1, 2) SELECT * FROM f WHERE n >= 8""")
 def disclosure_floor(t: Tables):
     counts = t.customer.groupBy(F.col("c_nationkey").alias("g"), F.col("c_mktsegment").alias("i")).agg(F.count("*").alias("n"))

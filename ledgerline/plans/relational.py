@@ -59,6 +59,16 @@ same_sql("intersect_keys", "H-05,H-06", "SELECT c_nationkey AS k FROM {customer}
 same_sql("zero_filled_grid", "D11", """
     SELECT u.user_id, t.event_type, count(e.event_id) AS n FROM (SELECT DISTINCT user_id FROM {events} WHERE user_id < 50) u CROSS JOIN (SELECT DISTINCT event_type FROM {events}) t
     LEFT JOIN {events} e ON e.user_id = u.user_id AND e.event_type = t.event_type GROUP BY u.user_id, t.event_type""", "events")
+@query("D11", """
+    SELECT u.user_id, t.event_type, count(e.event_id) AS n FROM (SELECT DISTINCT user_id FROM events) u CROSS JOIN (SELECT DISTINCT event_type FROM events) t
+    LEFT JOIN events e ON e.user_id = u.user_id AND e.event_type = t.event_type GROUP BY u.user_id, t.event_type""")
+def zero_filled_grid_whole(t: Tables):
+    """The grid of zero_filled_grid over all users; event types are few."""
+    counts = t.events.groupBy("user_id", "event_type").agg(F.count("event_id").alias("n"))
+    grid = t.events.select("user_id").distinct().crossJoin(F.broadcast(t.events.select("event_type").distinct()))
+    return grid.join(counts, ["user_id", "event_type"], "left").select("user_id", "event_type", F.coalesce("n", F.lit(0)).alias("n"))
+
+
 same_sql("bands", "C08", """
     SELECT CASE WHEN p_retailprice < 1000 THEN 'low' WHEN p_retailprice < 1500 THEN 'mid' ELSE 'high' END AS band, p_size BETWEEN 10 AND 20 AS medium, count(*) AS n FROM {part} GROUP BY 1, 2""", "part")
 same_sql("pattern_filters", "C16,I07", """

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.functions import geo, keys
-from ledgerline.operators import disclosure, gates, graphs, rows, space, stats, versions
+from ledgerline.operators import disclosure, gates, graphs, linkage, rows, space, stats, versions
+from ledgerline.plans import market, registers, relational, registry  # noqa: F401
 from ledgerline.sources import lake, readers
 
 
@@ -34,6 +35,26 @@ def test_jaro_winkler(spark):
     assert got == [0.9611, 0.84, 0.0, None, 1.0]
 
 
+def test_best_names_of_every_row(spark):
+    names = ["blue anvil", "blue anvils", "blue anvil", "blue box", "red box", "blue anvil", "blue bax", None, "red qqqqqqqq"]
+    df = spark.createDataFrame([(i, n, n and n.split()[0]) for i, n in enumerate(names)], "k long, n string, block string")
+    got = {r["a"]: (r["b"], round(r["score"], 6)) for r in linkage.best_names(df).collect()}
+    pairs = spark.createDataFrame([(i, j, a, b) for i, a in enumerate(names) for j, b in enumerate(names) if i != j and a and b and a.split()[0] == b.split()[0]], "i long, j long, a string, b string")
+    want = {}
+    for r in pairs.withColumn("s", keys.jaro_winkler(F.col("a"), F.col("b"))).where("s >= 0.8").orderBy(F.round("s", 9).desc(), "j").collect():
+        want.setdefault(r["i"], (r["j"], round(r["s"], 6)))
+    assert got == want and got[0] == (2, 1.0) and got[5] == (0, 1.0) and 3 in got and 7 not in got
+
+
+def test_whole_jobs_beside_cut_ones(spark, tmp_path):
+    spark.createDataFrame([(1, "plain " * 20 + "BCDFGHJKLMNPQ 123"), (2, "only prose")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 7, "a"), (2, 99, "b")], "event_id long, user_id long, event_type string").write.parquet(f"{tmp_path}/events.parquet")
+    run = lambda name: registry.QUERIES[name](spark, str(tmp_path)).collect()
+    assert {r["doc_id"]: r["role"] for r in run("name_roles_whole")} == {1: "number", 2: "prose"}
+    assert tuple(run("realness_gate_whole")[0]) == (24, 1, "mixed")
+    assert sorted(map(tuple, run("zero_filled_grid_whole"))) == [(7, "a", 1), (7, "b", 0), (99, "a", 0), (99, "b", 1)]
+
+
 def test_rows(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4), (None, 5)], "k string, v int")
     assert {(r["k"], r["v"]) for r in rows.first_rows(df, ["k"], [F.col("v").desc()]).collect()} == {("a", 2), ("b", 3), (None, 5)}
