@@ -116,8 +116,9 @@ def _near(places: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return places[at] == wanted
 
 
-def _matches(lists: list[np.ndarray], slop: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For the words of one window, (first, last + 1) of each occurrence; lists[k]: sorted positions of word k."""
+def _matches(lists: list[np.ndarray], slop: int, base: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For the words of one window, (first, last + 1) of spans that together cover each occurrence; lists[k]: sorted positions of
+    word k; base: the position of each document's first word."""
     by_rarity = sorted(range(len(lists)), key=lambda k: len(lists[k]))
     if not slop:
         start = lists[by_rarity[0]] - by_rarity[0]
@@ -126,19 +127,27 @@ def _matches(lists: list[np.ndarray], slop: int) -> list[tuple[np.ndarray, np.nd
             if not len(start):
                 break
         return start, start + len(lists)
-    # in order, each word at most slop + 1 positions after the one before; the rarest word's neighbourhood bounds the rest
+    # in order, each word at most slop + 1 positions after the one before, in one document; the rarest word's neighbourhood
+    # bounds the rest.  A word's position is reachable if the places before it hold a reachable one of the word before.
     reach = (slop + 1) * len(lists)
     around = lists[by_rarity[0]]
-    first = lists[0][(np.searchsorted(around, lists[0] - reach) < np.searchsorted(around, lists[0] + reach, "right"))]
-    last = first
-    for k in range(1, len(lists)):
-        at = np.searchsorted(lists[k], last, "right")
-        ok = at < len(lists[k])
-        first, last, at = first[ok], last[ok], at[ok]
-        step = lists[k][at] if len(at) else at
-        ok = step - last <= slop + 1
-        first, last = first[ok], step[ok]
-    return first, last + 1
+    near = [p[np.searchsorted(around, p - reach) < np.searchsorted(around, p + reach, "right")] for p in lists]
+
+    def from_(p: np.ndarray) -> np.ndarray:
+        return np.maximum(p - slop - 1, base[np.searchsorted(base, p, "right") - 1])
+
+    held = [near[0]]
+    for p in near[1:]:
+        held.append(p[np.searchsorted(held[-1], from_(p)) < np.searchsorted(held[-1], p)])
+    # back from the last word: of word k, what leads on to a position of word k + 1 that leads to an end
+    spans = [(held[-1], held[-1] + 1)]
+    for k in range(len(lists) - 2, -1, -1):
+        after, low = held[k + 1], from_(held[k + 1])
+        spans.append((held[k][np.searchsorted(held[k], low)], after + 1))
+        # +1 where the reach of an `after` begins, -1 where it ends: which positions lie in any of them
+        opened, closed = np.sort(low), after
+        held[k] = held[k][np.searchsorted(opened, held[k], "right") > np.searchsorted(closed, held[k], "right")]
+    return np.concatenate([a for a, _ in spans]), np.concatenate([b for _, b in spans])
 
 
 def _search_shard(row: dict, phrases: Phrases, slop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
@@ -156,7 +165,7 @@ def _search_shard(row: dict, phrases: Phrases, slop: int) -> tuple[np.ndarray, n
         pairs = []
         for w in np.flatnonzero(there[phrases.words].all(axis=1)).tolist():
             own = at[phrases.words[w, : phrases.size[w]]]
-            first, last = _matches([places[begin[t] : begin[t + 1]] for t in own], slop)
+            first, last = _matches([places[begin[t] : begin[t + 1]] for t in own], slop, base)
             if len(first):
                 doc = np.searchsorted(base, first, "right") - 1
                 same = doc == np.searchsorted(base, last - 1, "right") - 1

@@ -157,6 +157,26 @@ def test_proximity(spark):
     assert hits(0) == {2} and hits(1) == {1, 2} and hits(3) == {1, 2, 4}
 
 
+def test_proximity_of_repeated_words():
+    rng = np.random.default_rng(3)
+    assert [x.tolist() for x in decontamination._matches([np.array(p) for p in ([0], [1, 3], [5])], 2, np.array([0]))][0]  # alpha beta x beta x gamma
+    for _ in range(300):
+        text, base = rng.integers(0, 4, 40), np.array([0, 11, 27])
+        text[[10, 26]] = 9  # the gaps between documents
+        item, slop = rng.integers(0, 4, rng.integers(1, 5)), int(rng.integers(1, 4))
+        want, ways = set(), [(p,) for p in np.flatnonzero(text == item[0]).tolist()]
+        for w in item[1:]:
+            ways = [(*x, p) for x in ways for p in range(x[-1] + 1, min(x[-1] + slop + 2, 40)) if text[p] == w and sum(base <= p) == sum(base <= x[0])]
+        for x in ways:
+            want |= set(range(x[0], x[-1] + 1))
+        lists = [np.flatnonzero(text == w) for w in item]
+        got = set()
+        if all(len(p) for p in lists):
+            for a, b in zip(*decontamination._matches(lists, slop, base)):
+                got |= set(range(a, b))
+        assert got == want
+
+
 # near duplicates
 
 
