@@ -22,6 +22,45 @@ def index_percentile(x: str, p: float) -> Column:
     return F.try_element_at(v, F.least(F.size(v), F.floor(F.size(v) * F.lit(p)).cast("int") + 1))
 
 
+def values_at(df: DataFrame, by: str, x: str, places: dict[str, Column], buckets: int = 1000) -> DataFrame:
+    """by, n and, for each name, the value at a place (from 1, a Column over n) of the sorted values of the group; null beyond.
+
+    Equal values are counted first; of buckets of equal width only those that hold a wanted place are ranked, so no group
+    goes through one task, but values that crowd into one bucket do."""
+    counts = df.where(F.col(x).isNotNull()).groupBy(by, F.col(x).alias("__v")).agg(F.count("*").alias("__c"))
+    ends = counts.groupBy(by).agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"), F.sum("__c").alias("n"))
+    width = (F.col("__hi") - F.col("__lo")).cast("double") / buckets
+    bucket = F.coalesce(F.floor((F.col("__v") - F.col("__lo")).cast("double") / F.nullif(width, F.lit(0.0))), F.lit(0).cast("bigint"))
+    placed = counts.join(F.broadcast(ends.select(F.col(by).alias("__by"), "__lo", "__hi")), F.col(by).eqNullSafe(F.col("__by"))).select(by, "__v", "__c", bucket.alias("__b"))
+    sums = placed.groupBy(F.col(by).alias("__by"), F.col("__b").alias("__bb")).agg(F.sum("__c").alias("__c"))
+    before = sums.withColumn("__to", F.sum("__c").over(Window.partitionBy("__by").orderBy("__bb"))).withColumn("__from", F.col("__to") - F.col("__c")).drop("__c")
+    want = F.explode(F.array(*[F.struct(F.lit(k).alias("name"), p.cast("bigint").alias("at")) for k, p in places.items()]))
+    wanted = ends.select(F.col(by).alias("__g"), want.alias("__w")).select("__g", "__w.*")
+    chosen = wanted.join(before, F.col("__g").eqNullSafe(F.col("__by")) & (F.col("at") > F.col("__from")) & (F.col("at") <= F.col("__to"))).select("__g", "__bb", "name", F.col("at") - F.col("__from"))
+    chosen = chosen.toDF("__g", "__bb", "name", "at")
+    rows = placed.join(F.broadcast(chosen.select("__g", "__bb").distinct()), F.col(by).eqNullSafe(F.col("__g")) & (F.col("__b") == F.col("__bb")), "left_semi")
+    ranked = rows.withColumn("__to", F.sum("__c").over(Window.partitionBy(by, "__b").orderBy("__v")))
+    found = ranked.join(F.broadcast(chosen), F.col(by).eqNullSafe(F.col("__g")) & (F.col("__b") == F.col("__bb")) & (F.col("at") <= F.col("__to")) & (F.col("at") > F.col("__to") - F.col("__c")))
+    got = found.groupBy(F.col(by).alias("__g")).agg(*[F.max(F.when(F.col("name") == k, F.col("__v"))).alias(k) for k in places])
+    return ends.select(by, "n").join(got, F.col(by).eqNullSafe(F.col("__g")), "left").drop("__g")
+
+
+def index_percentiles(df: DataFrame, by: str, x: str, shares: dict[str, float]) -> DataFrame:
+    """by and, for each name, the value at place floor(p n) of the sorted values, as index_percentile, for large groups."""
+    n = F.col("n")
+    return values_at(df, by, x, {k: F.least(n, F.floor(n * F.lit(p)) + 1) for k, p in shares.items()}).drop("n")
+
+
+def exclusive_quantiles(df: DataFrame, by: str, x: str, shares: dict[str, float]) -> DataFrame:
+    """by, n and, for each name, the quantile as exclusive_quantile, for large groups."""
+    n, at, places = F.col("n"), {}, {}
+    for k, p in shares.items():
+        j = F.greatest(F.lit(1), F.least(F.floor((n + 1) * F.lit(p)), n - 1))
+        at[k], places[f"{k}_0"], places[f"{k}_1"] = (n + 1) * F.lit(p) - j, j, j + 1
+    v = values_at(df, by, x, places)
+    return v.select(by, "n", *[F.when(n >= 2, F.col(f"{k}_0") * (1 - d) + F.col(f"{k}_1") * d).alias(k) for k, d in at.items()])
+
+
 def mode_of(df: DataFrame, by: list[str], value: str) -> DataFrame:
     """by, value, n: the most frequent value of each key; ties go to the smaller value."""
     counts = df.groupBy(*by, value).agg(F.count("*").alias("n"))

@@ -125,12 +125,14 @@ def distinct_over_key(t: Tables):
     SELECT p_brand, n, round(max(CASE WHEN p < 0.5 THEN v[j] * (1 - ((n + 1) * p - j)) + v[j + 1] * ((n + 1) * p - j) END), 4) AS p25, round(max(CASE WHEN p > 0.5 THEN v[j] * (1 - ((n + 1) * p - j)) + v[j + 1] * ((n + 1) * p - j) END), 4) AS p75 FROM q GROUP BY p_brand, n""")
 def exclusive_quartiles(t: Tables):
     x = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select("p_brand", (F.col("l_quantity") + F.col("l_discount")).alias("x"))
-    return x.groupBy("p_brand").agg(F.count("*").alias("n"), F.round(stats.exclusive_quantile("x", 0.25), 4).alias("p25"), F.round(stats.exclusive_quantile("x", 0.75), 4).alias("p75")).where("n >= 20")
+    q = stats.exclusive_quantiles(x, "p_brand", "x", {"p25": 0.25, "p75": 0.75}).drop("n")
+    n = x.groupBy(F.col("p_brand").alias("b")).agg(F.count("*").alias("n")).where("n >= 20")  # with rows that have no value
+    return n.join(q, F.col("b").eqNullSafe(F.col("p_brand")), "left").select(F.col("b").alias("p_brand"), "n", F.round("p25", 4).alias("p25"), F.round("p75", 4).alias("p75"))
 
 
 @query("E08", """SELECT l_returnflag, list_sort(list(l_extendedprice))[least(count(*), CAST(floor(count(*) * 0.1) AS BIGINT) + 1)] AS p10, list_sort(list(l_extendedprice))[least(count(*), CAST(floor(count(*) * 0.9) AS BIGINT) + 1)] AS p90 FROM lineitem GROUP BY l_returnflag""")
 def index_percentiles(t: Tables):
-    return t.lineitem.groupBy("l_returnflag").agg(stats.index_percentile("l_extendedprice", 0.1).alias("p10"), stats.index_percentile("l_extendedprice", 0.9).alias("p90"))
+    return stats.index_percentiles(t.lineitem, "l_returnflag", "l_extendedprice", {"p10": 0.1, "p90": 0.9})
 
 
 @query("E06,K45", """SELECT l_linestatus, count(*) AS n, round(median(l_extendedprice), 2) AS median, round(quantile_cont(l_extendedprice, 0.25), 2) AS p25, round(quantile_cont(l_extendedprice, 0.75), 2) AS p75,

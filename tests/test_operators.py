@@ -73,6 +73,24 @@ def test_exclusive_quantiles(spark):
         assert list(r)[1:] == (pytest.approx(want) if len(vs) > 1 else want)
 
 
+def test_index_percentiles_of_large_groups(spark):
+    values = {"a": [float(i * i % 997) for i in range(3000)], "b": [5.0] * 40, None: [2.0, 1.0], "c": [7.0]}
+    df = spark.createDataFrame([(g, v) for g, vs in values.items() for v in vs] + [("c", None)], "g string, x double")
+    shares = {"p0": 0.0, "p10": 0.1, "p50": 0.5, "p100": 1.0}
+    out = stats.index_percentiles(df, "g", "x", shares)
+    assert "collect_list" not in out._jdf.queryExecution().toString()
+    assert {r["g"]: list(r)[1:] for r in out.collect()} == {g: [sorted(vs)[min(len(vs), int(len(vs) * p) + 1) - 1] for p in shares.values()] for g, vs in values.items()}
+
+
+def test_exclusive_quantiles_of_large_groups(spark):
+    values = {1: [float(i * i % 997) for i in range(3000)], 2: [5.0, 1.0, 9.0], 3: [2.0, 2.0], 4: [7.0]}
+    df = spark.createDataFrame([(g, v) for g, vs in values.items() for v in vs], "g int, x double")
+    out = stats.exclusive_quantiles(df, "g", "x", {f"q{i}": p for i, p in enumerate((0.25, 0.5, 0.75))})
+    assert "collect_list" not in out._jdf.queryExecution().toString()
+    for r in out.collect():
+        assert list(r)[2:] == (pytest.approx(statistics.quantiles(values[r["g"]], n=4)) if r["n"] > 1 else [None] * 3)
+
+
 def test_fingerprint_ignores_order_and_partitions(spark):
     df = spark.range(100).withColumn("t", F.col("id") % 7)
     mark = lambda d: tuple(stats.fingerprint(d).first())
