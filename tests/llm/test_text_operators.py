@@ -193,7 +193,8 @@ def classes(rows, similarity=0.8):
     return label
 
 
-def test_near_duplicates(spark):
+@pytest.mark.parametrize("direct", [near_dup.DIRECT, 3])  # the second sends nearly every bucket through the residuals
+def test_near_duplicates(spark, direct):
     rng = __import__("random").Random(9)
     rows = [(i if t != "other text, same key" else 16, t) for i, t in texts()]
     seed = prose(rng, 120).split()
@@ -208,7 +209,7 @@ def test_near_duplicates(spark):
     for k, (i, _) in enumerate(rows):
         want.setdefault(label[k], []).append(i)
     got = {}
-    result = near_dup.classes(table(spark, rows)).collect()
+    result = near_dup.classes(table(spark, rows), direct=direct).collect()
     assert len(result) == len(rows)
     kept = Counter()
     for r in result:
