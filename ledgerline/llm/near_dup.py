@@ -48,6 +48,8 @@ MISSED = 1.5e-5
 BELOW, ABOVE = 5.3, 4.4
 #: Members of a bucket, of those put forward to all, up to which they are compared directly where in different components.
 DIRECT = 16
+#: Pairs for each of the first round's members at which all that a later round has left is compared directly.
+PAIRS_EACH = 4
 #: Words of the bit table that sieves documents: it is broadcast, and never has more rows than this.
 SIEVE_WORDS = 1 << 17
 
@@ -120,7 +122,7 @@ def dart_signatures(cells: np.ndarray, start: np.ndarray, k: int) -> np.ndarray:
 
 def _shingles(column: pa.Array) -> Iterator[tuple]:
     """(first row, end row, bytes, offsets, cells, first cell of each text) of runs of texts."""
-    for row, end, data, offsets in chunks(column):
+    for row, end, data, offsets in chunks(column, 1 << 20):
         s, e, first = word_bounds(data, offsets)
         yield row, end, data, offsets, *shingle_cells(fingerprints(prefix_sums(data, LOWER_VALUES), s, e), first)
 
@@ -258,8 +260,8 @@ def sieved(docs: DataFrame, wanted: DataFrame, inside: bool = True) -> DataFrame
 class _Comparer:
     """Scores pairs of nodes(uid, doc_id, fp, signature) and keeps what it has read and found."""
 
-    def __init__(self, docs: DataFrame, nodes: DataFrame, similarity: float):
-        self.docs, self.nodes, self.similarity = _keyed(docs), nodes, similarity
+    def __init__(self, docs: DataFrame, nodes: DataFrame, similarity: float, owner: str):
+        self.docs, self.nodes, self.similarity, self.owner = _keyed(docs), nodes, similarity, owner
         _, self.no, self.yes = design(similarity)
         self.cells: DataFrame | None = None
         self.scores: DataFrame | None = None
@@ -279,9 +281,10 @@ class _Comparer:
 
             some = sieved(self.docs.withColumnRenamed("fp", "__fp"), need.select(F.col("its_fp").alias("fp")))
             its = some["doc_id"].eqNullSafe(need["its_id"]) & (some["__fp"] == need["its_fp"])
-            new = written(some.join(need, its).select("uid", "text").mapInArrow(run, "uid long, cells binary"), "near-cells")
-            if new.count() > n:  # rows with the same id and text
-                new = written(new.dropDuplicates(["uid"]), "near-cells")
+            with owned(self.owner):
+                new = written(some.join(need, its).select("uid", "text").mapInArrow(run, "uid long, cells binary"), "near-cells")
+                if new.count() > n:  # rows with the same id and text
+                    new = written(new.dropDuplicates(["uid"]), "near-cells")
             self.cells = new if self.cells is None else self.cells.unionAll(new)
         return self.cells
 
@@ -293,13 +296,15 @@ class _Comparer:
             left, right = of.select(F.col("uid").alias("a"), F.col(column).alias("x")), of.select(F.col("uid").alias("b"), F.col(column).alias("y"))
             return p.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(how, "a long, b long, score double")
 
-        rough = written(score(todo, self.nodes, "signature", _estimates), "near-estimates")
+        with owned(self.owner):
+            rough = written(score(todo, self.nodes, "signature", _estimates), "near-estimates")
         unsure = F.col("score").between(self.no, self.yes)
         grey = rough.where(unsure).select("a", "b")
         new = rough.where(~unsure)
         if grey.limit(1).count():
             cells = self.read(grey.select(F.col("a").alias("uid")).union(grey.select("b")))
-            new = new.unionAll(written(score(grey, cells, "cells", _counts), "near-counts"))
+            with owned(self.owner):
+                new = new.unionAll(written(score(grey, cells, "cells", _counts), "near-counts"))
         self.scores = new.select("a", "b") if self.scores is None else self.scores.unionAll(new.select("a", "b"))
         return new.where(F.col("score") >= self.similarity).select("a", "b")
 
@@ -338,8 +343,9 @@ def _refined(large: DataFrame, comparer: _Comparer) -> DataFrame:
     each = rows.select(*own, F.explode("cells").alias("cell"))
     often = written(each.groupBy("leader", "cell").agg(F.count("*").alias("n")).where("n > 1"), "near-often")
     counted = each.join(often, ["leader", "cell"], "left").groupBy(*own).agg(F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "cell"))).alias("order"))
-    first = counted.select(*own, F.posexplode(F.slice("order", 1, F.col("most"))).alias("at", "c"))
-    return first.where("c.n > 1").select(F.xxhash64("leader", "c.cell").alias("bucket"), "uid", (F.col("at") >= F.col("near")).alias("far"), "at", "size", "weight")
+    placed = F.transform(F.slice("order", 1, F.col("most")), lambda c, i: F.struct(c["n"].alias("n"), c["cell"].alias("cell"), i.alias("at")))
+    first = counted.select(*own, F.explode(F.filter(placed, lambda c: c["n"] > 1)).alias("c"))
+    return first.select(F.xxhash64("leader", "c.cell").alias("bucket"), "uid", (F.col("c.at") >= F.col("near")).alias("far"), "c.at", "size", "weight")
 
 
 #: Columns of the table of bucket members; at, size and weight: place in the residual, its size, and the text's.
@@ -357,39 +363,70 @@ def _apart(small: DataFrame, similarity: float) -> DataFrame:
     return x.join(y, on).select(F.col("x.uid").alias("a"), F.col("y.uid").alias("b")).distinct()
 
 
-def _components(docs: DataFrame, all_: DataFrame, texts: DataFrame, similarity: float, direct: int) -> DataFrame | None:
-    """node, label of the texts that are linked with another; None if none is."""
-    reps = written(all_.select("uid", "bands").join(texts.select("uid"), "uid", "left_semi"), "near-bands")
-    met = reps.select("uid", F.explode("bands").alias("bucket"))
-    shared = written(met.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"), "near-shared")
-    none = F.lit(0)
-    members = written(met.join(shared, "bucket").select("bucket", "uid", F.lit(False).alias("far"), none.alias("at"), none.alias("size"), none.alias("weight")), "near-members")
-    nodes = written(all_.select("uid", "doc_id", "fp", "signature").join(members.select("uid").distinct(), "uid", "left_semi"), "near-nodes")
-    comparer, labels, least = _Comparer(docs, nodes, similarity), None, 0
-    while members.limit(1).count():
-        # buckets whose members are to be compared with a leader: at first all, then the large ones
-        sizes = members.groupBy("bucket").agg(F.count("*").alias("n"), F.count(F.when(~F.col("far"), 1)).alias("near"))
-        sized = written(members.join(sizes, "bucket"), "near-sized")
-        led = sized.where(F.col("near") > least)
+def _met(pairs: DataFrame, labels: DataFrame | None, comparer: _Comparer) -> DataFrame | None:
+    """labels after each uid of pairs(uid, leader) that is in another component than its leader was compared with it."""
+    meet = written(pairs.where("uid <> leader").distinct(), "near-meet")
+    apart = _labelled(_labelled(meet, labels, "uid"), labels, "leader").where("uid_label <> leader_label")
+    return _merged(labels, comparer.links(apart.select(F.least("uid", "leader").alias("a"), F.greatest("uid", "leader").alias("b")).distinct()))
+
+
+def _round(members: DataFrame, labels: DataFrame | None, comparer: _Comparer, direct: int, spare: int | None) -> tuple[DataFrame | None, DataFrame | None, int]:
+    """(members of the next round's buckets or None, labels, rows of members).  spare: pairs that may be left for all to be
+    compared directly; None in the first round, in which every bucket has a leader."""
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("n"), F.count(F.when(~F.col("far"), 1)).alias("near"))
+    sized = written(members.join(sizes, "bucket"), "near-sized")
+    # rows of a bucket each carry n, so the sum of near over rows is the number of pairs put forward
+    seen = sized.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.when(F.col("near") > direct, F.col("near"))), F.lit(0)).alias("pairs")).first()
+    few = spare is not None and seen["pairs"] <= spare
+    led = sized if spare is None else sized.where(F.col("near") > direct)
+    if not few:
         degree = led.groupBy("uid").agg(F.sum("n").alias("degree"))
         best = F.max(F.struct("degree", (-F.col("uid")).alias("minus"))).alias("best")
-        leaders = written(led.join(degree, "uid").groupBy("bucket").agg(best).select("bucket", (-F.col("best.minus")).alias("leader")), "near-leaders")
-        meet = written(led.join(leaders, "bucket").where("uid <> leader").select("uid", "leader").distinct(), "near-meet")
-        apart = _labelled(_labelled(meet, labels, "uid"), labels, "leader").where("uid_label <> leader_label")
-        labels = _merged(labels, comparer.links(apart.select(F.least("uid", "leader").alias("a"), F.greatest("uid", "leader").alias("b")).distinct()))
-        # what is left in different components: pairs where few are put forward, finer buckets else
-        now = written(_labelled(sized, labels, "uid").withColumnRenamed("uid_label", "label"), "near-now")
-        mixed = now.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("bucket")
-        now = written(now.join(mixed, "bucket"), "near-mixed")
-        labels = _merged(labels, comparer.links(_apart(now.where(F.col("near") <= direct), similarity)))
-        large = written(now.where(F.col("near") > direct).join(leaders, "bucket").select("leader", "uid").distinct(), "near-meet")
-        if not large.limit(1).count():
-            break
-        out = written(_labelled(_labelled(large, labels, "uid"), labels, "leader").select("leader", "uid", (F.col("uid_label") != F.col("leader_label")).alias("out")), "near-out")
-        fresh = written(_refined(out, comparer), "near-fresh")
-        known = _labelled(fresh, labels, "uid")
-        useful = known.groupBy("bucket").agg(F.min("uid_label").alias("low"), F.max("uid_label").alias("high"), F.min("far").alias("far")).where("low < high AND NOT far").select("bucket")
-        members, least = written(fresh.join(useful, "bucket").select(*MEMBER), "near-members"), direct
+        leaders = written(led.join(degree, "uid").groupBy("bucket").agg(best).select("bucket", (-F.col("best.minus")).alias("leader"), F.col("best.degree").alias("degree")), "near-leaders")
+        labels = _met(led.join(leaders.drop("degree"), "bucket").select("uid", "leader"), labels, comparer)
+    # what is left in different components: pairs where few are put forward, finer buckets else
+    now = written(_labelled(sized, labels, "uid").withColumnRenamed("uid_label", "label"), "near-now")
+    mixed = now.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("bucket")
+    now = written(now.join(mixed, "bucket"), "near-mixed")
+    labels = _merged(labels, comparer.links(_apart(now if few else now.where(F.col("near") <= direct), comparer.similarity)))
+    if few:
+        return None, labels, seen["rows"]
+    large = written(_labelled(now.where(F.col("near") > direct).join(leaders, "bucket"), labels, "leader"), "near-large")
+    if not large.limit(1).count():
+        return None, labels, seen["rows"]
+    # the buckets whose leaders are in one component take one of these as the leader of all
+    one = large.groupBy("leader_label").agg(F.max(F.struct("degree", (-F.col("leader")).alias("minus"))).alias("best"))
+    large = written(large.select("uid", "leader_label").distinct().join(one, "leader_label").select("uid", (-F.col("best.minus")).alias("leader")), "near-large")
+    labels = _met(large, labels, comparer)
+    out = written(_labelled(_labelled(large, labels, "uid"), labels, "leader").select("leader", "uid", (F.col("uid_label") != F.col("leader_label")).alias("out")), "near-out")
+    fresh = written(_refined(out, comparer), "near-fresh")
+    known = _labelled(fresh, labels, "uid")
+    useful = known.groupBy("bucket").agg(F.min("uid_label").alias("low"), F.max("uid_label").alias("high"), F.min("far").alias("far")).where("low < high AND NOT far").select("bucket")
+    return fresh.join(useful, "bucket").select(*MEMBER), labels, seen["rows"]
+
+
+def _components(docs: DataFrame, all_: DataFrame, texts: DataFrame, similarity: float, direct: int, work: str) -> DataFrame | None:
+    """node, label of the texts that are linked with another; None if none is.  The tables of a round are deleted when what
+    goes on from it is stored."""
+    spark, first = docs.sparkSession, f"{work} first"
+    with owned(first):
+        reps = written(all_.select("uid", "bands").join(texts.select("uid"), "uid", "left_semi"), "near-bands")
+        met = reps.select("uid", F.explode("bands").alias("bucket"))
+        shared = written(met.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"), "near-shared")
+    none = F.lit(0)
+    with owned(work):
+        members = written(met.join(shared, "bucket").select("bucket", "uid", F.lit(False).alias("far"), none.alias("at"), none.alias("size"), none.alias("weight")), "near-members")
+        drop(spark, first)
+        nodes = written(all_.select("uid", "doc_id", "fp", "signature").join(members.select("uid").distinct(), "uid", "left_semi"), "near-nodes")
+    comparer, labels, spare, n = _Comparer(docs, nodes, similarity, work), None, None, 0
+    while members is not None and members.limit(1).count():
+        n += 1
+        with owned(f"{work} {n}"):
+            members, labels, size = _round(members, labels, comparer, direct, spare)
+        with owned(work):
+            members, labels = (written(members, "near-members") if members is not None else None), (written(labels, "near-labels") if labels is not None else None)
+        drop(spark, f"{work} {n}")
+        spare = PAIRS_EACH * size if spare is None else spare
     return labels
 
 
@@ -400,7 +437,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, direct: int = DIREC
     key = ["digest", "digest2", "shingles"]
     texts = written(all_.groupBy(*key).agg(F.min("uid").alias("uid"), F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "uid")).alias("first")), "near-texts")
     with owned(work):
-        labels = _components(docs, all_, texts, similarity, direct)
+        labels = _components(docs, all_, texts, similarity, direct, work)
         named = _labelled(texts, labels, "uid").withColumnRenamed("uid_label", "label")
         firsts = named.groupBy("label").agg(F.min("first").alias("class"))
         classed = named.join(firsts, "label").select(*key, "class")

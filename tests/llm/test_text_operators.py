@@ -193,8 +193,9 @@ def classes(rows, similarity=0.8):
     return label
 
 
-@pytest.mark.parametrize("direct", [near_dup.DIRECT, 3])  # the second sends nearly every bucket through the residuals
-def test_near_duplicates(spark, direct):
+@pytest.mark.parametrize(("direct", "each"), [(near_dup.DIRECT, near_dup.PAIRS_EACH), (3, 0)])  # the second sends nearly every bucket through the residuals
+def test_near_duplicates(spark, direct, each, monkeypatch):
+    monkeypatch.setattr(near_dup, "PAIRS_EACH", each)
     rng = __import__("random").Random(9)
     rows = [(i if t != "other text, same key" else 16, t) for i, t in texts()]
     seed = prose(rng, 120).split()
@@ -250,7 +251,7 @@ def cut(rows, length):
     return sorted(out)
 
 
-@pytest.mark.parametrize("options", [{}, {"giant": 1}, {"length": 60, "gram": 8, "shard": 500, "span": 7}, {"length": 60, "gram": 60, "span": 1}])
+@pytest.mark.parametrize("options", [{}, {"shard": 1}, {"shard": 3000}, {"length": 60, "gram": 8, "shard": 500, "spans": (6, 2, 1)}, {"length": 60, "gram": 60, "shard": 1, "spans": (1,)}])
 def test_repeated_substrings(spark, options):
     got = substring_dedup.digests(table(spark), **options).collect()
     assert sorted((str(r[0]), *r[1:]) for r in got) == cut(texts(), options.get("length", 400))
