@@ -6,12 +6,14 @@ grams with the smallest hash.  Neighbouring windows share anchors, so a document
 kilobytes, each known by its anchor's fingerprint; equal windows have equal anchors at equal places.  Regions whose anchor
 occurs once in the corpus hold no repeat, and regions that are equal byte for byte are one string with a count.
 
-Where an anchor has several different strings, their windows are split into spans of SPAN places before the anchor.  All
-windows of a span share a core of bytes, so spans with different cores have no window in common; a core that only one
-string has is done, and equal spans are one again.  The different spans of a core go to one shard, whose suffix array is
-built by induced sorting; the permuted common prefixes tell which windows start elsewhere too.  The flags return to all
-documents that hold the string.  A core in more than GIANT different spans would make a shard of unbounded size; its
-windows are spread by their own fingerprints and counted instead, with the same result.
+The different strings of the shared anchors, twice where there are more copies, are dealt to shards by anchor.  A shard's
+suffix array is built by induced sorting, and the permuted common prefixes tell which windows start elsewhere too; the flags
+return to all documents that hold the string.
+
+An anchor whose strings exceed a shard (a passage in very many documents) is split: its windows form spans of so many places
+before the anchor.  All windows of a span share a core of bytes, so spans with different cores have no window in common;
+equal spans are one string again, and the spans of a core go to one shard.  A core that still exceeds a shard is split into
+shorter spans, down to single windows, which are all equal.
 
 Defined results: a null text is empty; texts shorter than LENGTH lose nothing; rows with the same doc_id are separate
 documents; an empty table gives no rows.  Fingerprints have 64 bits (two strings share one with a chance of about 2**-60).
@@ -31,11 +33,12 @@ from .suffix_array import repeated
 from .textbytes import VALUES, buffers, chunks, fingerprints, mix, prefix_sums, ranges
 
 LENGTH, GRAM = 400, 32
-#: Windows of a span, different spans of one core that are sorted together at most, and bytes of a shard (whole cores).
-SPAN, GIANT, SHARD_BYTES = 48, 4096, 1 << 20
+#: Windows of a span at each splitting (each a multiple of the next), and bytes of a shard (whole anchors or cores).
+SPANS, SHARD_BYTES = (48, 12, 3, 1), 1 << 20
 
 REGION_SCHEMA = "doc_id long, fp long, at int, windows int, lead int, anchor long, string long"
-SPAN_SCHEMA = "anchor long, string long, copies int, first int, windows int, core long, span long"
+STRING_SCHEMA = "anchor long, string long, copies int, lead int, bytes binary"
+SPAN_SCHEMA = "anchor long, string long, copies int, lead int, first int, windows int, core long, span long"
 
 
 def regions(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
@@ -115,88 +118,86 @@ def _spans(batches: Iterator[pa.RecordBatch], length: int, size: int) -> Iterato
             core = mix(fingerprints(sums, middle, middle - size + 1 + length) ^ mix(q.astype(np.uint64) ^ anchor_[row:end][of].view(np.uint64)))
             span = fingerprints(sums, base + first, base + last + length)
             pick = pa.array(of + row)
-            yield pa.RecordBatch.from_arrays([*(batch.column(i).take(pick) for i in range(3)), pa.array(first.astype(np.int32)), pa.array((last - first + 1).astype(np.int32)), pa.array(core.view(np.int64)), pa.array(span.view(np.int64))], ["anchor", "string", "copies", "first", "windows", "core", "span"])
+            numbers = [pa.array(x.astype(np.int32)) for x in (lead[of] - first, first, last - first + 1)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i).take(pick) for i in range(3)), *numbers, pa.array(core.view(np.int64)), pa.array(span.view(np.int64))], ["anchor", "string", "copies", "lead", "first", "windows", "core", "span"])
 
 
 def _cut_out(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """core, span, copies, giant, bytes for rows (bytes, wanted spans)."""
+    """STRING_SCHEMA, a row for each span, for rows (bytes, wanted spans)."""
+    names = ["anchor", "string", "copies", "lead", "bytes"]
     for batch in batches:
         data, offsets = buffers(batch.column(0))
         want = batch.column(1)
         flat = want.flatten()
         begin = offsets[np.repeat(np.arange(len(want)), want.value_lengths().fill_null(0).to_numpy())] + flat.field("first").to_numpy()
         end = begin + flat.field("windows").to_numpy() - 1 + length
-        raw = pa.array([data[b:e].tobytes() for b, e in zip(begin.tolist(), end.tolist())], pa.binary())
-        yield pa.RecordBatch.from_arrays([*(flat.field(c) for c in ("core", "span", "copies", "giant")), raw], ["core", "span", "copies", "giant", "bytes"])
+        for k in range(0, len(flat), 4096):
+            raw = pa.array([data[b:e].tobytes() for b, e in zip(begin[k : k + 4096].tolist(), end[k : k + 4096].tolist())], pa.binary())
+            part = flat.slice(k, 4096)
+            yield pa.RecordBatch.from_arrays([*(part.field(c) for c in ("core", "span", "copies", "lead")), raw], names)
 
 
 def _sorted_shards(batches: Iterator[pa.RecordBatch], length: int, limit: int) -> Iterator[pa.RecordBatch]:
-    """core, span, first, count of the runs of repeated windows, for rows (core, span, copies, bytes) in core order."""
-    held: list[tuple[int, int, int, bytes]] = []
+    """anchor, string, first, count of the runs of repeated windows, for rows (anchor, string, copies, bytes) in the order of
+    anchors, whose strings stay together."""
+    held: list[tuple[int, int, bytes]] = []
     size, last = 0, None
 
     def flush() -> pa.RecordBatch:
         out = []
-        for (core, span, copies, _), twice in zip(held, repeated([h[3] for h in held], length)):
-            edge = np.flatnonzero(np.diff(np.concatenate([[0], twice.astype(np.int8), [0]])))
-            if copies == 1:
-                out += [(core, span, s, e - s) for s, e in zip(edge[::2].tolist(), edge[1::2].tolist())]
+        again = None
+        for (anchor, string, _), twice in zip(held, repeated([h[2] for h in held], length)):
+            if (anchor, string) != again:
+                edge = np.flatnonzero(np.diff(np.concatenate([[0], twice.astype(np.int8), [0]])))
+                out += [(anchor, string, s, e - s) for s, e in zip(edge[::2].tolist(), edge[1::2].tolist())]
+            again = (anchor, string)
         held.clear()
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32()))], ["core", "span", "first", "count"])
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32()))], ["anchor", "string", "first", "count"])
 
     for batch in batches:
-        for core, span, copies, raw in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            if size >= limit and core != last:
+        for anchor, string, copies, raw in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            if size >= limit and anchor != last:
                 yield flush()
                 size = 0
-            held.append((core, span, copies, raw))
-            size, last = size + len(raw), core
+            held += [(anchor, string, raw)] * copies
+            size, last = size + len(raw) * copies, anchor
     if held:
         yield flush()
 
 
-def _windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """core, span, copies, first, window (fingerprint) of every window."""
-    for batch in batches:
-        for row, end, data, offsets in chunks(batch.column(3)):
-            n = np.diff(offsets) - length + 1
-            start = ranges(offsets[:-1], n)
-            pick = pa.array(np.repeat(np.arange(row, end), n))
-            print_ = fingerprints(prefix_sums(data, VALUES), start, start + length).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*(batch.column(i).take(pick) for i in range(3)), pa.array(ranges(np.zeros(len(n), np.int64), n).astype(np.int32)), pa.array(print_)], ["core", "span", "copies", "first", "window"])
-
-
-def _marks(docs: DataFrame, length: int, gram: int, span: int, giant: int, shard: int) -> DataFrame:
+def _repeats(strings: DataFrame, length: int, spans: tuple[int, ...], shard: int) -> DataFrame:
+    """anchor, string, first, count: the runs of repeated windows of the stored strings (STRING_SCHEMA; copies: 1, or 2 for more)."""
+    large = written(strings.groupBy("anchor").agg(F.sum(F.length("bytes") * F.col("copies")).alias("n")).where(F.col("n") > shard).select("anchor"), "substring-large")
+    split = bool(spans) and large.limit(1).count() > 0
+    near = (strings.join(large, "anchor", "left_anti") if split else strings).select("anchor", "string", "copies", "bytes").repartition("anchor").sortWithinPartitions("anchor", "string")
+    found = near.mapInArrow(lambda it: _sorted_shards(it, length, shard), "anchor long, string long, first int, count int")
+    if not split:
+        return found
+    size, some = spans[0], strings.join(large, "anchor")
+    parts = written(some.mapInArrow(lambda it: _spans(it, length, size), SPAN_SCHEMA), "substring-spans")
+    kinds = parts.groupBy("core", "span").agg(F.sum("copies").alias("copies"), F.min(F.struct("anchor", "string", "first", "windows", "lead")).alias("one"))
+    wanted = kinds.select("core", "span", F.least("copies", F.lit(2)).cast("int").alias("copies"), "one.*")
+    by_string = written(wanted.groupBy("anchor", "string").agg(F.collect_list(F.struct("first", "windows", "lead", "core", "span", "copies")).alias("want")), "substring-by-string")
+    pieces = written(some.join(by_string, ["anchor", "string"]).select("bytes", "want").mapInArrow(lambda it: _cut_out(it, length), STRING_SCHEMA), "substring-pieces")
+    inner = written(_repeats(pieces, length, spans[1:], shard).toDF("core", "span", "inside", "count"), "substring-inner")
+    outer = parts.select("anchor", "string", "first", "core", "span").join(inner, ["core", "span"]).select("anchor", "string", (F.col("first") + F.col("inside")).alias("first"), "count")
+    return found.unionAll(outer)
+
+
+def _marks(docs: DataFrame, length: int, gram: int, spans: tuple[int, ...], shard: int) -> DataFrame:
     """doc_id, fp, runs (first window, windows) of the repeated windows of each text that has any."""
     all_ = written(_regions(docs, length, gram), "substring-regions")
     often = written(all_.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "substring-anchors")
     shared = written(all_.join(often, "anchor"), "substring-shared")
     one = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "fp", "at", "windows", "lead"))
-    strings = written(shared.groupBy("anchor", "string").agg(F.count("*").alias("copies"), one.alias("one")), "substring-strings")
-    whole = strings.where("copies > 1").select("anchor", "string", F.lit(0).alias("first"), F.col("one.windows").alias("count"))
-    # anchors of several strings, one of them a single copy: the bytes of these strings, once each
-    mixed = written(strings.groupBy("anchor").agg(F.count("*").alias("different"), F.min("copies").alias("least")).where("different > 1 and least = 1").select("anchor"), "substring-mixed")
-    want = strings.join(mixed, "anchor").select("anchor", "string", F.least("copies", F.lit(2)).cast("int").alias("copies"), "one.*")
+    want = shared.groupBy("anchor", "string").agg(F.least(F.count("*"), F.lit(2)).cast("int").alias("copies"), one.alias("one")).select("anchor", "string", "copies", "one.*")
     by_doc = written(want.groupBy("doc_id", "fp").agg(F.collect_list(F.struct("at", "windows", "anchor", "string", "copies", "lead")).alias("want")), "substring-wanted")
     same = docs["doc_id"].eqNullSafe(by_doc["doc_id"]) & (docs["fp"] == by_doc["fp"])
-    texts = written(docs.join(by_doc, same).select("text", "want").mapInArrow(lambda it: _strings(it, length), "anchor long, string long, copies int, lead int, bytes binary"), "substring-texts")
-    # their spans, equal ones as one
-    spans = written(texts.mapInArrow(lambda it: _spans(it, length, span), SPAN_SCHEMA), "substring-spans")
-    first_of = F.min(F.struct("anchor", "string", "first", "windows"))
-    kinds = written(spans.groupBy("core", "span").agg(F.sum("copies").alias("copies"), first_of.alias("one")), "substring-kinds")
-    cores = written(kinds.groupBy("core").agg(F.count("*").alias("different"), F.min("copies").alias("least")).where("different > 1 and least = 1").select("core", (F.col("different") > giant).alias("giant")), "substring-cores")
-    wanted = kinds.join(cores, "core").select("core", "span", F.least("copies", F.lit(2)).cast("int").alias("copies"), "giant", "one.*")
-    by_string = written(wanted.groupBy("anchor", "string").agg(F.collect_list(F.struct("first", "windows", "core", "span", "copies", "giant")).alias("want")), "substring-by-string")
-    pieces = written(texts.join(by_string, ["anchor", "string"]).select("bytes", "want").mapInArrow(lambda it: _cut_out(it, length), "core long, span long, copies int, giant boolean, bytes binary"), "substring-pieces")
-    near = pieces.where("not giant").select("core", "span", "copies", "bytes").repartition("core").sortWithinPartitions("core", "span")
-    sorted_ = near.mapInArrow(lambda it: _sorted_shards(it, length, shard), "core long, span long, first int, count int")
-    spread = written(pieces.where("giant").select("core", "span", "copies", "bytes").mapInArrow(lambda it: _windows(it, length), "core long, span long, copies int, first int, window long"), "substring-windows")
-    twice = written(spread.groupBy("window").agg(F.sum("copies").alias("n")).where("n > 1").select("window"), "substring-twice")
-    counted = spread.where("copies = 1").join(twice, "window").select("core", "span", "first", F.lit(1).alias("count"))
-    equal = kinds.where("copies > 1").select("core", "span", F.lit(0).alias("first"), F.col("one.windows").alias("count"))
-    found = written(equal.unionAll(sorted_).unionAll(counted), "substring-found").select("core", "span", F.col("first").alias("inside"), "count")
-    parts = spans.where("copies = 1").select("anchor", "string", "first", "core", "span").join(found, ["core", "span"]).select("anchor", "string", (F.col("first") + F.col("inside")).alias("first"), "count")
-    flags = written(whole.unionAll(parts), "substring-flags")
+    # of rows with the same id and text, each would bring the strings
+    strings = docs.join(by_doc, same).select("text", "want").mapInArrow(lambda it: _strings(it, length), STRING_SCHEMA)
+    if docs.groupBy("doc_id", "fp").agg(F.count("*").alias("n")).where("n > 1").limit(1).count():
+        strings = strings.dropDuplicates(["anchor", "string"])
+    flags = written(_repeats(written(strings, "substring-texts"), length, spans, shard), "substring-flags")
     return shared.select("doc_id", "fp", "at", "anchor", "string").join(flags, ["anchor", "string"]).groupBy("doc_id", "fp").agg(F.collect_list(F.struct((F.col("at") + F.col("first")).alias("first"), "count")).alias("runs"))
 
 
@@ -217,10 +218,10 @@ def _ready(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("fp"), *more)
 
 
-def deduplicated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, span: int = SPAN, giant: int = GIANT, shard: int = SHARD_BYTES) -> DataFrame:
+def deduplicated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, spans: tuple[int, ...] = SPANS, shard: int = SHARD_BYTES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (binary) for every row of docs(doc_id, text)."""
     ready = _ready(docs)
-    runs = _marks(ready, length, gram, span, giant, shard).select(F.col("doc_id").alias("run_id"), F.col("fp").alias("run_fp"), "runs")
+    runs = _marks(ready, length, gram, spans, shard).select(F.col("doc_id").alias("run_id"), F.col("fp").alias("run_fp"), "runs")
     both = ready.join(runs, F.col("doc_id").eqNullSafe(F.col("run_id")) & (F.col("fp") == F.col("run_fp")), "left").select("doc_id", "text", "runs")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
