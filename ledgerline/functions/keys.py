@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import difflib
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,12 +16,24 @@ def number_key(x: Column) -> Column:
 
 
 def parcel_key(x: Column) -> Column:
-    """The spellings 6830847, 6830847.00, 683-847 and 0117.645 as one number; zero and sub-parcels are null."""
-    t = F.trim(x)
-    dashed = F.concat(F.regexp_extract(t, r"^(\d{3,})-(\d+)$", 1), F.lpad(F.regexp_extract(t, r"^(\d{3,})-(\d+)$", 2), 4, "0"))
-    dotted = F.concat(F.regexp_extract(t, r"^0*(\d{3})\.(\d{3})$", 1), F.lpad(F.regexp_extract(t, r"^0*(\d{3})\.(\d{3})$", 2), 4, "0"))
-    key = F.when(t.rlike(r"^\d+$"), t).when(t.rlike(r"^\d+\.0+$"), F.split_part(t, F.lit("."), F.lit(1))).when(t.rlike(r"^\d{3,}-\d{1,4}$"), dashed).when(t.rlike(r"^0\d{3}\.\d{3}$"), dotted)
-    return F.nullif(key.try_cast("bigint"), F.lit(0))
+    """The spellings of a parcel as one number: 6830847, 6830847.00, 683-847 and 683.847 (community and plot), 921-11059 (a plot
+    of five digits: 92111059).  Zero, community 0 and sub-parcels (4238153.2) are null."""
+    t = F.trim(x.cast("string"))
+    community, plot = (F.regexp_extract(t, r"^([0-9]+)[-.]([0-9]+)$", i).try_cast("bigint") for i in (1, 2))
+    parts = (t.rlike(r"^[0-9]{1,4}[-.][0-9]{1,4}$") | t.rlike(r"^[0-9]{1,3}[-.][0-9]{5}$")) & (community > 0)
+    whole = F.when(t.rlike(r"^[0-9]+(\.0*)?$"), F.regexp_extract(t, "^([0-9]+)", 1).try_cast("bigint"))
+    return F.nullif(F.coalesce(whole, F.when(parts, community * F.when(plot >= 10000, 100000).otherwise(10000) + plot)), F.lit(0))
+
+
+def community_of(key: Column) -> Column:
+    """The community of a parcel key: three digits, before four of the plot or, in keys of eight digits, five."""
+    return F.when(key >= 10_000_000, F.floor(key / 100_000)).otherwise(F.floor(key / 10_000)).cast("bigint")
+
+
+def parent_parcel_key(x: Column) -> Column:
+    """parcel_key, and the parent of a sub-parcel."""
+    parent = F.regexp_extract(F.trim(x.cast("string")), r"^([0-9]{5,})\.[0-9]+$", 1).try_cast("bigint")
+    return F.nullif(F.coalesce(parcel_key(x), parent), F.lit(0))
 
 
 def name_norm(x: Column) -> Column:
@@ -55,8 +70,13 @@ def month_label(d: Column) -> Column:
 
 
 def vowel_share(x: Column) -> Column:
-    letters = F.length(F.regexp_replace(F.upper(x), "[^A-Z]", ""))
-    return F.length(F.regexp_replace(F.upper(x), "[^AEIOU]", "")) / F.nullif(letters, F.lit(0))
+    """Vowels among the letters; 0 without letters."""
+    letters = F.length(F.regexp_replace(x, "[^A-Za-z]", ""))
+    return F.coalesce(F.length(F.regexp_replace(x, "[^AEIOUaeiou]", "")) / F.nullif(letters, F.lit(0)), F.when(x.isNotNull(), 0.0))
+
+
+#: fixed values: real words that look like filler, being months, units and a tender's state
+REAL_WORDS = ("JAN", "FEB", "MAR", "APR", "MAY", "JUN", "JUL", "AUG", "SEP", "SEPT", "OCT", "NOV", "DEC", "MIGD", "MIG", "CLOSED")
 
 
 def is_long_fill(x: Column) -> Column:
@@ -65,36 +85,80 @@ def is_long_fill(x: Column) -> Column:
 
 
 def is_word_fake(x: Column) -> Column:
-    return F.coalesce(x.rlike("^[A-Z]{3,8}$") & (vowel_share(x) < 0.34), F.lit(False))
+    return F.coalesce(x.rlike("^[A-Z]{3,8}$") & (vowel_share(x) < 0.34) & ~x.isin(*REAL_WORDS), F.lit(False))
+
+
+def has_arabic(x: Column) -> Column:
+    return F.coalesce(x.rlike("[\u0600-\u06ff]"), F.lit(False))
+
+
+def squeezed(x: Column) -> Column:
+    """Lower-case letters and digits only."""
+    return F.regexp_replace(F.lower(x), "[^a-z0-9]", "")
+
+
+def one_edit(a: Column, b: Column) -> Column:
+    """One insertion, deletion or substitution apart."""
+    return F.levenshtein(a, b) == 1
+
+
+def has_word(text: Column, word: Column) -> Column:
+    """Does a word or phrase stand in a text with no letter or digit beside it?"""
+    return F.contains(F.concat(F.lit(" "), F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "), F.lit(" ")), F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(word), "[^a-z0-9]+", " ")), F.lit(" ")))
+
+
+def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(code points, one row a text, padded with -1; lengths)."""
+    length = np.array([len(s) for s in texts])
+    flat = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.int64)
+    out = np.full((len(texts), int(length.max(initial=0))), -1)
+    out[np.arange(out.shape[1]) < length[:, None]] = flat
+    return out, length
+
+
+def jaro_winkler_scores(left: list[str], right: list[str], prefix: float = 0.1) -> np.ndarray:
+    """Jaro-Winkler of pairs, one character place of all pairs at a time."""
+    (a, la), (b, lb) = _codes(left), _codes(right)
+    n, at = len(la), np.arange(b.shape[1])
+    reach = np.maximum(la, lb) // 2 - 1
+    used, taken = np.zeros(b.shape, bool), np.zeros(a.shape, bool)
+    for i in range(a.shape[1]):
+        free = (b == a[:, i : i + 1]) & ~used & (np.abs(at - i) <= reach[:, None]) & (i < la)[:, None]
+        row = np.flatnonzero(free.any(axis=1))
+        used[row, free[row].argmax(axis=1)] = True
+        taken[row, i] = True
+    m = taken.sum(axis=1)
+    width = int(m.max(initial=0))
+    x, y = (np.take_along_axis(c, np.argsort(~f, axis=1, kind="stable"), axis=1)[:, :width] for c, f in ((a, taken), (b, used)))
+    swaps = ((x != y) & (np.arange(width) < m[:, None])).sum(axis=1) // 2  # whole pairs
+    with np.errstate(divide="ignore", invalid="ignore"):
+        jaro = np.where(m > 0, (m / la + m / lb + (m - swaps) / np.maximum(m, 1)) / 3, 0.0)
+    jaro[(la == lb) & (np.array(left, object) == np.array(right, object))] = 1.0
+    k = min(4, a.shape[1], b.shape[1])
+    same = ((a[:, :k] == b[:, :k]) & (a[:, :k] >= 0)).cumprod(axis=1).sum(axis=1) if k else np.zeros(n)
+    return np.where(jaro > 0.7, jaro + same * prefix * (1 - jaro), jaro)
 
 
 def jaro_winkler(a: Column, b: Column, prefix: float = 0.1) -> Column:
     """Jaro-Winkler similarity (boost above 0.7), in Arrow batches: Spark has no such function."""
-    def one(s: str | None, t: str | None) -> float | None:
-        if s is None or t is None:
-            return None
-        if s == t:
-            return 1.0
-        reach = max(len(s), len(t)) // 2 - 1
-        used, matched = [False] * len(t), []
-        for i, c in enumerate(s):
-            for j in range(max(0, i - reach), min(len(t), i + reach + 1)):
-                if not used[j] and t[j] == c:
-                    used[j] = True
-                    matched.append(c)
-                    break
-        m = len(matched)
-        if not m:
-            return 0.0
-        swaps = sum(x != y for x, y in zip(matched, (c for c, u in zip(t, used) if u))) / 2
-        jaro = (m / len(s) + m / len(t) + (m - swaps) / m) / 3
-        same = 0
-        while same < min(4, len(s), len(t)) and s[same] == t[same]:
-            same += 1
-        return jaro + same * prefix * (1 - jaro) if jaro > 0.7 else jaro
 
     @F.pandas_udf("double")
     def run(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([one(s, t) for s, t in zip(x, y)], dtype="float64")
+        there = (x.notna() & y.notna()).to_numpy()
+        out = np.full(len(x), np.nan)
+        left, right = x[there].tolist(), y[there].tolist()
+        scores = [jaro_winkler_scores(left[k : k + 4096], right[k : k + 4096], prefix) for k in range(0, len(left), 4096)]
+        out[there] = np.concatenate(scores) if scores else 0.0
+        return pd.Series(out).where(pd.Series(there), None)
+
+    return run(a, b)
+
+
+def wording(a: Column, b: Column) -> Column:
+    """How alike two texts are worded: twice the characters in matching blocks, over all characters."""
+
+    @F.pandas_udf("double")
+    def run(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([None if s is None or t is None else difflib.SequenceMatcher(None, s, t).ratio() for s, t in zip(x, y)], dtype="float64")
 
     return run(a, b)

@@ -48,6 +48,82 @@ def best_names(names: DataFrame, least: float = 0.8) -> DataFrame:
     return names.join(known, ["block", "n"]).select(F.col("k").alias("a"), b.alias("b"), score.alias("score")).where("b IS NOT NULL")
 
 
+def _deletions(x: Column, edits: int) -> Column:
+    """The text and what is left of it after up to so many single deletions."""
+    out = F.array(x)
+    for _ in range(edits):
+        shorter = F.flatten(F.transform(out, lambda s: F.when(F.length(s) > 0, F.transform(F.sequence(F.lit(1), F.length(s)), lambda i: F.concat(F.substring(s, F.lit(1), i - 1), F.substring(s, i + 1, F.length(s))))).otherwise(F.array(s))))
+        out = F.array_distinct(F.concat(out, shorter))
+    return out
+
+
+def within_edits(left: DataFrame, right: DataFrame, edits: int = 1) -> DataFrame:
+    """a, b of left(a, x) and right(b, y) whose texts are at most so many edits apart: such texts have a deletion variant in
+    common, so they meet in an equi-join."""
+    l, r = (d.select("*", F.explode(_deletions(F.col(c), edits)).alias("k")) for d, c in ((left, "x"), (right, "y")))
+    return l.join(r, "k").where(F.levenshtein("x", "y") <= edits).select("a", "b").distinct()
+
+
+def contained(short: DataFrame, long_: DataFrame) -> DataFrame:
+    """a, b of short(a, x) and long_(b, y) where x, not empty, stands in y.  The parts of y are joined with x; names are short."""
+    n = F.length("y")
+    starts = long_.where(n > 0).select("b", "y", F.explode(F.sequence(F.lit(1), n)).alias("i"))
+    parts = starts.select("b", F.explode(F.transform(F.sequence(F.lit(1), F.length("y") - F.col("i") + 1), lambda k: F.substring("y", F.col("i"), k))).alias("x"))
+    return short.where(F.length("x") > 0).join(parts, "x").select("a", "b").distinct()
+
+
+def name_cascade(left: DataFrame, right: DataFrame) -> DataFrame:
+    """a, b, method: left(a, x) matched with right(b, y) by the same name; else by the only name that holds it or that it holds;
+    else by the only name one edit away.  Names without a match have a null b."""
+    exact = left.join(right, F.col("x") == F.col("y")).select("a", "b", F.lit("same name").alias("method"))
+    rest = left.join(exact.select("a").distinct(), "a", "left_anti")
+    turned = contained(right.toDF("a", "x"), rest.toDF("b", "y")).toDF("b", "a").select("a", "b")
+    only = lambda pairs, method: pairs.groupBy("a").agg(F.count("*").alias("n"), F.min("b").alias("b")).where("n = 1").select("a", "b", F.lit(method).alias("method"))
+    inside = contained(rest, right).union(turned).distinct()
+    one = only(inside, "name inside")
+    left_over = rest.join(one.select("a"), "a", "left_anti")
+    near = within_edits(left_over, right).join(left.select("a", "x"), "a").join(right, "b").where(F.levenshtein("x", "y") == 1).select("a", "b")
+    found = exact.unionByName(one).unionByName(only(near, "one letter"))
+    return left.select("a").join(found, "a", "left")
+
+
+def phrase_scores(texts: DataFrame, bank: DataFrame, floor: float) -> DataFrame:
+    """id, question, score, hits: each text's best question by the phrases of bank(question, phrase, weak) that stand in it.
+
+    Each phrase found is worth 0.15 over 0.55, a longest one 0.03 a further word, up to 0.95; one weak phrase alone stays below
+    the floor.  Texts become runs of words as long as the longest phrase and are joined with the phrases."""
+    words = lambda c: F.filter(F.split(F.regexp_replace(F.lower(c), "[^a-z0-9]+", " "), " "), lambda w: w != "")
+    keys_ = bank.select("question", "weak", words(F.col("phrase")).alias("w")).select("question", "weak", F.array_join("w", " ").alias("phrase"), F.size("w").alias("n")).where("n > 0").distinct()
+    sizes = [r[0] for r in keys_.select("n").distinct().collect()]  # word counts of phrases: a few numbers
+    w = texts.select("id", words(F.coalesce("text", F.lit(""))).alias("w"))
+
+    def of(n: int) -> Column:
+        """All runs of n words."""
+        return F.when(F.size("w") >= n, F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.array_join(F.slice("w", i, n), " "))).otherwise(F.array().cast("array<string>"))
+
+    runs = F.flatten(F.array(*map(of, sizes)))
+    hits = w.select("id", F.explode(F.array_distinct(runs)).alias("phrase")).join(keys_, "phrase")
+    each = hits.groupBy("id", "question").agg(F.count("*").alias("hits"), F.max("n").alias("longest"), F.min("weak").alias("all_weak"))
+    score = F.when(F.col("all_weak") & (F.col("hits") == 1), F.lit(floor - 0.02)).otherwise(F.least(F.lit(0.95), 0.55 + 0.15 * F.col("hits") + 0.03 * (F.col("longest") - 1)))
+    return first_rows(each.withColumn("score", score), ["id"], [F.col("score").desc(), F.col("question")]).select("id", "question", F.round("score", 3).alias("score"), "hits")
+
+
+def resolved(evidence: DataFrame, authority: list[str], survey: list[str], order: list[str], structural: list[str]) -> DataFrame:
+    """entity, role, value, grade, score, sources for evidence(entity, role, value, source, score, confidence).
+
+    Of each role the best value wins: six points more if several sources give it (values compared without case, marks and
+    spaces), then confidence; the first role of `order` that has a value names the entity.  Roles outside `order` never do."""
+    e = evidence.where(F.col("role").isin(order) & (F.col("score") > 0)).withColumn("same", keys.squeezed(F.col("value")))
+    top = F.max_by(F.struct("value", "source"), F.struct("score", "confidence", "value", "source")).alias("top")
+    g = e.groupBy("entity", "role", "same").agg(top, F.max(F.struct("score", "confidence")).alias("best"), F.array_sort(F.collect_set("source")).alias("sources"))
+    g = g.withColumn("score", F.col("best.score") + F.when(F.size("sources") > 1, 6).otherwise(0))
+    place = F.array_position(F.array(*map(F.lit, order)), F.col("role"))
+    chosen = first_rows(g.withColumn("place", place), ["entity"], [F.col("place"), F.col("score").desc(), F.col("best.confidence").desc(), F.col("same")])
+    source = F.col("top.source")
+    grade = F.when(source.isin(authority), "VERIFIED").when(F.col("role").isin(structural), "STRUCTURALLY_IDENTIFIED").when(source.isin(survey), "MATCHED").otherwise("INFERRED")
+    return chosen.select("entity", "role", F.col("top.value").alias("value"), grade.alias("grade"), "score", F.array_join("sources", ",").alias("sources"))
+
+
 def anchored_clusters(rows: DataFrame, bucket: str, order: str, item: str, size: str, price: str) -> DataFrame:
     """item, anchor: in order, each row joins the first anchor of its bucket whose size is within max(3 %, 25) and price within
     max(2 %, 2000), or becomes an anchor.  Buckets are bounded (one building and room count)."""

@@ -5,19 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geo import METRES_LAT, cell, flat_metres
+from ..functions.geo import METRES_LAT, METRES_LON, cell, flat_metres
 
 
 def within(left: DataFrame, right: DataFrame, metres: float) -> DataFrame:
     """Pairs of left(a, lon, lat) and right(b, lon, lat) at most so many metres apart: a, b, metres.
 
-    Cells are as wide as the radius; each left point looks into its own and the eight cells around."""
+    Cells are as high as the radius; each left point looks into the cells that its circle touches, of which there are more the
+    farther it is from the equator.  No circle reaches over a pole or the date line."""
     size = metres / METRES_LAT
-    wide = size * 1.25  # a degree of longitude is shorter away from the equator (up to 36 degrees of latitude here)
-    near = F.explode(F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x in (-1, 0, 1) for y in (-1, 0, 1)]))
-    l = left.select("a", F.col("lon").alias("lon1"), F.col("lat").alias("lat1"), near.alias("d"))
-    l = l.select("a", "lon1", "lat1", (cell(F.col("lon1"), wide) + F.col("d.x")).alias("cx"), (cell(F.col("lat1"), size) + F.col("d.y")).alias("cy"))
-    r = right.select("b", "lon", "lat", cell(F.col("lon"), wide).alias("cx"), cell(F.col("lat"), size).alias("cy"))
+    across = F.lit(metres / METRES_LON) / F.cos(F.radians("lat")) * 1.0001
+    spread = lambda x, r, n: F.explode(F.sequence(cell(x - r, size), cell(x + r, size))).alias(n)
+    l = left.select("a", F.col("lon").alias("lon1"), F.col("lat").alias("lat1"), spread(F.col("lon"), across, "cx"))
+    l = l.select("a", "lon1", "lat1", "cx", spread(F.col("lat1"), F.lit(size * 1.0001), "cy"))
+    r = right.select("b", "lon", "lat", cell(F.col("lon"), size).alias("cx"), cell(F.col("lat"), size).alias("cy"))
     apart = flat_metres(F.col("lon1"), F.col("lat1"), F.col("lon"), F.col("lat"))
     return l.join(r, ["cx", "cy"]).withColumn("metres", apart).where(F.col("metres") <= metres).select("a", "b", "metres")
 
@@ -33,16 +34,56 @@ def without_neighbour(left: DataFrame, right: DataFrame, metres: float) -> DataF
     return left.join(within(left, right, metres).select("a").distinct(), "a", "left_anti")
 
 
-def in_polygon(points: DataFrame, vertices: DataFrame) -> DataFrame:
-    """Pairs (p, poly) of points(p, lon, lat) inside polygons vertices(poly, v, lon, lat), by counting crossed edges.
-
-    Polygons are a reference table; their boxes are matched first."""
+def edges(vertices: DataFrame) -> DataFrame:
+    """poly, x1, y1, x2, y2 of the closed rings vertices(poly, v, lon, lat)."""
     w = Window.partitionBy("poly").orderBy("v")
-    first = Window.partitionBy("poly").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    first = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     nxt = lambda c: F.coalesce(F.lead(c).over(w), F.first(c).over(first))
-    edges = vertices.select("poly", F.col("lon").alias("x1"), F.col("lat").alias("y1"), nxt("lon").alias("x2"), nxt("lat").alias("y2"))
+    return vertices.select("poly", F.col("lon").alias("x1"), F.col("lat").alias("y1"), nxt("lon").alias("x2"), nxt("lat").alias("y2"))
+
+
+def in_polygon(points: DataFrame, vertices: DataFrame, size: float = 0.02) -> DataFrame:
+    """Pairs (p, poly) of points(p, lon, lat) inside polygons vertices(poly, v, lon, lat), by counting crossed edges.
+
+    Cells of `size` degrees that a polygon's box covers are matched with the points' cells first."""
     boxes = vertices.groupBy("poly").agg(F.min("lon").alias("w"), F.max("lon").alias("e"), F.min("lat").alias("s"), F.max("lat").alias("n"))
-    near = points.join(boxes, F.col("lon").between(F.col("w"), F.col("e")) & F.col("lat").between(F.col("s"), F.col("n"))).select("p", "lon", "lat", "poly")
+    span = lambda a, b: F.explode(F.sequence(cell(F.col(a), size), cell(F.col(b), size)))
+    cells = boxes.select("*", span("w", "e").alias("cx")).select("*", span("s", "n").alias("cy"))
+    there = points.select("p", "lon", "lat", cell(F.col("lon"), size).alias("cx"), cell(F.col("lat"), size).alias("cy"))
+    near = there.join(cells, ["cx", "cy"]).where(F.col("lon").between(F.col("w"), F.col("e")) & F.col("lat").between(F.col("s"), F.col("n"))).select("p", "lon", "lat", "poly")
     crosses = ((F.col("y1") > F.col("lat")) != (F.col("y2") > F.col("lat"))) & (F.col("lon") < (F.col("x2") - F.col("x1")) * (F.col("lat") - F.col("y1")) / F.nullif(F.col("y2") - F.col("y1"), F.lit(0.0)) + F.col("x1"))
-    inside = near.join(edges, "poly").groupBy("p", "poly").agg(F.sum(F.when(crosses, 1).otherwise(0)).alias("c"))
+    inside = near.join(edges(vertices), "poly").groupBy("p", "poly").agg(F.sum(F.when(crosses, 1).otherwise(0)).alias("c"))
     return inside.where("c % 2 = 1").select("p", "poly")
+
+
+def claimed(points: DataFrame, vertices: DataFrame, centres: DataFrame, metres: float = 3000) -> DataFrame:
+    """p, place, method: the polygon that holds a point; for points in none, the nearest centre(b, lon, lat) within the radius."""
+    inside = in_polygon(points, vertices)
+    rest = points.join(inside.select("p").distinct(), "p", "left_anti").withColumnRenamed("p", "a")
+    near = nearest(rest, centres, metres).select(F.col("a").alias("p"), F.col("b").alias("place"), F.lit("centre").alias("method"))
+    return inside.select("p", F.col("poly").alias("place"), F.lit("polygon").alias("method")).unionByName(near)
+
+
+def ring_measures(vertices: DataFrame) -> DataFrame:
+    """poly, lon, lat (mean of the vertices), square_metres (of the ring projected about its mean latitude)."""
+    middle = vertices.groupBy("poly").agg(F.avg("lon").alias("lon"), F.avg("lat").alias("lat"))
+    cross = F.sum(F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1"))
+    twice = edges(vertices).groupBy("poly").agg(cross.alias("twice"))
+    area = F.abs("twice") / 2 * METRES_LON * METRES_LAT * F.cos(F.radians("lat"))
+    return middle.join(twice, "poly").select("poly", "lon", "lat", area.alias("square_metres"))
+
+
+def vertex_distance(points: DataFrame, vertices: DataFrame, metres: float) -> DataFrame:
+    """p, poly, metres: 0 inside a polygon, else to its nearest vertex, within the radius."""
+    inside = in_polygon(points, vertices).withColumn("metres", F.lit(0.0))
+    corner = vertices.select(F.struct("poly", "v").alias("b"), "lon", "lat")
+    near = within(points.withColumnRenamed("p", "a"), corner, metres).groupBy(F.col("a").alias("p"), F.col("b.poly").alias("poly")).agg(F.min("metres").alias("metres"))
+    return inside.unionByName(near.join(inside.select("p", "poly"), ["p", "poly"], "left_anti"))
+
+
+def density(points: DataFrame, size: float) -> DataFrame:
+    """cx, cy, density: points of a cell and, with falling weight, of the eight around it."""
+    own = points.groupBy(cell(F.col("lon"), size).alias("x"), cell(F.col("lat"), size).alias("y")).agg(F.count("*").alias("n"))
+    kernel = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.lit(1.0 / (1 << abs(x) + abs(y))).alias("w")) for x in (-1, 0, 1) for y in (-1, 0, 1)])
+    spread = own.select("x", "y", "n", F.explode(kernel).alias("k"))
+    return spread.groupBy((F.col("x") + F.col("k.x")).alias("cx"), (F.col("y") + F.col("k.y")).alias("cy")).agg(F.sum(F.col("n") * F.col("k.w")).alias("density"))

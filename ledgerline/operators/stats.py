@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,6 +63,16 @@ def exclusive_quantiles(df: DataFrame, by: str, x: str, shares: dict[str, float]
     return v.select(by, "n", *[F.when(n >= 2, F.col(f"{k}_0") * (1 - d) + F.col(f"{k}_1") * d).alias(k) for k, d in at.items()])
 
 
+def interpolated_quantiles(df: DataFrame, by: str, x: str, shares: dict[str, float]) -> DataFrame:
+    """by, n and, for each name, the interpolated quantile (place (n - 1) p from 0), for large groups."""
+    n, at, places = F.col("n"), {}, {}
+    for k, p in shares.items():
+        place = (n - 1) * F.lit(p)
+        at[k], places[f"{k}_0"], places[f"{k}_1"] = place - F.floor(place), F.floor(place) + 1, F.least(n, F.floor(place) + 2)
+    v = values_at(df, by, x, places)
+    return v.select(by, "n", *[(F.col(f"{k}_0") + (F.col(f"{k}_1") - F.col(f"{k}_0")) * d).alias(k) for k, d in at.items()])
+
+
 def mode_of(df: DataFrame, by: list[str], value: str) -> DataFrame:
     """by, value, n: the most frequent value of each key; ties go to the smaller value."""
     counts = df.groupBy(*by, value).agg(F.count("*").alias("n"))
@@ -75,11 +87,22 @@ def fingerprint(df: DataFrame) -> DataFrame:
 
 
 def concentration(df: DataFrame, by: str, value: str, shares: tuple[float, ...] = (0.1, 0.01)) -> DataFrame:
-    """For each share, the part of the total value that the top share of keys holds."""
+    """For each share, the part of the total value that the top share of keys holds (keys without a value hold nothing and come
+    last).  The least value that still belongs to the top is found by its place; what lies above it is summed, and of keys
+    with just that value as many as are wanted."""
     sums = df.groupBy(by).agg(F.sum(value).alias("v"))
-    total = sums.agg(F.sum("v").alias("total"), F.count("*").alias("n"))
-    ranked = sums.withColumn("r", F.row_number().over(Window.orderBy(F.col("v").desc(), by))).crossJoin(F.broadcast(total))
-    return ranked.agg(*[F.round(F.sum(F.when(F.col("r") <= F.ceil(F.col("n") * s), F.col("v"))) / F.first("total"), 6).alias(f"top_{round(s * 100)}_pct") for s in shares])
+    total = sums.agg(F.sum("v").alias("total"), F.count("*").alias("keys"))
+    name = lambda s: f"top_{round(s * 100)}_pct"
+    keys = total.select(F.lit(True).alias("all"), "total", "keys")
+    known = sums.where("v IS NOT NULL").select(F.lit(True).alias("all"), "v")
+    counted = known.groupBy("all").agg(F.count("*").alias("m")).join(keys, "all").first()
+    if counted is None:
+        return total.select(*[F.lit(None).cast("double").alias(name(s)) for s in shares])
+    top = {s: min(counted["m"], math.ceil(counted["keys"] * s)) for s in shares}
+    edge = values_at(known, "all", "v", {name(s): F.lit(counted["m"] - top[s] + 1) for s in shares})
+    over = known.crossJoin(F.broadcast(edge.drop("all", "n")))
+    held = [F.coalesce(F.sum(F.when(F.col("v") > F.col(name(s)), F.col("v"))), F.lit(0.0)) + (top[s] - F.count(F.when(F.col("v") > F.col(name(s)), 1))) * F.first(name(s)) for s in shares]
+    return over.agg(*[F.round(h / counted["total"], 6).alias(name(s)) for h, s in zip(held, shares)])
 
 
 def best_cut(bins: DataFrame, bin_: str, low: str, high: str) -> DataFrame:

@@ -106,7 +106,7 @@ def delistings(t: Tables):
     return days.join(gone, "d", "left").join(fresh, "d", "left").select(F.col("d").cast("string").alias("d"), F.coalesce("gone", F.lit(0)).alias("gone"), F.coalesce("fresh", F.lit(0)).alias("fresh"))
 
 
-@query("J05,K01,K02,F19", None)
+@query("J05,K02,F19", None)
 def shrink_contract(t: Tables):
     loads = t.events.groupBy("event_type", F.to_date("ts").cast("string").alias("day")).agg(F.count("*").alias("n"))
     return versions.shrink_holds(loads, "day", "n")
@@ -159,16 +159,10 @@ _VOWELS = "length(regexp_replace({x}, '[^AEIOU]', '', 'g')) / nullif(length(rege
 _FILL = "length(w) >= 12 AND regexp_full_match(w, '[A-Z0-9]+') AND length(regexp_replace(w, '[^A-Z]', '', 'g')) >= 4 AND " + _VOWELS.format(x="w")
 
 
-@query("K03,K04,I09,L01", f"""WITH d AS (SELECT upper(replace(split_part(coalesce(text, ''), ' ', 1), '.', '')) AS w FROM documents), s AS (SELECT count(*) AS rows, count(*) FILTER (WHERE {_FILL}) AS bad FROM d)
-    SELECT rows, bad, CASE WHEN bad / rows >= 0.98 THEN 'fabricated' WHEN bad / rows <= 0.02 THEN 'clean' ELSE 'mixed' END AS verdict FROM s""")
-def realness_gate(t: Tables):
-    """The first word of each text; realness_gate_whole judges all words."""
-    return gates.realness(t.documents.select(F.upper(F.replace(F.split_part(F.coalesce("text", F.lit("")), F.lit(" "), F.lit(1)), F.lit("."), F.lit(""))).alias("w")), ["w"])
-
-
 @query("K03,K04,I09,L01", f"""WITH d AS (SELECT upper(replace(unnest(regexp_split_to_array(coalesce(text, ''), '[ \t\r\n]+')), '.', '')) AS w FROM documents), s AS (SELECT count(*) AS rows, count(*) FILTER (WHERE {_FILL}) AS bad FROM d WHERE w <> '')
     SELECT rows, bad, CASE WHEN bad / rows >= 0.98 THEN 'fabricated' WHEN bad / rows <= 0.02 THEN 'clean' ELSE 'mixed' END AS verdict FROM s""")
-def realness_gate_whole(t: Tables):
+def realness_gate(t: Tables):
+    """All words of all texts."""
     # only a to z are raised: by upper() an ß would become two letters of filler
     text = F.translate(F.replace(F.coalesce("text", F.lit("")), F.lit("."), F.lit("")), "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
     words = t.documents.select(F.explode(F.split(text, "[ \t\r\n]+")).alias("w"))
@@ -232,3 +226,11 @@ def _folder(t: Tables) -> str:
     import uuid
 
     return f"{lake.shared_dir(t.spark)}/stream-{uuid.uuid4().hex}"
+
+
+@query("J22", """WITH s AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 12 HOUR THEN 0 ELSE 1 END AS new FROM events), r AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM s)
+    SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS began, count(*) AS n FROM r GROUP BY user_id, k""")
+def stream_sessions(t: Tables):
+    """Sessions of users that end after twelve hours of quiet."""
+    out = streams.drained(streams.sessions(streams.stream(t.spark, f"{t.sf_dir}/events.parquet").select("user_id", "ts"), "12 hours"), _folder(t), "complete")
+    return out.select("user_id", F.date_format("session_window.start", "yyyy-MM-dd HH:mm:ss").alias("began"), "n")

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import rows, stats
+from ..sources import lake
 from .registry import Tables, query, same_sql
 
 # plain relational queries, the same text on both sides
@@ -56,14 +57,11 @@ same_sql("priority_order", "F16,G04", """
 same_sql("except_all", "H-04,K06", """
     (SELECT l_partkey, l_suppkey FROM {lineitem} WHERE l_linenumber <= 2) EXCEPT ALL (SELECT l_partkey, l_suppkey FROM {lineitem} WHERE l_linenumber > 2)""", "lineitem")
 same_sql("intersect_keys", "H-05,H-06", "SELECT c_nationkey AS k FROM {customer} INTERSECT SELECT s_nationkey FROM {supplier}", "customer", "supplier")
-same_sql("zero_filled_grid", "D11", """
-    SELECT u.user_id, t.event_type, count(e.event_id) AS n FROM (SELECT DISTINCT user_id FROM {events} WHERE user_id < 50) u CROSS JOIN (SELECT DISTINCT event_type FROM {events}) t
-    LEFT JOIN {events} e ON e.user_id = u.user_id AND e.event_type = t.event_type GROUP BY u.user_id, t.event_type""", "events")
 @query("D11", """
     SELECT u.user_id, t.event_type, count(e.event_id) AS n FROM (SELECT DISTINCT user_id FROM events) u CROSS JOIN (SELECT DISTINCT event_type FROM events) t
     LEFT JOIN events e ON e.user_id = u.user_id AND e.event_type = t.event_type GROUP BY u.user_id, t.event_type""")
-def zero_filled_grid_whole(t: Tables):
-    """The grid of zero_filled_grid over all users; event types are few."""
+def zero_filled_grid(t: Tables):
+    """All users by all event types, which are few."""
     counts = t.events.groupBy("user_id", "event_type").agg(F.count("event_id").alias("n"))
     grid = t.events.select("user_id").distinct().crossJoin(F.broadcast(t.events.select("event_type").distinct()))
     return grid.join(counts, ["user_id", "event_type"], "left").select("user_id", "event_type", F.coalesce("n", F.lit(0)).alias("n"))
@@ -177,9 +175,9 @@ def best_histogram_cut(t: Tables):
 
 @query("E26", "SELECT s_suppkey, round((rank() OVER (ORDER BY s_acctbal) - 1) / count(*) OVER (), 6) AS below FROM supplier")
 def percent_below(t: Tables):
-    # ranks of a global order without one task: counts by value first
-    values = t.supplier.groupBy("s_acctbal").agg(F.count("*").alias("n"))
-    low = values.withColumn("less", F.coalesce(F.sum("n").over(Window.orderBy("s_acctbal").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    # the place of the first row of a value, less one, is how many are below
+    places = rows.numbered(t.supplier.select("s_acctbal", "s_suppkey"), [F.col("s_acctbal"), F.col("s_suppkey")], "place", lake.shared_dir(t.spark))
+    low = places.groupBy("s_acctbal").agg((F.min("place") - 1).alias("less"))
     total = t.supplier.agg(F.count("*").alias("total"))
     return t.supplier.join(low, "s_acctbal").crossJoin(F.broadcast(total)).select("s_suppkey", F.round(F.col("less") / F.col("total"), 6).alias("below"))
 
@@ -207,7 +205,7 @@ def duplicate_batches(t: Tables):
     return loads.join(kept.select("load"), "load", "left_semi").groupBy("load").agg(F.count("*").alias("n"))
 
 
-@query("D07,C13", """SELECT l_orderkey, l_linenumber, coalesce(a.v, b.v, c.v) AS value, CASE WHEN a.v IS NOT NULL THEN 'cheap' WHEN b.v IS NOT NULL THEN 'large' WHEN c.v IS NOT NULL THEN 'any' END AS source
+@query("D07", """SELECT l_orderkey, l_linenumber, coalesce(a.v, b.v, c.v) AS value, CASE WHEN a.v IS NOT NULL THEN 'cheap' WHEN b.v IS NOT NULL THEN 'large' WHEN c.v IS NOT NULL THEN 'any' END AS source
     FROM lineitem LEFT JOIN (SELECT p_partkey AS k, p_brand AS v FROM part WHERE p_retailprice < 1000) a ON a.k = l_partkey LEFT JOIN (SELECT p_partkey AS k, p_type AS v FROM part WHERE p_size > 30) b ON b.k = l_partkey LEFT JOIN (SELECT p_partkey AS k, p_name AS v FROM part WHERE p_partkey % 2 = 0) c ON c.k = l_partkey""")
 def fallback_cascade(t: Tables):
     p = t.part.withColumnRenamed("p_partkey", "l_partkey")
@@ -215,7 +213,7 @@ def fallback_cascade(t: Tables):
     return rows.fallback(t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey"), "l_partkey", sources, "v").drop("l_partkey")
 
 
-@query("D33,D34", """WITH k AS (SELECT l_orderkey, min(l_suppkey) AS agreed FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_suppkey) = 1)
+@query("D33", """WITH k AS (SELECT l_orderkey, min(l_suppkey) AS agreed FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_suppkey) = 1)
     SELECT o_orderkey, coalesce(CASE WHEN o_orderkey % 3 = 0 THEN o_custkey END, agreed) AS key FROM orders LEFT JOIN k ON k.l_orderkey = o_orderkey""")
 def key_recovery(t: Tables):
     agreed = t.lineitem.groupBy("l_orderkey").agg(F.countDistinct("l_suppkey").alias("n"), F.min("l_suppkey").alias("only")).where("n = 1")
@@ -240,13 +238,13 @@ def list_membership_join(t: Tables):
     return keys.join(t.part, F.col("p_partkey") == F.col("k")).select("s_suppkey", "p_partkey")
 
 
-@query("D09", "SELECT n, agree, agree >= 0.99 * n AND n >= 100 AS use_bridge FROM (SELECT count(*) AS n, count(*) FILTER (WHERE o_custkey = c_custkey) AS agree FROM orders JOIN customer ON c_custkey = o_custkey)")
+@query("E20", "SELECT n, agree, agree >= 0.99 * n AND n >= 100 AS use_bridge FROM (SELECT count(*) AS n, count(*) FILTER (WHERE o_custkey = c_custkey) AS agree FROM orders JOIN customer ON c_custkey = o_custkey)")
 def gated_bridge(t: Tables):
     checks = t.orders.join(t.customer, F.col("c_custkey") == F.col("o_custkey")).agg(F.count("*").alias("n"), F.count(F.when(F.col("o_custkey") == F.col("c_custkey"), 1)).alias("agree"))
     return checks.withColumn("use_bridge", (F.col("agree") >= 0.99 * F.col("n")) & (F.col("n") >= 100))
 
 
-@query("D37,D38", """SELECT e.event_id, max(o.o_orderkey) FILTER (WHERE o.o_orderdate <= e.ts) IS NOT NULL AS had FROM events e LEFT JOIN orders o ON o.o_custkey = e.user_id GROUP BY e.event_id""")
+@query("D20", """SELECT e.event_id, max(o.o_orderkey) FILTER (WHERE o.o_orderdate <= e.ts) IS NOT NULL AS had FROM events e LEFT JOIN orders o ON o.o_custkey = e.user_id GROUP BY e.event_id""")
 def as_of_existence(t: Tables):
     """Whether the user had an order as of the event: the earliest order of a user decides, so the join is one row a key."""
     first = t.orders.groupBy("o_custkey").agg(F.min("o_orderdate").alias("first"))

@@ -1,11 +1,13 @@
 """Snapshots of tables as Parquet under a shared path: publish, hold, time travel, expiry.
 
 A snapshot is a row in the log, written last: readers see a table only through the log, so a publish that fails or is held
-leaves the former snapshot as it was.  A table whose fingerprint has not changed is not written again.
+leaves the former snapshot as it was.  A table whose fingerprint has not changed is not written again.  A snapshot's number
+is claimed by a file that only one publisher can make.
 """
 
 from __future__ import annotations
 
+import datetime
 import tempfile
 import uuid
 
@@ -18,7 +20,11 @@ LOG = "snapshot long, published_at timestamp, name string, path string, row_coun
 
 
 def shared_dir(spark: SparkSession) -> str:
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-ledgerline-")
+    """spark.checkpoint.dir; a folder of this process only on a local master, where all tasks run beside it."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir is not set")
+    return found or tempfile.mkdtemp(prefix="spark-ledgerline-")
 
 
 class Held(RuntimeError):
@@ -70,11 +76,94 @@ class Lake:
             rows.append((name, path, f["rows"], mark))
         if not changed:
             return None
+        if not self._fs().createNewFile(self._path(f"_claims/{number}")):
+            raise Held(f"snapshot {number} was published meanwhile")
         entry = self.spark.createDataFrame([(number, *r) for r in rows], "snapshot long, name string, path string, row_count long, mark string")
         entry.select("snapshot", F.current_timestamp().alias("published_at"), "name", "path", "row_count", "mark").coalesce(1).write.mode("append").parquet(f"{self.root}/_log")
         return number
 
 
+    def _path(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+
+    def _fs(self):
+        return self._path("").getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def replace(self, name: str, df: DataFrame) -> int | None:
+        """A new snapshot in which one table is replaced and the others stand."""
+        others = {n: self.table(n) for n in self._current() if n != name}
+        return self.publish({**others, name: df}, shrink=0.0)
+
+    def snapshots(self) -> list[int]:
+        return sorted(r[0] for r in self.log().select("snapshot").distinct().collect())
+
+    def expire(self, older_than: datetime.datetime | None = None, keep: int = 1) -> int:
+        """Forgets the snapshots published before a time (the last `keep` always stay), deletes the table folders that none that
+        is left refers to, and returns how many went.  The log is written anew beside the old one, which goes last."""
+        log, numbers = self.log(), self.snapshots()
+        old = log if older_than is None else log.where(F.col("published_at") < F.lit(older_than))
+        gone = {r[0] for r in old.select("snapshot").distinct().collect()} - set(numbers[-keep:])
+        if not gone:
+            return 0
+        left = log.where(~F.col("snapshot").isin(list(gone))).collect()
+        fs, fresh = self._fs(), f"_log-{uuid.uuid4().hex}"
+        self.spark.createDataFrame(left, LOG).coalesce(1).write.parquet(f"{self.root}/{fresh}")
+        wanted = {r["path"] for r in left}
+        orphans = {r["path"] for r in log.select("path").distinct().collect()} - wanted
+        fs.rename(self._path("_log"), self._path(f"{fresh}-old"))
+        fs.rename(self._path(fresh), self._path("_log"))
+        for path in orphans:
+            fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(path), True)
+        fs.delete(self._path(f"{fresh}-old"), True)
+        return len(orphans)
+
+
+def views(spark: SparkSession, texts: dict[str, str]) -> list[str]:
+    """Creates views that may read each other, in passes: one whose sources are not there yet waits for the next.  Returns the
+    order; raises if a pass creates none."""
+    left, order = dict(texts), []
+    while left:
+        made = []
+        for name, text in left.items():
+            try:
+                spark.sql(text).createOrReplaceTempView(name)
+                made.append(name)
+            except Exception as e:
+                if "TABLE_OR_VIEW_NOT_FOUND" not in str(e):
+                    raise
+        if not made:
+            raise Held(f"views without sources: {sorted(left)}")
+        order += made
+        left = {n: x for n, x in left.items() if n not in made}
+    return order
+
+
+def append(df: DataFrame, path: str) -> None:
+    df.write.mode("append").parquet(path)
+
+
+def rewrite(df: DataFrame, path: str, by: str) -> None:
+    """Replaces the partitions (a run date, a job) that df has rows of; the others stand.  Running it again changes nothing."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+
+
+def geojson(df: DataFrame, key: str, lon: str, lat: str, path: str) -> None:
+    """Points as GeoJSON features, one a line."""
+    point = F.struct(F.lit("Point").alias("type"), F.array(lon, lat).alias("coordinates"))
+    feature = F.struct(F.lit("Feature").alias("type"), F.struct(F.col(key)).alias("properties"), point.alias("geometry"))
+    df.select(F.to_json(feature).alias("value")).write.text(path)
+
+
+def review_queue(df: DataFrame, path: str, order: list[str]) -> None:
+    """The rows that a person is to decide, in order, as CSV with a header and an empty column for the decision."""
+    df.withColumn("decide", F.lit(None).cast("string")).orderBy(*order).write.option("header", True).csv(path)
+
+
+def artefact(df: DataFrame, path: str) -> None:
+    """A small table of figures as one JSON object a line."""
+    df.select(F.to_json(F.struct(*df.columns)).alias("value")).coalesce(1).write.text(path)
+
+
 def upsert(master: DataFrame, fresh: DataFrame, key: str, first: dict[str, str], last: dict[str, str]) -> DataFrame:
     """Master rows updated and new ones inserted: columns in `first` keep the oldest value, those in `last` take the newest;
     both map a column of the master to one of `fresh`."""

@@ -26,11 +26,12 @@ def deduplicated(events: DataFrame, keys: list[str], late: str = "56 days") -> D
 
 
 def drained(df: DataFrame, folder: str, mode: str) -> DataFrame:
-    """Runs a stream over all input that is there and returns the last state that it wrote."""
+    """Runs a stream over all input that is there and returns the last state that it wrote.  A batch that is tried again writes
+    its own folder again."""
 
     def put(batch: DataFrame, n: int) -> None:
-        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(f"{folder}/out")
+        batch.write.mode("overwrite").parquet(f"{folder}/out" if mode == "complete" else f"{folder}/out/batch={n}")
 
     query = df.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).foreachBatch(put).start()
     query.awaitTermination()
-    return df.sparkSession.read.parquet(f"{folder}/out")
+    return df.sparkSession.read.parquet(f"{folder}/out").drop(*([] if mode == "complete" else ["batch"]))
