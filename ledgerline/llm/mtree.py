@@ -7,7 +7,8 @@ gets the coordinate sqrt(M - |v|^2), M the largest squared norm of the tree, and
 distance(q, v)^2 = |q|^2 + M - 2 <q, v>, and the nearest are those of the highest product.  A search keeps a queue of
 nodes by their least possible distance, stops when that exceeds the k-th best so far, and skips nodes and entries whose
 stored parent distance already shows, by the triangle inequality, that they are too far.  Distances only ever prune (with
-a slack above rounding error); scores are exact integers.
+a slack above rounding error); scores are exact integers: products are taken in doubles where the components show that no
+sum can pass 2**53, and in 64-bit integers else.
 
 The queries go to all trees in blocks of bounded size, each tree answers with its own top k, and the answers of a query
 are merged.  Ties go to the smaller id.
@@ -31,7 +32,8 @@ from .store import written
 
 #: Vectors of one tree, entries of a leaf page, children of a routing node, queries sent at once.
 TREE, PAGE, FANOUT, BLOCK = 8192, 512, 24, 4096
-SLACK = 1e-6
+#: Rounding error of distances, as a share of the distance and of the largest one possible.
+SLACK, ROUNDING = 1e-6, 4e-7
 
 TREE_SCHEMA = "dim int, most double, ids binary, vectors binary, spread binary, radius binary, to_parent binary, pivot binary, child binary, n_child binary, leaf binary"
 
@@ -87,11 +89,16 @@ class Tree:
         place = np.empty(len(ids), np.int64)
         place[order] = np.arange(len(ids))
         self.pivot = place[[n[2] for n in nodes]]
-        self.ids, self.vectors, self.spread = ids[order], vectors[order].astype(np.float64), spread[order]
+        self.ids, self.spread = ids[order], spread[order]
+        self._hold(vectors[order].astype(np.int64))
+
+    def _hold(self, whole: np.ndarray) -> None:
+        self.whole, self.vectors = whole, whole.astype(np.float64)
+        self.largest = float(np.abs(self.vectors).max(initial=0))
 
     def row(self) -> dict:
         return {
-            "dim": self.vectors.shape[1], "most": self.most, "ids": self.ids.astype(np.int64).tobytes(), "vectors": self.vectors.astype(np.int64).tobytes(), "spread": self.spread.tobytes(), "radius": self.radius.tobytes(), "to_parent": self.to_parent.tobytes(), "pivot": self.pivot.tobytes(),
+            "dim": self.vectors.shape[1], "most": self.most, "ids": self.ids.astype(np.int64).tobytes(), "vectors": self.whole.tobytes(), "spread": self.spread.tobytes(), "radius": self.radius.tobytes(), "to_parent": self.to_parent.tobytes(), "pivot": self.pivot.tobytes(),
             "child": np.concatenate([self.child, self.links]).tobytes(), "n_child": self.n_child.tobytes(), "leaf": self.leaf.tobytes(),
         }
 
@@ -99,7 +106,7 @@ class Tree:
     def of(cls, row: dict) -> Tree:
         me = object.__new__(cls)
         me.most, me.ids = row["most"], np.frombuffer(row["ids"], np.int64)
-        me.vectors = np.frombuffer(row["vectors"], np.int64).reshape(-1, row["dim"]).astype(np.float64)
+        me._hold(np.frombuffer(row["vectors"], np.int64).reshape(-1, row["dim"]))
         for name in ("spread", "radius", "to_parent"):
             setattr(me, name, np.frombuffer(row[name]))
         me.pivot, me.n_child, me.leaf = np.frombuffer(row["pivot"], np.int64), np.frombuffer(row["n_child"], np.int64), np.frombuffer(row["leaf"], bool)
@@ -109,26 +116,29 @@ class Tree:
 
     def search(self, own: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, int]:
         """(ids, scores) of the k best, best first, and how many products were computed."""
-        q = q.astype(np.float64)
+        whole, q = q, q.astype(np.float64)
+        exact = self.largest * float(np.abs(q).max(initial=0)) * len(q) < 2.0**53
+        product = (lambda rows: self.vectors[rows] @ q) if exact else (lambda rows: self.whole[rows] @ whole)
         c = float(q @ q) + self.most
+        rounding = ROUNDING * np.sqrt(c)
         dist = lambda score: np.sqrt(np.maximum(0, c - 2 * score))
-        best_ids, best = np.zeros(0, np.int64), np.zeros(0)
+        best_ids, best = np.zeros(0, np.int64), np.zeros(0, np.float64 if exact else np.int64)
         limit, asked = np.inf, 1
         d0 = float(dist(self.vectors[self.pivot[0]] @ q))
         queue = [(max(0.0, d0 - self.radius[0]), 0, d0)]
         while queue:
             least, node, d = heapq.heappop(queue)
-            if least > limit + SLACK * (1 + limit):
+            margin = limit + SLACK * (1 + limit) + rounding
+            if least > margin:
                 break
-            margin = limit + SLACK * (1 + limit)
             if self.leaf[node]:
                 s, e = self.child[node], self.child[node] + self.n_child[node]
                 near = np.abs(d - self.spread[s:e]) <= margin
                 n = int(near.sum())
                 asked += n
                 # few: only those; most: the page as one block
-                rows, score = (s + np.flatnonzero(near), None) if 2 * n < e - s else (np.arange(s, e), self.vectors[s:e] @ q)
-                score = self.vectors[rows] @ q if score is None else score
+                rows, score = (s + np.flatnonzero(near), None) if 2 * n < e - s else (np.arange(s, e), product(slice(s, e)))
+                score = product(rows) if score is None else score
                 good = self.ids[rows] != own
                 if len(best) == k:
                     good &= score >= best[-1]
@@ -137,7 +147,7 @@ class Tree:
                     order = np.lexsort((ids, -score))[:k]
                     best_ids, best = ids[order], score[order]
                     if len(best) == k:
-                        limit = float(dist(best[-1]))
+                        limit = float(dist(float(best[-1])))
             else:
                 kids = self.links[self.child[node] : self.child[node] + self.n_child[node]]
                 kids = kids[np.abs(d - self.to_parent[kids]) - self.radius[kids] <= margin]
