@@ -1,9 +1,10 @@
 """Chat formatting of reply trees.
 
 Messages form trees (each names its parent).  Root-to-leaf paths are enumerated by self-joins that double: a round joins
-every message's chain of ancestors with the chain of its topmost one, so the number of joins grows with the logarithm of
-the deepest tree.  The paths of a conversation are ranked by the sum of their messages' scores and the best `branches`
-are formatted, each as one conversation.
+every message's link to an ancestor with that ancestor's own link, so the number of joins grows with the logarithm of the
+deepest tree and a message is one row in each round, whatever its depth.  The paths of a conversation are ranked by the sum
+of their messages' scores; the best `branches` are written out from their leaves by the same links, backwards, one row a
+message, and formatted, each as one conversation.
 
 Format: every turn is `<turn ROLE>TEXT</turn>` and a line end.  Inside roles and texts a backslash precedes every
 backslash, `<` and `>`, so no text can hold a control string and reading back is exact.  `loss` holds the code-point spans
@@ -62,35 +63,45 @@ def linear(rows: DataFrame) -> DataFrame:
     return rows.select("conv_id", node.alias("node"), "role", "text").select("conv_id", "node", F.when(F.col("node") > 1, F.col("node") - 1).alias("parent"), "role", "text", F.lit(0.0).alias("score"))
 
 
-def paths(messages: DataFrame) -> DataFrame:
-    """conv_id, leaf, score, path (nodes from the root to the leaf) of every root-to-leaf path."""
+def links(messages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """(for each k the links conv_id, node, up to the ancestor 2**k above; conv_id, node, score, depth: the sum and number of the
+    messages from the root to each message).  Messages without a root are in circles and have no depth."""
     m = messages.select("conv_id", "node", "parent", F.coalesce("score", F.lit(0.0)).alias("score"))
     there = m.select(F.col("conv_id").alias("c"), F.col("node").alias("p")).distinct()
     linked = m.join(there, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("parent") == F.col("p")), "left")
-    # up: the topmost ancestor's parent, null once the chain begins at a root
-    chain = written(linked.select("conv_id", "node", F.col("p").alias("up"), "score", F.array("node").alias("path")), "chat-chain")
-    inner = m.where("parent is not null").select(F.col("conv_id").alias("c"), F.col("parent").alias("p")).distinct()
-    longest = 1
-    while (rest := chain.where("up is not null").agg(F.max(F.size("path")), F.count("*")).first())[1]:
-        if rest[0] is None or rest[0] < longest:
-            break
-        if longest > 1 and rest[0] > (most := m.groupBy("conv_id").count().agg(F.max("count")).first()[0]):
-            break  # only circles are left
-        above = chain.select(F.col("conv_id").alias("c"), F.col("node").alias("n"), F.col("up").alias("next"), F.col("score").alias("more"), F.col("path").alias("before"))
-        # only chains that haven't reached a root are joined again; the topmost parent is always a message that is there
-        step = chain.where("up is not null").join(above, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("up") == F.col("n")))
-        longer = step.select("conv_id", "node", F.col("next").alias("up"), (F.col("score") + F.col("more")).alias("score"), F.concat("before", "path").alias("path"))
-        chain = written(chain.where("up is null").unionAll(longer), "chat-chain")
-        longest *= 2
-    leaf = chain.where("up is null").join(inner, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("node") == F.col("p")), "left_anti")
-    return leaf.select("conv_id", F.col("node").alias("leaf"), "score", "path")
+    state = written(linked.select("conv_id", "node", F.col("p").alias("up"), "score", F.lit(1).cast("long").alias("depth")), "chat-links")
+    most = m.groupBy("conv_id").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+    up, reach = [], 1
+    while reach <= most and state.where("up IS NOT NULL").limit(1).count():  # beyond that only circles are left
+        up.append(state.where("up IS NOT NULL").select("conv_id", "node", "up"))
+        above = state.select(F.col("conv_id").alias("c"), F.col("node").alias("n"), F.col("up").alias("next"), F.col("score").alias("more"), F.col("depth").alias("further"))
+        step = state.where("up IS NOT NULL").join(above, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("up") == F.col("n")))
+        longer = step.select("conv_id", "node", F.col("next").alias("up"), (F.col("score") + F.col("more")).alias("score"), (F.col("depth") + F.col("further")).alias("depth"))
+        state = written(state.where("up IS NULL").unionAll(longer), "chat-links")
+        reach *= 2
+    return up, state.where("up IS NULL").drop("up")
+
+
+def chosen_paths(messages: DataFrame, branches: int) -> DataFrame:
+    """conv_id, branch, node, depth (1: the root) of the messages of the `branches` best paths of each conversation (ties: the
+    smaller leaf)."""
+    up, placed = links(messages)
+    inner = messages.where("parent IS NOT NULL").select(F.col("conv_id").alias("c"), F.col("parent").alias("p")).distinct()
+    leaves = placed.join(inner, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("node") == F.col("p")), "left_anti")
+    best = Window.partitionBy("conv_id").orderBy(F.col("score").desc(), "node")
+    path = leaves.withColumn("branch", F.row_number().over(best)).where(F.col("branch") <= branches).select("conv_id", "branch", "node", "depth")
+    # every distance from a leaf is one sum of powers of two, so each ancestor is reached once
+    for k in reversed(range(len(up))):
+        path = written(path, "chat-path")
+        link = up[k].toDF("c", "n", "above")
+        higher = path.join(link, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("node") == F.col("n"))).select("conv_id", "branch", F.col("above").alias("node"), (F.col("depth") - (1 << k)).alias("depth"))
+        path = path.unionAll(higher)
+    return path
 
 
 def format_conversations(messages: DataFrame, branches: int = 1) -> DataFrame:
-    """FORMATTED_SCHEMA for the `branches` best paths of each conversation (ties: the smaller leaf)."""
-    best = Window.partitionBy("conv_id").orderBy(F.col("score").desc(), "leaf")
-    chosen = paths(messages).withColumn("branch", F.row_number().over(best)).where(F.col("branch") <= branches)
-    at = chosen.select("conv_id", "branch", F.posexplode("path").alias("pos", "node"))
+    """FORMATTED_SCHEMA for the `branches` best paths of each conversation."""
+    at = chosen_paths(messages, branches).withColumnRenamed("depth", "pos")
     said = messages.select(F.col("conv_id").alias("c"), F.col("node").alias("n"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     turns = at.join(said, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("node") == F.col("n"))).groupBy("conv_id", "branch").agg(F.sort_array(F.collect_list(F.struct("pos", "role", "text"))).alias("turns"))
 

@@ -74,15 +74,19 @@ def test_chat_round_trip(spark):
 def test_chat_branches(spark):
     rows = [(1, 1, None, "user", "q", 0.0), (1, 2, 1, "assistant", "bad", 1.0), (1, 3, 1, "assistant", "good", 2.0), (1, 4, 3, "user", "thanks", None), (1, 5, 2, "user", "no", 0.5), (1, 6, 5, "assistant", "sorry", 0.1), (2, 7, 99, "user", "orphan", 0.0), (3, 8, 9, "user", "circle", 0.0), (3, 9, 8, "user", "circle", 0.0), (3, 10, 9, "user", "tail", 0.0)]
     df = spark.createDataFrame(rows, "conv_id long, node long, parent long, role string, text string, score double")
-    paths = {(r["conv_id"], r["leaf"]): (r["path"], round(r["score"], 3)) for r in chat.paths(df).collect()}
-    assert paths == {(1, 4): ([1, 3, 4], 2.0), (1, 6): ([1, 2, 5, 6], 1.6), (2, 7): ([7], 0.0)}
+    paths = {}
+    for r in sorted(chat.chosen_paths(df, 9).collect(), key=lambda r: r["depth"]):
+        paths.setdefault((r["conv_id"], r["branch"]), []).append(r["node"])
+    assert paths == {(1, 1): [1, 3, 4], (1, 2): [1, 2, 5, 6], (2, 1): [7]}
+    assert {(r["conv_id"], r["node"]): (round(r["score"], 3), r["depth"]) for r in chat.links(df)[1].collect() if r["node"] in (4, 6, 7)} == {(1, 4): (2.0, 3), (1, 6): (1.6, 4), (2, 7): (0.0, 1)}
     best = {r["conv_id"]: [t for _, t in chat.parse(r["formatted"])] for r in chat.format_conversations(df).collect()}
     assert best == {1: ["q", "good", "thanks"], 2: ["orphan"]}
 
 
 def test_long_chain(spark):
-    df = spark.createDataFrame([(1, i, "user" if i % 2 else "assistant", f"t{i}") for i in range(100)], "conv_id long, turn long, role string, text string")
-    assert chat.round_trip(df).first()["n_turns"] == 100
+    df = spark.range(20_000).selectExpr("1L AS conv_id", "id AS turn", "if(id % 2 = 1, 'user', 'assistant') AS role", "concat('t', id) AS text")
+    made = chat.format_conversations(chat.linear(df)).first()
+    assert chat.parse(made["formatted"]) == [("user" if i % 2 else "assistant", f"t{i}") for i in range(20_000)]
 
 
 def test_mtree_is_exact_and_prunes():
@@ -103,6 +107,19 @@ def test_mtree_is_exact_and_prunes():
     assert asked < 0.5 * 30 * 3000
 
 
+def test_products_beyond_doubles_are_exact():
+    rng = np.random.default_rng(5)
+    v = rng.integers(-(1 << 26), 1 << 26, (400, 3))
+    v[200:] = v[:200] + rng.integers(0, 2, (200, 3))  # products that differ in their last bits
+    ids = np.arange(400)
+    tree = mtree.Tree.of(mtree.Tree(ids, v, page=16, fanout=4).row())
+    for own in range(0, 400, 7):
+        score = [sum(int(a) * int(b) for a, b in zip(v[own], w)) for w in v]
+        want = sorted((-s, i) for i, s in enumerate(score) if i != own)[:5]
+        got, best, _ = tree.search(own, v[own], 5)
+        assert [(-s, i) for s, i in zip(best.tolist(), got.tolist())] == want
+
+
 def test_top_k_edge_cases(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.5]), (50, [0.5, 1.0]), (1, [1.0, 0.5]), (2, [1.0, 0.5]), (3, None), (4, [nan, 1.0]), (5, [1.0, None]), (6, [inf, 1.0]), (7, []), (8, [1.0, 2.0, 3.0]), (None, [1.0, 1.0]), (100, [1.0, 1.0, -0.001]), (50, [0.5, 1.0])]
