@@ -192,18 +192,21 @@ def documents(records: DataFrame) -> DataFrame:
 
 
 def lookup(records: DataFrame, keys: DataFrame) -> DataFrame:
-    """doc_id, ids (array) of the wanted keys(doc_id): a key goes to the records whose key range holds it, and there to
-    its slot.  Keys that aren't stored give no row; of equal keys the first document is returned."""
+    """doc_id, ids (array) of the wanted keys(doc_id): a key goes to the records whose key range holds it (of the records only
+    their ranges are read for that), the keys of a record are put together, and each record is read once.  Keys that aren't
+    stored give no row; of equal keys the first document is returned."""
     wanted = keys.select(F.col("doc_id").cast("long").alias("want")).where("want is not null").distinct()
+    at = records.select("part", "shard", "first_key", "last_key").join(wanted, F.col("want").between(F.col("first_key"), F.col("last_key")))
+    groups = at.groupBy("part", "shard").agg(F.collect_list("want").alias("want"))
     held = records.select(*[c for c in records.columns if c not in ("ids_before", "n_ids")])
-    near = held.join(wanted, F.col("want").between(F.col("first_key"), F.col("last_key")))
+    near = held.join(groups, ["part", "shard"])
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            shard, key = Shard(row), np.array([row["want"]])
-            begin, n = shard.places(key, np.zeros(1, np.int64), np.zeros(1, bool))
-            if begin[0] >= 0:
-                yield pa.RecordBatch.from_pydict({"doc_id": pa.array(key), "ids": pa.array([shard.ids[begin[0] : begin[0] + n[0]].astype(np.int64)], pa.list_(pa.int64()))})
+            shard, key = Shard(row), np.array(row["want"], np.int64)
+            begin, n = shard.places(key, np.zeros(len(key), np.int64), np.zeros(len(key), bool))
+            for k in np.flatnonzero(begin >= 0):
+                yield pa.RecordBatch.from_pydict({"doc_id": pa.array(key[k : k + 1]), "ids": pa.array([shard.ids[begin[k] : begin[k] + n[k]].astype(np.int64)], pa.list_(pa.int64()))})
 
     return near.mapInArrow(take, "doc_id long, ids array<long>")
 
