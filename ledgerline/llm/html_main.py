@@ -19,7 +19,8 @@ Pages with the same main text (the largest blocks that hold NEARLY_ALL of the wo
 headings, list items) are never judged, so a sentence that many articles share stays.  The counting is over
 (host, path, value) with partial sums, so a host with a third of all pages is no hot key.
 
-Defined results: null or empty html gives the empty text; unclosed elements, comments and scripts reach to the end of the
+Defined results: null or empty html gives the empty text; elements nested deeper than DEPTH are, as in browsers, laid beside
+each other, so that time follows the length of a page; unclosed elements, comments and scripts reach to the end of the
 page; br and other inline elements are white space at most; rows with the same page_id are separate pages.
 """
 
@@ -37,6 +38,8 @@ from pyspark.sql import functions as F
 from .store import written
 
 MIN_PAGES = 8
+#: Open elements beyond which further ones only end blocks.
+DEPTH = 128
 #: Weight of the content in a node's importance, and the importance below which a branch goes.
 CONTENT, LOW = 0.9, 0.2
 #: Pages without importance that a tag, role or name of boilerplate is worth.
@@ -120,6 +123,7 @@ def parse(page: str) -> tuple[list[dict], list[dict]]:
     heading; nodes: path, style, content, whether with a prior)."""
     root = _Node("", None, "", False, False)
     stack, blocks, nodes, line = [root], [], [], []
+    deep: dict[str, int] = {}  # open elements by tag that are not on the stack
 
     def end_block() -> None:
         text = " ".join(html.unescape("".join(line)).split())
@@ -160,6 +164,11 @@ def parse(page: str) -> tuple[list[dict], list[dict]]:
             continue
         tag = m[2].lower()
         if m[1]:
+            if deep.get(tag):
+                deep[tag] -= 1
+                if tag not in INLINE:
+                    end_block()
+                continue
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == tag:
                     close(i)
@@ -188,6 +197,9 @@ def parse(page: str) -> tuple[list[dict], list[dict]]:
                         break
                     if stack[i].tag not in INLINE:
                         break
+        if len(stack) > DEPTH:
+            deep[tag] = deep.get(tag, 0) + 1
+            continue
         above = stack[-1]
         at_ = _attributes(m[3]) if m[3].strip() else {}
         name = tag + (f"#{at_['id']}" if at_.get("id") else "") + "".join(f".{c}" for c in sorted(at_.get("class", "").split()))

@@ -1,5 +1,7 @@
 """HTML extraction, chat formatting and exact top-k."""
 
+import time
+
 import numpy as np
 
 from ledgerline.llm import chat, html_main, mtree
@@ -55,6 +57,19 @@ def test_style_tree_keeps_a_pages_own_content(spark):
     assert got[3].startswith("the own words of this page\nstory 3") and not any("the same box" in t for t in got)
 
 
+def test_html_deep_long_and_repeated_rows(spark):
+    deep = "<div>x" * 5_000
+    started = time.time()
+    blocks, _ = html_main.parse(deep)
+    assert len(blocks) == 5_000 and time.time() - started < 30
+    assert [b["text"] for b in html_main.parse("<div>" * 600 + "a<b>b</b></div>c" + "</div>" * 599 + "<p>d</p>")[0]] == ["ab", "c", "d"]
+    long_ = "<article>" + "<p>word word</p>" * 5_000 + "</article>"
+    rows = [(1, None, deep[:1800]), (1, None, deep[:1800]), (2, None, long_), (None, "http://a.example/", "<p>no id</p>"), (3, "", None)]
+    got = html_main.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted(r["text"].count("\n") for r in got) == [0, 0, 299, 299, 4_999]
+    assert [r["text"] for r in got if r["page_id"] is None] == ["no id"] and [r["n_chars"] for r in got if r["page_id"] == 3] == [0]
+
+
 def test_html_empty_table(spark):
     assert html_main.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
