@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions import geo, keys
+from ..functions import geo, keys, roles
 from ..operators import linkage, rows, space
 from .market import _DIST, _HEX, _LEFT, _RIGHT, _both, _points
 from .registry import Tables, query
@@ -190,3 +190,15 @@ def swapped_axes(t: Tables):
     put = said.select(k, F.when(swap, F.col("b")).otherwise(F.col("a")).alias("lat"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("lon"))
     good = north(F.col("lat")) & east(F.col("lon"))
     return put.select(k, F.when(good, F.round("lat", 4)).alias("lat"), F.when(good, F.round("lon", 4)).alias("lon"))
+
+
+_NAMED = "CASE p_partkey % 9 WHEN 0 THEN 'Tower ' || p_size WHEN 1 THEN 'Plot 12-' || p_size WHEN 2 THEN 'Villa ' || p_size || ', Palm' WHEN 3 THEN 'Dr. ' || p_brand WHEN 4 THEN 'Jam Tower Car Parking' WHEN 5 THEN 'Grill Restaurant at Palm Palace' WHEN 6 THEN 'Dry Cleaning Hub' WHEN 7 THEN 'Marina Residences' ELSE 'Group The' END"
+_EXPECTED = "CASE p_partkey % 9 WHEN 0 THEN 'STRUCTURAL_ID' WHEN 1 THEN 'PLOT_ID' WHEN 2 THEN 'ADDRESS' WHEN 3 THEN 'PERSON' WHEN 4 THEN CASE WHEN p_size % 2 = 0 THEN 'BUILDING_NAME' ELSE 'AMENITY' END WHEN 5 THEN CASE WHEN p_size % 2 = 0 THEN 'BUILDING_NAME' ELSE 'VENUE' END WHEN 6 THEN CASE WHEN p_size % 2 = 0 THEN 'BUILDING_NAME' ELSE 'TENANT' END WHEN 7 THEN 'BUILDING_NAME' ELSE 'FRAGMENT' END"
+
+
+@query("I30,I31", f"""SELECT p_partkey, role, CASE role WHEN 'AMENITY' THEN 'Jam Tower' WHEN 'VENUE' THEN 'Palm Palace' END AS parent FROM (SELECT p_partkey, {_EXPECTED} AS role FROM part)""")
+def roles_of_names(t: Tables):
+    """Names as an outline (even sizes) or a point carries them: their roles, and the building that others point at."""
+    named = t.part.select("p_partkey", F.expr(_NAMED).alias("name"), F.when(F.col("p_size") % 2 == 0, "osm").otherwise("places").alias("source"))
+    judged = named.withColumn("role", roles.role_of(F.col("name"), F.col("source")))
+    return judged.select("p_partkey", "role", roles.parent_of(F.col("name"), F.col("role")).alias("parent"))

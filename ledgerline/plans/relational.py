@@ -136,8 +136,9 @@ def index_percentiles(t: Tables):
 @query("E06,K45", """SELECT l_linestatus, count(*) AS n, round(median(l_extendedprice), 2) AS median, round(quantile_cont(l_extendedprice, 0.25), 2) AS p25, round(quantile_cont(l_extendedprice, 0.75), 2) AS p75,
     round((quantile_cont(l_extendedprice, 0.75) - quantile_cont(l_extendedprice, 0.25)) / median(l_extendedprice), 4) AS dispersion FROM lineitem GROUP BY l_linestatus""")
 def depth_table(t: Tables):
-    q = lambda p: F.percentile("l_extendedprice", p)
-    return t.lineitem.groupBy("l_linestatus").agg(F.count("*").alias("n"), F.round(q(0.5), 2).alias("median"), F.round(q(0.25), 2).alias("p25"), F.round(q(0.75), 2).alias("p75"), F.round((q(0.75) - q(0.25)) / q(0.5), 4).alias("dispersion"))
+    q = stats.interpolated_quantiles(t.lineitem, "l_linestatus", "l_extendedprice", {"median": 0.5, "p25": 0.25, "p75": 0.75})
+    dispersion = F.round((F.col("p75") - F.col("p25")) / F.col("median"), 4)
+    return q.select("l_linestatus", "n", *[F.round(c, 2).alias(c) for c in ("median", "p25", "p75")], dispersion.alias("dispersion"))
 
 
 @query("E09", "SELECT l_suppkey, l_partkey, n FROM (SELECT l_suppkey, l_partkey, count(*) AS n FROM lineitem GROUP BY 1, 2) QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY n DESC, l_partkey) = 1")
