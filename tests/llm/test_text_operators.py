@@ -224,6 +224,43 @@ def test_near_duplicates(spark, direct, each, monkeypatch):
     assert near_dup.classes(table(spark, [])).count() == 0
 
 
+def test_near_duplicates_whole_table(spark, sf):
+    """Every pair of weighted Jaccard 0.8 or more, found through shared shingles, against the classes of all of sf0.01."""
+    df, rows = documents(spark, sf.replace("sf0.001", "sf0.01"))
+    cells = []
+    for _, text in rows:
+        w, seen = words(text), Counter()
+        n = max(0, len(w) - 4) or min(1, len(w))
+        for k in range(n):
+            seen[tuple(w[k : k + 5])] += 1
+        cells.append(seen)
+    holders = {}
+    for k, seen in enumerate(cells):
+        for shingle, n in seen.items():
+            holders.setdefault(shingle, []).append((k, n))
+    shared = Counter()
+    for held in holders.values():
+        for (a, m), (b, n) in combinations(held, 2):
+            shared[a, b] += min(m, n)
+    size = [sum(c.values()) for c in cells]
+    links = [(a, b) for (a, b), n in shared.items() if n >= 0.8 * (size[a] + size[b] - n)]
+    label = list(range(len(rows)))
+
+    def root(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for a, b in links:
+        label[max(root(a), root(b))] = min(root(a), root(b))
+    of = {r["doc_id"]: r["class_id"] for r in near_dup.classes(df).collect()}
+    found = sum(of[rows[a][0]] == of[rows[b][0]] for a, b in links)
+    print(f"near duplicates: {found} of {len(links)} links")
+    assert links and found == len(links)
+    worded = [k for k in range(len(rows)) if size[k]]
+    assert len({of[rows[k][0]] for k in worded}) == len({root(k) for k in worded})
+
+
 def test_dart_signatures_estimate_weighted_jaccard():
     rng = np.random.default_rng(4)
     cells = rng.integers(0, 1 << 64, 900, dtype=np.uint64)
