@@ -108,6 +108,25 @@ def phrase_scores(texts: DataFrame, bank: DataFrame, floor: float) -> DataFrame:
     return first_rows(each.withColumn("score", score), ["id"], [F.col("score").desc(), F.col("question")]).select("id", "question", F.round("score", 3).alias("score"), "hits")
 
 
+def unit_matches(sheet: DataFrame, register: DataFrame, tolerance: float = 0.03, tail: int = 3) -> DataFrame:
+    """a, b, method: units of sheet(a, project, number, size) found in register(b, project, number, size).  In the project, the
+    number's digits and a size within the tolerance; else its last digits and the size.  A unit is matched only where one is
+    left to choose; several are 'ambiguous', none is a null method."""
+    of = lambda df, k, n: df.select(k, "project", F.regexp_replace("number", "[^0-9]", "").alias(f"d{n}"), F.col("size").alias(f"s{n}"))
+    l, r = of(sheet, "a", 1), of(register, "b", 2)
+    fits = F.abs(F.col("s1") - F.col("s2")) <= tolerance * F.col("s2")
+
+    def stage(left: DataFrame, key1: Column, key2: Column, method: str) -> DataFrame:
+        j = left.withColumn("k", key1).where("k <> ''").join(r.withColumn("k", key2), ["project", "k"]).where(fits)
+        g = j.groupBy("a").agg(F.count("*").alias("n"), F.min("b").alias("b"))
+        return g.select("a", F.when(F.col("n") == 1, F.col("b")).alias("b"), F.when(F.col("n") == 1, method).otherwise("ambiguous").alias("method"))
+
+    exact = stage(l, F.col("d1"), F.col("d2"), "number")
+    rest = l.join(exact.select("a"), "a", "left_anti")
+    end = lambda c: F.when(F.length(c) >= tail, F.right(F.col(c), F.lit(tail)))
+    return sheet.select("a").join(exact.unionByName(stage(rest, end("d1"), end("d2"), "tail")), "a", "left")
+
+
 def resolved(evidence: DataFrame, authority: list[str], survey: list[str], order: list[str], structural: list[str]) -> DataFrame:
     """entity, role, value, grade, score, sources for evidence(entity, role, value, source, score, confidence).
 

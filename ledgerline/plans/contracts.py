@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import keys
-from ..operators import contracts, gates, rows, stats
+from ..operators import contracts, gates, linkage, rows, stats
+from ..sources import lake
 from .registry import Tables, query, same_sql
 
 _FEEDS = """f AS (SELECT o_custkey AS key, count(*) AS reported, count(DISTINCT CASE WHEN o_custkey % 7 = 0 THEN o_orderpriority ELSE CAST(o_orderkey AS VARCHAR) END) AS loaded,
@@ -223,3 +226,37 @@ def interpolated_quantiles(t: Tables):
     """Interpolated quantiles of groups that hold a third of the rows, from counted and bucketed values."""
     q = stats.interpolated_quantiles(t.lineitem, "l_returnflag", "l_extendedprice", {"median": 0.5, "p90": 0.9})
     return q.select("l_returnflag", "n", F.round("median", 2).alias("median"), F.round("p90", 2).alias("p90"))
+
+
+@query("K19", """WITH r AS (SELECT p_partkey AS b, p_brand AS project, p_partkey AS num, p_retailprice AS size FROM part), l AS (SELECT p_partkey AS a, p_brand AS project, CASE WHEN p_partkey % 3 = 0 THEN p_partkey + 700000 ELSE p_partkey END AS num, p_retailprice * CASE WHEN p_partkey % 5 = 0 THEN 1.5 ELSE 1.01 END AS size FROM part),
+    e AS (SELECT a, min(b) AS b, count(*) AS n FROM l JOIN r USING (project, num) WHERE abs(l.size - r.size) <= 0.03 * r.size GROUP BY 1),
+    t AS (SELECT a, min(b) AS b, count(*) AS n FROM l JOIN r ON l.project = r.project AND length(CAST(l.num AS VARCHAR)) >= 3 AND length(CAST(r.num AS VARCHAR)) >= 3 AND right(CAST(l.num AS VARCHAR), 3) = right(CAST(r.num AS VARCHAR), 3) WHERE abs(l.size - r.size) <= 0.03 * r.size AND a NOT IN (SELECT a FROM e) GROUP BY 1)
+    SELECT l.a, CASE WHEN f.n = 1 THEN f.b END AS b, CASE WHEN f.n = 1 THEN f.m WHEN f.n > 1 THEN 'ambiguous' END AS method FROM l LEFT JOIN (SELECT *, 'number' AS m FROM e UNION ALL SELECT *, 'tail' FROM t) f ON f.a = l.a""")
+def sheet_units(t: Tables):
+    """Units of a developer's sheet in the register: by number and size, then by the number's tail."""
+    k = F.col("p_partkey")
+    number = F.concat(F.lit("Unit "), F.when(k % 3 == 0, k + 700000).otherwise(k).cast("string"))
+    sheet = t.part.select(k.alias("a"), F.col("p_brand").alias("project"), number.alias("number"), (F.col("p_retailprice") * F.when(k % 5 == 0, 1.5).otherwise(1.01)).alias("size"))
+    register = t.part.select(k.alias("b"), F.col("p_brand").alias("project"), k.cast("string").alias("number"), F.col("p_retailprice").alias("size"))
+    return linkage.unit_matches(sheet, register)
+
+
+@query("L05,B09,K08", "SELECT 'nations' AS job, n_nationkey AS key FROM nation")
+def job_results(t: Tables):
+    """Three jobs: one publishes, one is held by itself, one because its join rate fell; only the first leaves rows."""
+    at = f"{lake.shared_dir(t.spark)}/jobs-{uuid4().hex}"
+    rows_of = lambda df, k: df.select(F.col(k).alias("key"))
+    jobs = {
+        "nations": lambda: lake.JobResult({"nation": t.nation}, rows_of(t.nation, "n_nationkey"), 25, 25),
+        "regions": lambda: lake.JobResult({"region": t.region}, rows_of(t.region, "r_regionkey"), 5, 5, "source refused"),
+        "parts": lambda: lake.JobResult({}, rows_of(t.part, "p_partkey"), 100, 10),
+    }
+    said = lake.run_jobs(lake.Lake(t.spark, f"{at}/lake"), f"{at}/xref", jobs, {"parts": 0.9, "nations": 1.0})
+    done = [name for name, what in said.items() if what == "published"]
+    return t.spark.read.parquet(f"{at}/xref").select(F.col("job").cast("string").alias("job"), "key").where(F.col("job").isin(done))
+
+
+@query("I22,L02", "SELECT o_orderkey, {'day': strftime(o_orderdate, '%Y-%m-%d'), 'price': o_totalprice}.price AS price, {'a': o_orderstatus, 'b': o_custkey}.b AS customer FROM orders")
+def struct_literals(t: Tables):
+    made = t.orders.select("o_orderkey", F.named_struct(F.lit("day"), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("price"), F.col("o_totalprice")).alias("x"), F.struct(F.col("o_orderstatus").alias("a"), F.col("o_custkey").alias("b")).alias("y"))
+    return made.select("o_orderkey", "x.price", F.col("y.b").alias("customer"))

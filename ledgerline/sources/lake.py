@@ -10,6 +10,8 @@ from __future__ import annotations
 import datetime
 import tempfile
 import uuid
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -164,6 +166,35 @@ def artefact(df: DataFrame, path: str) -> None:
     df.select(F.to_json(F.struct(*df.columns)).alias("value")).coalesce(1).write.text(path)
 
 
+@dataclass
+class JobResult:
+    """What a job returns: tables to publish, its rows of the crosswalk, how many keys it had and matched, and why it is held."""
+
+    tables: dict[str, DataFrame] = field(default_factory=dict)
+    crosswalk: DataFrame | None = None
+    keys_in: int = 0
+    keys_matched: int = 0
+    hold: str | None = None
+
+
+def run_jobs(store: Lake, crosswalk: str, jobs: dict[str, Callable[[], JobResult]], last: dict[str, float], least: float = 0.8) -> dict[str, str]:
+    """Runs each job and publishes what it returns, unless it is held or matches less than `least` of its last accepted rate; says
+    of each what was done.  One job's hold does not stop the others."""
+    said = {}
+    for name, job in jobs.items():
+        r = job()
+        rate = r.keys_matched / r.keys_in if r.keys_in else 0.0
+        if r.hold or rate < least * last.get(name, 0.0):
+            said[name] = f"held: {r.hold or 'join rate fell'}"
+            continue
+        now = {n: store.table(n) for n in store._current() if n not in r.tables}
+        store.publish({**now, **r.tables}, shrink=0.0)
+        if r.crosswalk is not None:
+            rewrite(r.crosswalk.withColumn("job", F.lit(name)), crosswalk, "job")
+        said[name] = "published"
+    return said
+
+
 def upsert(master: DataFrame, fresh: DataFrame, key: str, first: dict[str, str], last: dict[str, str]) -> DataFrame:
     """Master rows updated and new ones inserted: columns in `first` keep the oldest value, those in `last` take the newest;
     both map a column of the master to one of `fresh`."""
