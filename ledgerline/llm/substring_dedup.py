@@ -6,14 +6,12 @@ grams with the smallest hash.  Neighbouring windows share anchors, so a document
 kilobytes, each known by its anchor's fingerprint; equal windows have equal anchors at equal places.  Regions whose anchor
 occurs once in the corpus hold no repeat, and regions that are equal byte for byte are one string with a count.
 
-The different strings of the shared anchors, twice where there are more copies, are dealt to shards by anchor.  A shard's
-suffix array is built by induced sorting, and the permuted common prefixes tell which windows start elsewhere too; the flags
-return to all documents that hold the string.
-
-An anchor whose strings exceed a shard (a passage in very many documents) is split: its windows form spans of so many places
-before the anchor.  All windows of a span share a core of bytes, so spans with different cores have no window in common;
-equal spans are one string again, and the spans of a core go to one shard.  A core that still exceeds a shard is split into
-shorter spans, down to single windows, which are all equal.
+Where an anchor has several different strings, their windows are split into spans of so many places before the anchor.  All
+windows of a span share a core of bytes, so spans with different cores have no window in common; a core that only one
+string has is done, and equal spans are one again.  The different spans of a core go to one shard, whose suffix array is
+built by induced sorting; the permuted common prefixes tell which windows start elsewhere too.  A core that exceeds a shard
+is split into shorter spans, down to single windows, which are all equal.  The flags return to all documents that hold the
+string.
 
 Defined results: a null text is empty; texts shorter than LENGTH lose nothing; rows with the same doc_id are separate
 documents; an empty table gives no rows.  Fingerprints have 64 bits (two strings share one with a chance of about 2**-60).
@@ -25,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .store import written
@@ -33,11 +31,12 @@ from .suffix_array import repeated
 from .textbytes import VALUES, buffers, chunks, fingerprints, mix, prefix_sums, ranges
 
 LENGTH, GRAM = 400, 32
-#: Windows of a span at each splitting (each a multiple of the next), and bytes of a shard (whole anchors or cores).
+#: Windows of a span at each splitting (each a multiple of the next), and bytes of a shard (whole cores).
 SPANS, SHARD_BYTES = (48, 12, 3, 1), 1 << 20
 
 REGION_SCHEMA = "doc_id long, fp long, at int, windows int, lead int, anchor long, string long"
 STRING_SCHEMA = "anchor long, string long, copies int, lead int, bytes binary"
+PIECE_SCHEMA = f"{STRING_SCHEMA}, large boolean"
 SPAN_SCHEMA = "anchor long, string long, copies int, lead int, first int, windows int, core long, span long"
 
 
@@ -123,8 +122,8 @@ def _spans(batches: Iterator[pa.RecordBatch], length: int, size: int) -> Iterato
 
 
 def _cut_out(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """STRING_SCHEMA, a row for each span, for rows (bytes, wanted spans)."""
-    names = ["anchor", "string", "copies", "lead", "bytes"]
+    """PIECE_SCHEMA, a row for each span, for rows (bytes, wanted spans)."""
+    names = ["anchor", "string", "copies", "lead", "bytes", "large"]
     for batch in batches:
         data, offsets = buffers(batch.column(0))
         want = batch.column(1)
@@ -134,23 +133,21 @@ def _cut_out(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
         for k in range(0, len(flat), 4096):
             raw = pa.array([data[b:e].tobytes() for b, e in zip(begin[k : k + 4096].tolist(), end[k : k + 4096].tolist())], pa.binary())
             part = flat.slice(k, 4096)
-            yield pa.RecordBatch.from_arrays([*(part.field(c) for c in ("core", "span", "copies", "lead")), raw], names)
+            yield pa.RecordBatch.from_arrays([*(part.field(c) for c in ("core", "span", "copies", "lead")), raw, part.field("large")], names)
 
 
 def _sorted_shards(batches: Iterator[pa.RecordBatch], length: int, limit: int) -> Iterator[pa.RecordBatch]:
-    """anchor, string, first, count of the runs of repeated windows, for rows (anchor, string, copies, bytes) in the order of
-    anchors, whose strings stay together."""
-    held: list[tuple[int, int, bytes]] = []
+    """anchor, string, first, count of the runs of repeated windows of the single strings, for rows (anchor, string, copies,
+    bytes) in the order of anchors, whose strings stay together."""
+    held: list[tuple[int, int, int, bytes]] = []
     size, last = 0, None
 
     def flush() -> pa.RecordBatch:
         out = []
-        again = None
-        for (anchor, string, _), twice in zip(held, repeated([h[2] for h in held], length)):
-            if (anchor, string) != again:
+        for (anchor, string, copies, _), twice in zip(held, repeated([h[3] for h in held], length)):
+            if copies == 1:
                 edge = np.flatnonzero(np.diff(np.concatenate([[0], twice.astype(np.int8), [0]])))
                 out += [(anchor, string, s, e - s) for s, e in zip(edge[::2].tolist(), edge[1::2].tolist())]
-            again = (anchor, string)
         held.clear()
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32()))], ["anchor", "string", "first", "count"])
 
@@ -159,29 +156,36 @@ def _sorted_shards(batches: Iterator[pa.RecordBatch], length: int, limit: int) -
             if size >= limit and anchor != last:
                 yield flush()
                 size = 0
-            held += [(anchor, string, raw)] * copies
-            size, last = size + len(raw) * copies, anchor
+            held.append((anchor, string, copies, raw))
+            size, last = size + len(raw), anchor
     if held:
         yield flush()
 
 
-def _repeats(strings: DataFrame, length: int, spans: tuple[int, ...], shard: int) -> DataFrame:
-    """anchor, string, first, count: the runs of repeated windows of the stored strings (STRING_SCHEMA; copies: 1, or 2 for more)."""
-    large = written(strings.groupBy("anchor").agg(F.sum(F.length("bytes") * F.col("copies")).alias("n")).where(F.col("n") > shard).select("anchor"), "substring-large")
-    split = bool(spans) and large.limit(1).count() > 0
-    near = (strings.join(large, "anchor", "left_anti") if split else strings).select("anchor", "string", "copies", "bytes").repartition("anchor").sortWithinPartitions("anchor", "string")
+def _mixed(kinds: DataFrame, group: str, *more: Column) -> DataFrame:
+    """The groups of several different strings of which one is single; in others the number of copies says all."""
+    return kinds.groupBy(group).agg(F.count("*").alias("different"), F.min("copies").alias("least"), *more).where("different > 1 AND least = 1").drop("different", "least")
+
+
+def _split(strings: DataFrame, length: int, spans: tuple[int, ...], shard: int) -> DataFrame:
+    """anchor, string, first, count: the runs of repeated windows of the single ones of the stored strings (STRING_SCHEMA;
+    copies: 1, or 2 for more)."""
+    size = spans[0]
+    parts = written(strings.mapInArrow(lambda it: _spans(it, length, size), SPAN_SCHEMA), "substring-spans")
+    kinds = written(parts.groupBy("core", "span").agg(F.sum("copies").alias("copies"), F.min(F.struct("anchor", "string", "first", "windows", "lead")).alias("one")), "substring-kinds")
+    cores = _mixed(kinds, "core", F.sum(F.col("one.windows") + length - 1).alias("n"))
+    cores = written(cores.select("core", ((F.col("n") > shard) & F.lit(len(spans) > 1)).alias("large")), "substring-cores")
+    wanted = kinds.join(cores, "core").select("core", "span", F.least("copies", F.lit(2)).cast("int").alias("copies"), "large", "one.*")
+    by_string = written(wanted.groupBy("anchor", "string").agg(F.collect_list(F.struct("first", "windows", "lead", "core", "span", "copies", "large")).alias("want")), "substring-by-string")
+    pieces = written(strings.join(by_string, ["anchor", "string"]).select("bytes", "want").mapInArrow(lambda it: _cut_out(it, length), PIECE_SCHEMA), "substring-pieces")
+    near = pieces.where("NOT large").select("anchor", "string", "copies", "bytes").repartition("anchor").sortWithinPartitions("anchor", "string")
     found = near.mapInArrow(lambda it: _sorted_shards(it, length, shard), "anchor long, string long, first int, count int")
-    if not split:
-        return found
-    size, some = spans[0], strings.join(large, "anchor")
-    parts = written(some.mapInArrow(lambda it: _spans(it, length, size), SPAN_SCHEMA), "substring-spans")
-    kinds = parts.groupBy("core", "span").agg(F.sum("copies").alias("copies"), F.min(F.struct("anchor", "string", "first", "windows", "lead")).alias("one"))
-    wanted = kinds.select("core", "span", F.least("copies", F.lit(2)).cast("int").alias("copies"), "one.*")
-    by_string = written(wanted.groupBy("anchor", "string").agg(F.collect_list(F.struct("first", "windows", "lead", "core", "span", "copies")).alias("want")), "substring-by-string")
-    pieces = written(some.join(by_string, ["anchor", "string"]).select("bytes", "want").mapInArrow(lambda it: _cut_out(it, length), STRING_SCHEMA), "substring-pieces")
-    inner = written(_repeats(pieces, length, spans[1:], shard).toDF("core", "span", "inside", "count"), "substring-inner")
-    outer = parts.select("anchor", "string", "first", "core", "span").join(inner, ["core", "span"]).select("anchor", "string", (F.col("first") + F.col("inside")).alias("first"), "count")
-    return found.unionAll(outer)
+    large = pieces.where("large").drop("large")
+    if large.limit(1).count():
+        found = found.unionAll(_split(large, length, spans[1:], shard))
+    equal = kinds.where("copies > 1").select("core", "span", F.lit(0).alias("first"), F.col("one.windows").alias("count"))
+    inner = written(found.unionAll(equal).toDF("core", "span", "inside", "count"), "substring-inner")
+    return parts.where("copies = 1").select("anchor", "string", "first", "core", "span").join(inner, ["core", "span"]).select("anchor", "string", (F.col("first") + F.col("inside")).alias("first"), "count")
 
 
 def _marks(docs: DataFrame, length: int, gram: int, spans: tuple[int, ...], shard: int) -> DataFrame:
@@ -190,14 +194,16 @@ def _marks(docs: DataFrame, length: int, gram: int, spans: tuple[int, ...], shar
     often = written(all_.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "substring-anchors")
     shared = written(all_.join(often, "anchor"), "substring-shared")
     one = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "fp", "at", "windows", "lead"))
-    want = shared.groupBy("anchor", "string").agg(F.least(F.count("*"), F.lit(2)).cast("int").alias("copies"), one.alias("one")).select("anchor", "string", "copies", "one.*")
+    kinds = written(shared.groupBy("anchor", "string").agg(F.least(F.count("*"), F.lit(2)).cast("int").alias("copies"), one.alias("one")), "substring-strings")
+    whole = kinds.where("copies > 1").select("anchor", "string", F.lit(0).alias("first"), F.col("one.windows").alias("count"))
+    # the bytes of the strings of mixed anchors, once each
+    want = kinds.join(written(_mixed(kinds, "anchor"), "substring-mixed"), "anchor").select("anchor", "string", "copies", "one.*")
     by_doc = written(want.groupBy("doc_id", "fp").agg(F.collect_list(F.struct("at", "windows", "anchor", "string", "copies", "lead")).alias("want")), "substring-wanted")
     same = docs["doc_id"].eqNullSafe(by_doc["doc_id"]) & (docs["fp"] == by_doc["fp"])
-    # of rows with the same id and text, each would bring the strings
     strings = docs.join(by_doc, same).select("text", "want").mapInArrow(lambda it: _strings(it, length), STRING_SCHEMA)
     if docs.groupBy("doc_id", "fp").agg(F.count("*").alias("n")).where("n > 1").limit(1).count():
-        strings = strings.dropDuplicates(["anchor", "string"])
-    flags = written(_repeats(written(strings, "substring-texts"), length, spans, shard), "substring-flags")
+        strings = strings.dropDuplicates(["anchor", "string"])  # rows with the same id and text bring them each
+    flags = written(whole.unionAll(_split(written(strings, "substring-texts"), length, spans, shard)), "substring-flags")
     return shared.select("doc_id", "fp", "at", "anchor", "string").join(flags, ["anchor", "string"]).groupBy("doc_id", "fp").agg(F.collect_list(F.struct((F.col("at") + F.col("first")).alias("first"), "count")).alias("runs"))
 
 
