@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .store import drop, owned, written
+from .store import drop, owned, small_batches, written
 from .textbytes import LOWER_VALUES, VALUES, chunks, fingerprints, mix, owners, prefix_sums, word_bounds
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -122,7 +122,7 @@ def dart_signatures(cells: np.ndarray, start: np.ndarray, k: int) -> np.ndarray:
 
 def _shingles(column: pa.Array) -> Iterator[tuple]:
     """(first row, end row, bytes, offsets, cells, first cell of each text) of runs of texts."""
-    for row, end, data, offsets in chunks(column, 1 << 20):
+    for row, end, data, offsets in chunks(column):
         s, e, first = word_bounds(data, offsets)
         yield row, end, data, offsets, *shingle_cells(fingerprints(prefix_sums(data, LOWER_VALUES), s, e), first)
 
@@ -433,6 +433,7 @@ def _components(docs: DataFrame, all_: DataFrame, texts: DataFrame, similarity:
 def classes(docs: DataFrame, similarity: float = SIMILARITY, direct: int = DIRECT) -> DataFrame:
     """doc_id, fp (hash of the text), uid, class_id (smallest doc_id of its class), kept, for every row of docs(doc_id, text)."""
     spark, work = docs.sparkSession, f"near {uuid4().hex}"
+    small_batches(spark)
     all_ = written(signatures(docs, design(similarity)[0]), "near-signatures")
     key = ["digest", "digest2", "shingles"]
     texts = written(all_.groupBy(*key).agg(F.min("uid").alias("uid"), F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "uid")).alias("first")), "near-texts")

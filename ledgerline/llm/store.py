@@ -13,15 +13,23 @@ _OWN: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session.  Only where it is unset, as in local tests, a folder of this process."""
+    """spark.checkpoint.dir of the session.  Only where it is unset on a local master, as in tests, a folder of this process."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir is not set")
     if not _OWN:
         _OWN.append(tempfile.mkdtemp(prefix="spark-ledgerline-"))
     return _OWN[0]
 
 
+def small_batches(spark: SparkSession, size: str = "8m") -> None:
+    """From now on the session sends rows to Python in batches of at most so many bytes: a task holds a few copies of a batch in
+    the JVM and in its worker, and rows with long texts are large."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/ledgerline/{name}-{uuid.uuid4().hex}"
 

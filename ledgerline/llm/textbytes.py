@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text worked on at once in a task (a single longer text is taken whole).
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
