@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import decontamination, near_dup, packing, pii, quality
-from ledgerline.llm.store import drop, new_path, owned, written
+from ledgerline.llm.store import drop, new_path, owned, small_batches, written
 
 #: Not expressible in SQL; tests/llm/test_pipeline.py holds run() against brute force.
 ORACLE_SQL = None
@@ -23,6 +23,7 @@ def _stage(work: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callabl
     @wraps(work)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         drop(spark, f"pipeline {sf_dir}")
+        small_batches(spark)
         with owned(f"pipeline {sf_dir}"):
             return work(spark, docs, sf_dir)
 
