@@ -1,73 +1,116 @@
-"""What role a name plays for a building: its own name, a mark of its structure, a plot, an address, or something in or near it.
+"""What role a name plays for a building, by adding up evidence: every role collects points from the words of the name, from
+its shape, from the category that the source gives and from the kind of source; the role with most points wins.
 
-The vocabulary decides together with where the name was found: a name on a building's own outline is its name unless it is an
-advert, a person or a fragment; a name at a point has to show that it is one.
+A name is split into words once.  Each table below says what a word, a shape, a category or a source speaks for and how
+strongly, so a new kind of evidence is a row, not a rule at the right place.  Shapes that nothing else can be (a plot number,
+an advert) weigh most, the source that draws outlines weighs more than any word, and a single word found at a point is
+too little to name anything.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# fixed values: words by which the roles are known, and the sources that draw outlines
-BUILDING = (
-    "tower", "towers", "residence", "residences", "building", "plaza", "heights", "court", "mansion", "villa", "villas", "apartments?", "complex", "centre", "center", "mall", "hotel", "suites", "lofts", "gate", "house", "palace", "palazzo", "boulevard", "arcade", "terrace", "terraces", "lodge", "manor", "pavilion", "wing", "block",
-)
-AMENITY = (
-    "car ?park(?:ing)?", "parking", "valet", "reception", "lobby", "entrance", "gate ?[0-9]", "atm", "kiosk", "food court", "toilet", "prayer room", "taxi", "loading bay", "service (?:entrance|lift)", "swimming pool", "pool bar", "gym", "health club", "spa", "business cent(?:re|er)", "concierge",
-)
-INFRASTRUCTURE = ("metro station", "metro", "tram", "bus (?:station|stop|depot)", "station", "interchange", "substation", "pumping station", "water tank", "sewage", "power plant", "helipad", "bridge", "tunnel")
-TENANT = (
-    "restaurant", "cafe", "coffee", "bar", "pub", "lounge", "bistro", "grill", "kitchen", "bakery", "butcher", "salon", "spa", "barber", "clinic", "dental", "dentist", "doctor", "medical", "pharmacy", "laundry", "dry[- ]cleaning", "cleaners", "grocery", "supermarket", "hypermarket", "market", "insurance", "bank", "exchange",
-    "travel", "tourism", "agency", "agent", r"consultanc\w*", "contracting", "trading", "general trading", "gym", "fitness", "yoga", "pilates", "studio", "nursery", "kindergarten", "academy", "training", "showroom", "furniture", "boutique", "tailor", r"optic\w*", "garage", "workshop", "car wash", "rent a car", "typing",
-    "photocopy", "stationery", "florist", "veterinary", "law firm", "advocates",
-)
-LISTING = (r"\b[0-9]\s*(?:br|bed|bedroom|bhk)\b", r"\bstudio apt\b", r"\bapartment with\b", r"\bwith .*\bview\b", r"\bstunning\b", r"\bluxur\w*\b", r"\bco[sz]y\b", r"\bspacious\b", r"\bsophisticated\b", r"\bhosted by\b", r"\bshort[- ]term\b", r"\bholiday home\b", r"\bfor rent\b", r"\bfor sale\b", r"\bper night\b", r"\|")
-TITLES = ("dr", "mr", "mrs", "ms", "prof", "eng")
-TRADES = ("coach", "consultant", "therapist", "trainer", "specialist", "designer", "photographer", "adviser", "advisor", "broker", "realtor", "practitioner")
-FILLER = ("the", "a", "an", "of", "and", "dubai", "uae", "group", "company", "llc", "fz", "fze")
-OUTLINES = ("osm", "osm_en", "overture", "wikidata", "dld", "register", "binding", "dld_unit", "dm_building")
+from ..operators.rows import first_rows
+
+# fixed values: the names of roles, sources and categories as they stand in the data
 CANONICAL = ("BUILDING_NAME", "STRUCTURAL_ID", "PROJECT_NAME", "PLOT_ID", "ADDRESS")
+ROLES = (*CANONICAL, "TENANT", "VENUE", "AMENITY", "INFRASTRUCTURE", "ADVERTISEMENT", "FRAGMENT", "PERSON")
+OUTLINES = ("binding", "dld", "dld_unit", "dm_building", "osm", "osm_en", "overture", "register", "wikidata")
+BUILDING_CATEGORIES = (
+    "apartment_building", "apartment_complex", "building", "condominium_complex", "hotel", "housing_complex", "landmark_and_historical_building", "office_building", "premise", "residential_building", "resort_hotel", "shopping_mall", "subpremise",
+)
+
+_STRUCTURE = {"annex", "apartments", "block", "building", "court", "hall", "hotel", "house", "mall", "mansion", "palace", "plaza", "residence", "residences", "suites", "terrace", "tower", "towers", "villa", "villas"}
+_LABELS = {"bldg", "block", "building", "cluster", "phase", "tower", "wing"}
+_FOOD = {"bakery", "bar", "bistro", "brasserie", "cafe", "coffee", "diner", "eatery", "grill", "kitchen", "lounge", "pizzeria", "pub", "restaurant", "steakhouse", "tavern"}
+_TRADE = {
+    "academy", "agency", "bank", "barber", "boutique", "butcher", "cleaners", "cleaning", "clinic", "consultancy", "consultants", "contracting", "dentist", "exchange", "florist", "furniture", "garage", "grocery", "insurance", "laundry", "lawyers", "market",
+    "nursery", "office", "optician", "pharmacy", "salon", "showroom", "stationery", "studio", "supermarket", "tailor", "tourism", "trading", "travel", "typing", "veterinary", "workshop",
+}
+_FACILITY = {"atm", "carpark", "concierge", "entrance", "gym", "kiosk", "lobby", "mosque", "parking", "playground", "pool", "reception", "toilet", "valet"}
+_WORKS = {"bridge", "bus", "depot", "helipad", "interchange", "metro", "monorail", "pump", "railway", "sewage", "station", "substation", "tram", "tunnel"}
+_STREET = {"avenue", "lane", "rd", "road", "st", "street"}
+_PRAISE = {"amazing", "bedroom", "bhk", "brand-new", "cosy", "cozy", "fully", "furnished", "hosted", "lovely", "luxurious", "luxury", "rent", "sale", "spacious", "stunning", "view", "views"}
+_TITLES = {"dr", "eng", "miss", "mr", "mrs", "ms", "prof"}
+_CALLINGS = {"advisor", "agent", "architect", "broker", "coach", "consultant", "designer", "engineer", "instructor", "photographer", "realtor", "therapist", "trainer"}
+_EMPTY = {"a", "an", "and", "co", "company", "dubai", "for", "fze", "group", "in", "limited", "llc", "ltd", "of", "the", "uae"}
+
+
+def _words(name: Column) -> Column:
+    return F.filter(F.split(F.lower(name), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+
+
+def _count(words: Column, of: set[str]) -> Column:
+    """How many words stand in the list."""
+    return F.size(F.filter(words, lambda w: w.isin(sorted(of))))
+
+
+def evidence(name: Column, source: Column, category: Column) -> list[tuple[str, float, Column]]:
+    """(role, points, whether they are due)."""
+    w = _words(name)
+    n, kind = F.size(w), F.lower(F.coalesce(category, F.lit("")))
+    last, first = F.element_at(w, -1), F.element_at(w, 1)
+    numbers = F.size(F.filter(w, lambda x: x.rlike("^[0-9]+$")))
+    coded = last.rlike("^[a-z]{0,2}[0-9]{1,4}[a-z]?$")
+    lettered = F.size(F.filter(w, lambda x: x.rlike(r"^\p{L}{2,}")))
+    food, trade, structure = _count(w, _FOOD), _count(w, _TRADE | _FOOD), _count(w, _STRUCTURE)
+    inside = F.lower(name).rlike(r"\b(at|in|inside)\s+\S+\s+\S+|\b(at|in|inside)\s+the\s+\S+")
+    praise = _count(w, _PRAISE) + F.when(F.lower(name).rlike(r"\b[0-9]+ ?(br|bhk|beds?|bedrooms?)\b|\|"), 2).otherwise(0)
+    return [
+        ("ADVERTISEMENT", 12, praise >= 2),
+        ("FRAGMENT", 12, (n > 0) & (_count(w, _EMPTY) == n)),
+        ("PERSON", 11, first.isin(*_TITLES) & (n > 1)),
+        ("PERSON", 11, name.rlike(r"\s[-–]\s") & (_count(w, _CALLINGS) > 0)),
+        ("PLOT_ID", 10, first.isin("plot", "parcel", "land") & (numbers > 0) & (lettered == 1)),
+        ("ADDRESS", 9.5, (numbers > 0) & (_count(w, _STREET) > 0)),
+        ("ADDRESS", 9.5, first.isin("house", "no", "unit", "villa") & (n > 1) & F.element_at(w, F.when(n > 1, 2).otherwise(1)).rlike("[0-9]")),
+        ("STRUCTURAL_ID", 9, coded & ((n == 1) | ((n == 2) & first.isin(*_LABELS)) | ((n == 2) & first.rlike("^[a-z]{1,2}$")))),
+        ("BUILDING_NAME", 6, source.isin(*OUTLINES)),
+        ("PROJECT_NAME", 6.5, source == "projects"),
+        ("AMENITY", 4, (_count(w, _FACILITY) > 0)),
+        ("AMENITY", 4, kind.contains("parking")),
+        ("INFRASTRUCTURE", 3.5, _count(w, _WORKS) > 0),
+        ("INFRASTRUCTURE", 3.5, kind.rlike("transit|metro|bus_|train|station")),
+        ("VENUE", 3, ((trade > 0) | kind.rlike("restaurant|bar")) & inside),
+        ("TENANT", 2, (trade > 0) & ~inside),
+        ("TENANT", 0.5, kind.rlike("store|shop|service|restaurant|bar|office") & ~kind.isin(*BUILDING_CATEGORIES)),
+        ("VENUE", 0.4, food > 0),
+        ("BUILDING_NAME", 2.2, structure > 0),
+        ("BUILDING_NAME", 1.5, kind.isin(*BUILDING_CATEGORIES)),
+        ("FRAGMENT", 1, (n == 1) & (numbers == 0) & ~coded),
+    ]
+
+
+def role_of(name: Column, source: Column, category: Column | None = None) -> Column:
+    """The role of a name as a source gives it, with that source's category if it has one; ties go to the role named first in
+    ROLES; UNKNOWN where nothing speaks, as for null and empty names."""
+    name = F.trim(F.coalesce(name, F.lit("")))
+    points = dict.fromkeys(ROLES, F.lit(0.0))
+    for role, weight, due in evidence(name, F.coalesce(source, F.lit("")), F.lit(None).cast("string") if category is None else category):
+        points[role] = points[role] + F.when(F.coalesce(due, F.lit(False)), F.lit(float(weight))).otherwise(0.0)
+    ranked = F.array(*[F.struct(points[r].alias("points"), F.lit(-i).alias("place"), F.lit(r).alias("role")) for i, r in enumerate(ROLES)])
+    best = F.array_max(ranked)
+    return F.when((name == "") | (best["points"] <= 0), "UNKNOWN").otherwise(best["role"])
+
+
+def eligible(role: Column) -> Column:
+    """May a name of this role be what a building is called?"""
+    return role.isin(*CANONICAL)
+
 
+def parents(names: DataFrame, register: DataFrame, longest: int = 8) -> DataFrame:
+    """a, parent: of names(a, name) the longest name of register(name) that stands in it in whole words and is not all of it
+    (ties: the first in order); null if there is none.
 
-def _any(words: tuple[str, ...]) -> str:
-    return rf"(?i)\b(?:{'|'.join(words)})\b"
-
-
-def role_of(name: Column, source: Column) -> Column:
-    """The role of a name as it was found by a source; UNKNOWN for null and empty names."""
-    n = F.trim(name)
-    filler = "|".join(FILLER)
-    rules = [
-        (F.coalesce(n, F.lit("")) == "", "UNKNOWN"),
-        (n.rlike("(?i)" + "|".join(LISTING)), "ADVERTISEMENT"),
-        (n.rlike(rf"(?i)^(?:{'|'.join(TITLES)})\.?\s|\s[-–]\s.*\b(?:{'|'.join(TRADES)})\b"), "PERSON"),
-        (n.rlike(rf"(?i)^(?:{filler})(?:\s+(?:{filler}))*$"), "FRAGMENT"),
-        (n.rlike(r"(?i)^(?:plot|parcel|land)\s*(?:no\.?\s*)?[0-9./-]+$"), "PLOT_ID"),
-        (n.rlike(r"(?i)^(?:villa|no\.|house|unit)\s*[\w-]+(?:,\s*.+)?$") & n.rlike("[0-9]"), "ADDRESS"),
-        (n.rlike(r"(?i)^(?:(?:building|bldg|tower|block|plot|phase|wing|cluster)\s*)?[A-Z]{0,2}[- ]?[0-9]{1,4}[A-Z]?$"), "STRUCTURAL_ID"),
-        (source.isin(*OUTLINES), "BUILDING_NAME"),
-        (n.rlike(_any(AMENITY)), "AMENITY"),
-        (n.rlike(_any(INFRASTRUCTURE)), "INFRASTRUCTURE"),
-        (n.rlike(r"\b(?:at|in|inside|by)\s+(?:the\s+)?[A-Z]") & n.rlike(_any(TENANT)), "VENUE"),
-        (n.rlike(_any(TENANT)) & ~n.rlike(_any(BUILDING)), "TENANT"),
-        (n.rlike(_any(BUILDING)), "BUILDING_NAME"),
-        (~n.rlike(r"\s") & ~n.rlike("[0-9]"), "FRAGMENT"),
-    ]
-    role = F.lit("UNKNOWN")
-    for when, r in reversed(rules):
-        role = F.when(F.coalesce(when, F.lit(False)), r).otherwise(role)
-    return role
-
-
-def parent_of(name: Column, role: Column) -> Column:
-    """The building that the name of something else points at; null if it points at none."""
-    n = F.trim(name)
-
-    def rest(words: tuple[str, ...]) -> Column:
-        left = F.regexp_replace(F.trim(F.regexp_replace(F.regexp_replace(n, _any(words), ""), r"\s+", " ")), r"^[\s,–-]+|[\s,–-]+$", "")
-        return F.when(left.rlike(_any(BUILDING)) & left.rlike(r"\S\s+\S"), left)
-
-    inside = F.regexp_replace(F.regexp_extract(n, r"(?i)\b(?:at|in|inside)\s+(?:the\s+)?(.+)$", 1), r"^[\s.,–-]+|[\s.,–-]+$", "")
-    numbered = F.nullif(F.regexp_extract(n, r"(?i)^.*?\s*[-–]\s*((?:building|tower)\s*[0-9]+|block\s*[A-Z0-9]+)$", 1), F.lit(""))
-    return F.when(role == "AMENITY", rest(AMENITY)).when(role == "INFRASTRUCTURE", rest(INFRASTRUCTURE)).when(role.isin("VENUE", "TENANT"), F.coalesce(F.when(inside.rlike(r"\S\s+\S"), inside), numbered))
+    Runs of words are joined with the register's names, so a register of any size will do.  Case and marks do not count;
+    register names of more than `longest` words are compared by their runs of that length and then in full."""
+    known = register.select(F.col("name").alias("parent"), _words(F.col("name")).alias("full")).where(F.size("full") > 0).groupBy("full").agg(F.min("parent").alias("parent"))
+    known = known.withColumn("run", F.slice("full", 1, longest))
+    w = names.select("a", _words(F.coalesce("name", F.lit(""))).alias("w")).where(F.size("w") > 1)
+    starts = w.select("a", "w", F.explode(F.sequence(F.lit(1), F.size("w"))).alias("i"))
+    runs = starts.select("a", "w", "i", F.explode(F.transform(F.sequence(F.lit(1), F.least(F.lit(longest), F.size("w") - F.col("i") + 1)), lambda k: F.slice("w", F.col("i"), k))).alias("run"))
+    held = runs.join(known, "run").where((F.slice("w", F.col("i"), F.size("full")) == F.col("full")) & (F.size("full") < F.size("w")))
+    best = first_rows(held, ["a"], [F.size("full").desc(), F.length("parent").desc(), F.col("parent")]).select("a", "parent")
+    return names.select("a").join(best, "a", "left")

@@ -192,13 +192,31 @@ def swapped_axes(t: Tables):
     return put.select(k, F.when(good, F.round("lat", 4)).alias("lat"), F.when(good, F.round("lon", 4)).alias("lon"))
 
 
-_NAMED = "CASE p_partkey % 9 WHEN 0 THEN 'Tower ' || p_size WHEN 1 THEN 'Plot 12-' || p_size WHEN 2 THEN 'Villa ' || p_size || ', Palm' WHEN 3 THEN 'Dr. ' || p_brand WHEN 4 THEN 'Jam Tower Car Parking' WHEN 5 THEN 'Grill Restaurant at Palm Palace' WHEN 6 THEN 'Dry Cleaning Hub' WHEN 7 THEN 'Marina Residences' ELSE 'Group The' END"
-_EXPECTED = "CASE p_partkey % 9 WHEN 0 THEN 'STRUCTURAL_ID' WHEN 1 THEN 'PLOT_ID' WHEN 2 THEN 'ADDRESS' WHEN 3 THEN 'PERSON' WHEN 4 THEN CASE WHEN p_size % 2 = 0 THEN 'BUILDING_NAME' ELSE 'AMENITY' END WHEN 5 THEN CASE WHEN p_size % 2 = 0 THEN 'BUILDING_NAME' ELSE 'VENUE' END WHEN 6 THEN CASE WHEN p_size % 2 = 0 THEN 'BUILDING_NAME' ELSE 'TENANT' END WHEN 7 THEN 'BUILDING_NAME' ELSE 'FRAGMENT' END"
+# names of every kind by the rest of the key; the source by the size; the category that stands beside two of them
+_NAMED = """CASE p_partkey % 13 WHEN 0 THEN 'Block ' || p_size WHEN 1 THEN 'Parcel 77/' || p_size WHEN 2 THEN p_size || ' Harbour Street' WHEN 3 THEN 'Prof. ' || p_brand WHEN 4 THEN 'Quince House reception'
+    WHEN 5 THEN 'Olive Tree Diner at Quince House' WHEN 6 THEN 'Swift Laundry' WHEN 7 THEN 'Saffron Residences' WHEN 8 THEN 'The Company Ltd' WHEN 9 THEN 'Lovely 2 bhk, sea view' WHEN 10 THEN 'Cedar' WHEN 11 THEN 'North Tram Depot' ELSE 'Amber Gardens' END"""
+_CATEGORY = "CASE p_partkey % 13 WHEN 10 THEN 'office_building' WHEN 12 THEN 'public_parking' END"
+_EXPECTED = """CASE p_partkey % 13 WHEN 0 THEN 'STRUCTURAL_ID' WHEN 1 THEN 'PLOT_ID' WHEN 2 THEN 'ADDRESS' WHEN 3 THEN 'PERSON' WHEN 8 THEN 'FRAGMENT' WHEN 9 THEN 'ADVERTISEMENT'
+    ELSE CASE WHEN p_size % 3 = 0 THEN 'BUILDING_NAME' WHEN p_size % 3 = 1 THEN 'PROJECT_NAME' ELSE CASE p_partkey % 13 WHEN 4 THEN 'AMENITY' WHEN 5 THEN 'VENUE' WHEN 6 THEN 'TENANT' WHEN 7 THEN 'BUILDING_NAME' WHEN 10 THEN 'BUILDING_NAME' WHEN 11 THEN 'INFRASTRUCTURE' ELSE 'AMENITY' END END END"""
 
 
-@query("I30,I31", f"""SELECT p_partkey, role, CASE role WHEN 'AMENITY' THEN 'Jam Tower' WHEN 'VENUE' THEN 'Palm Palace' END AS parent FROM (SELECT p_partkey, {_EXPECTED} AS role FROM part)""")
+@query("I30", f"SELECT p_partkey, role, role IN ('BUILDING_NAME', 'STRUCTURAL_ID', 'PROJECT_NAME', 'PLOT_ID', 'ADDRESS') AS eligible FROM (SELECT p_partkey, {_EXPECTED} AS role FROM part)")
 def roles_of_names(t: Tables):
-    """Names as an outline (even sizes) or a point carries them: their roles, and the building that others point at."""
-    named = t.part.select("p_partkey", F.expr(_NAMED).alias("name"), F.when(F.col("p_size") % 2 == 0, "osm").otherwise("places").alias("source"))
-    judged = named.withColumn("role", roles.role_of(F.col("name"), F.col("source")))
-    return judged.select("p_partkey", "role", roles.parent_of(F.col("name"), F.col("role")).alias("parent"))
+    """Names of every kind, from a source of outlines, of projects or of points, with a category or without."""
+    source = F.when(F.col("p_size") % 3 == 0, "osm").when(F.col("p_size") % 3 == 1, "projects").otherwise("places")
+    named = t.part.select("p_partkey", F.expr(_NAMED).alias("name"), source.alias("source"), F.expr(_CATEGORY).alias("category"))
+    role = roles.role_of(F.col("name"), F.col("source"), F.col("category"))
+    return named.select("p_partkey", role.alias("role"), roles.eligible(role).alias("eligible"))
+
+
+@query("I31", """WITH names AS (SELECT p_partkey, p_size % 3 AS k, p_name FROM part), known AS (SELECT DISTINCT p_name AS n FROM part WHERE p_size % 2 = 0),
+    said AS (SELECT p_partkey, CASE k WHEN 0 THEN 'Olive Diner at ' || p_name WHEN 1 THEN p_name ELSE upper(p_name) || ' - Car Park' END AS s FROM names),
+    w AS (SELECT p_partkey, s, list_filter(string_split(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '') AS w FROM said),
+    runs AS (SELECT p_partkey, len(w) AS all_, i, unnest(range(1, len(w) - i + 2)) AS k, w FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM w)),
+    held AS (SELECT p_partkey, n, k FROM runs JOIN known ON array_to_string(w[i : i + k - 1], ' ') = lower(n) WHERE k < all_)
+    SELECT p.p_partkey, h.n AS parent FROM part p LEFT JOIN (SELECT * FROM held QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY k DESC, length(n) DESC, n) = 1) h ON h.p_partkey = p.p_partkey""")
+def parent_names(t: Tables):
+    """The registered name (of parts of even size) that stands inside a venue's or a facility's name."""
+    k = F.col("p_size") % 3
+    said = F.when(k == 0, F.concat(F.lit("Olive Diner at "), "p_name")).when(k == 1, F.col("p_name")).otherwise(F.concat(F.upper("p_name"), F.lit(" - Car Park")))
+    return roles.parents(t.part.select(F.col("p_partkey").alias("a"), said.alias("name")), t.part.where("p_size % 2 = 0").select(F.col("p_name").alias("name"))).toDF("p_partkey", "parent")
