@@ -51,7 +51,7 @@ def evidence(name: Column, source: Column, category: Column) -> list[tuple[str,
     """(role, points, whether they are due)."""
     w = _words(name)
     n, kind = F.size(w), F.lower(F.coalesce(category, F.lit("")))
-    last, first = F.element_at(w, -1), F.element_at(w, 1)
+    last, first = F.try_element_at(w, F.lit(-1)), F.try_element_at(w, F.lit(1))
     numbers = F.size(F.filter(w, lambda x: x.rlike("^[0-9]+$")))
     coded = last.rlike("^[a-z]{0,2}[0-9]{1,4}[a-z]?$")
     lettered = F.size(F.filter(w, lambda x: x.rlike(r"^\p{L}{2,}")))
@@ -65,7 +65,7 @@ def evidence(name: Column, source: Column, category: Column) -> list[tuple[str,
         ("PERSON", 11, name.rlike(r"\s[-–]\s") & (_count(w, _CALLINGS) > 0)),
         ("PLOT_ID", 10, first.isin("plot", "parcel", "land") & (numbers > 0) & (lettered == 1)),
         ("ADDRESS", 9.5, (numbers > 0) & (_count(w, _STREET) > 0)),
-        ("ADDRESS", 9.5, first.isin("house", "no", "unit", "villa") & (n > 1) & F.element_at(w, F.when(n > 1, 2).otherwise(1)).rlike("[0-9]")),
+        ("ADDRESS", 9.5, first.isin("house", "no", "unit", "villa") & (n > 1) & F.try_element_at(w, F.lit(2)).rlike("[0-9]")),
         ("STRUCTURAL_ID", 9, coded & ((n == 1) | ((n == 2) & first.isin(*_LABELS)) | ((n == 2) & first.rlike("^[a-z]{1,2}$")))),
         ("BUILDING_NAME", 6, source.isin(*OUTLINES)),
         ("PROJECT_NAME", 6.5, source == "projects"),

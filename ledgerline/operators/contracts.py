@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..streaming import holds
+
 #: MiB at which downloads are capped
 CAPS = (64, 128, 256, 512, 1024, 2048, 4096)
 
@@ -30,22 +32,8 @@ def feed_status(feeds: DataFrame, shrink: float = 0.8, fresh_days: int = 14) ->
 
 def collapse_holds(readings: DataFrame, group: str, at: str, n: str, floor: int = 10, shrink: float = 0.5, agree: float = 0.25) -> DataFrame:
     """readings with `accepted` (the count accepted before) and `held`: below `shrink` of an accepted count of at least `floor`,
-    unless a later reading is within `agree` of it.  The readings of one unit are a short list; the state runs over it."""
-    packed = readings.groupBy(group).agg(F.array_sort(F.collect_list(F.struct(F.col(at).alias("at"), F.col(n).cast("bigint").alias("n")))).alias("items"))
-    row_type = packed.schema["items"].dataType.elementType
-    kind = f"array<struct<at:{row_type['at'].dataType.simpleString()},n:bigint,accepted:bigint,held:boolean>>"
-    start = F.struct(F.lit(None).cast("bigint").alias("accepted"), F.array().cast(kind).alias("out"))
-
-    def step(acc, i):
-        x = F.element_at("items", i)
-        low = F.coalesce((acc["accepted"] >= floor) & (x["n"] < shrink * acc["accepted"]), F.lit(False))
-        later = F.exists(F.slice("items", i + 1, F.size("items")), lambda y: F.abs(y["n"] - x["n"]) <= agree * F.greatest(x["n"], F.lit(1)))
-        held = low & ~later
-        row = F.struct(x["at"].alias("at"), x["n"].alias("n"), acc["accepted"].alias("accepted"), held.alias("held"))
-        return F.struct(F.when(held, acc["accepted"]).otherwise(x["n"]).alias("accepted"), F.concat(acc["out"], F.array(row)).alias("out"))
-
-    judged = packed.select(group, F.aggregate(F.sequence(F.lit(1), F.size("items")), start, step, lambda acc: acc["out"]).alias("out"))
-    return judged.select(group, F.explode("out").alias("x")).select(group, F.col("x.at").alias(at), F.col("x.n").alias(n), "x.accepted", "x.held")
+    unless a later reading is within `agree` of it.  Readings of one time are taken by their count."""
+    return holds.judged(readings, group, at, n, floor=floor, shrink=shrink, agree=agree)
 
 
 def manifest_status(files: DataFrame) -> DataFrame:

@@ -189,3 +189,19 @@ def test_phrases(spark):
     texts = spark.createDataFrame([(1, "The School fee?"), (2, "a balcony"), (3, None), (4, ""), (5, "preschool")], "id int, text string")
     got = {r["id"]: (r["question"], r["score"], r["hits"]) for r in linkage.phrase_scores(texts, bank, 0.55).collect()}
     assert got == {1: ("a", 0.88, 2), 2: ("b", 0.53, 1)}
+
+
+def test_roles(spark):
+    from ledgerline.functions import roles
+
+    said = [
+        (None, "osm", None, "UNKNOWN"), ("", "places", None, "UNKNOWN"), ("Tower 4", "osm", None, "STRUCTURAL_ID"), ("K7", "places", None, "STRUCTURAL_ID"), ("Heron Court", "places", None, "BUILDING_NAME"), ("Heron", "osm", None, "BUILDING_NAME"), ("Heron", "places", None, "FRAGMENT"),
+        ("Heron", "places", "housing_complex", "BUILDING_NAME"), ("Heron East", "places", "metro_station", "INFRASTRUCTURE"), ("Heron East", "places", "parking_garage", "AMENITY"), ("Heron East", "places", None, "UNKNOWN"), ("Dr. A. Heron", "osm", None, "PERSON"), ("Ada Heron - life coach", "places", None, "PERSON"),
+        ("Luxury 3BR, fully furnished", "osm", None, "ADVERTISEMENT"), ("The Group LLC", "osm", None, "FRAGMENT"), ("Unit 12, Heron", "places", None, "ADDRESS"), ("Land 88", "register", None, "PLOT_ID"), ("Heron Bakery", "places", None, "TENANT"), ("Grill at Heron Court", "places", None, "VENUE"), ("...", "osm", None, "BUILDING_NAME"),
+    ]
+    df = spark.createDataFrame([(i, *r[:3]) for i, r in enumerate(said)], "i int, n string, s string, c string")
+    got = {r["i"]: r["role"] for r in df.select("i", roles.role_of(F.col("n"), F.col("s"), F.col("c")).alias("role")).collect()}
+    assert [got[i] for i in range(len(said))] == [r[3] for r in said]
+    register = spark.createDataFrame([("Heron Court",), ("heron court",), ("Court",), ("A b c d e f g h i j",), (None,)], "name string")
+    names = spark.createDataFrame([(1, "Bakery in HERON  court!"), (2, "Heron Court"), (3, None), (4, "The a B c d e f g h i j shop"), (5, "a b c d e f g h i"), (6, "Courtyard of nothing")], "a int, name string")
+    assert {r["a"]: r["parent"] for r in roles.parents(names, register).collect()} == {1: "Heron Court", 2: "Court", 3: None, 4: "A b c d e f g h i j", 5: None, 6: None}
