@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import keys
+from . import anchors
 from .rows import first_rows
 
 
@@ -145,18 +145,8 @@ def resolved(evidence: DataFrame, authority: list[str], survey: list[str], order
 
 def anchored_clusters(rows: DataFrame, bucket: str, order: str, item: str, size: str, price: str) -> DataFrame:
     """item, anchor: in order, each row joins the first anchor of its bucket whose size is within max(3 %, 25) and price within
-    max(2 %, 2000), or becomes an anchor.  Buckets are bounded (one building and room count)."""
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        anchors, out = [], []
-        for r in frame.sort_values([order, item]).itertuples():
-            s, p = getattr(r, size), getattr(r, price)
-            at = next((a for a, x, y in anchors if abs(s - x) <= max(0.03 * x, 25) and abs(p - y) <= max(0.02 * y, 2000)), None)
-            if at is None:
-                at = getattr(r, item)
-                if not (pd.isna(s) or pd.isna(p)):
-                    anchors.append((at, s, p))
-            out.append((getattr(r, item), at))
-        return pd.DataFrame(out, columns=["item", "anchor"])
-
-    return rows.select(bucket, order, item, size, price).groupBy(bucket).applyInPandas(run, "item long, anchor long")
+    max(2 %, 2000) of the anchor's, or becomes an anchor."""
+    from ..sources.lake import stored
+
+    named = rows.select(F.col(item).alias("item"), F.col(bucket).alias("bucket"), F.col(order).alias("at"), F.col(size).alias("size"), F.col(price).alias("price"), *[F.lit(None).cast(k).alias(c) for c, k in (("furnished", "string"), ("lat", "double"), ("lon", "double"))])
+    return anchors.clusters(named, stored, larger=False)

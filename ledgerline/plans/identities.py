@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import fellegi
+from ..operators import anchors, fellegi, groups
 from ..sources import lake
 from ..streaming import holds, windows
 from .registry import Tables, query
@@ -125,3 +125,71 @@ def stream_holds(t: Tables):
     finally:
         t.spark.conf.unset(kept) if was is None else t.spark.conf.set(kept, was)
     return holds.latest(told).where("unit <> ''").select("unit", F.to_date("at").cast("string").alias("day"), "n", "accepted", "held")
+
+
+# ---- groups by evidence
+
+_GROUPS = """s AS (SELECT s_suppkey AS dev, s_nationkey AS nk, n_name FROM supplier JOIN nation ON n_nationkey = s_nationkey), c AS (SELECT count(*) AS k FROM supplier),
+    developers AS (SELECT s.dev, CASE s.dev % 6 WHEN 0 THEN s.n_name || ' Estates' WHEN 1 THEN 'The ' || s.n_name || ' Fund' WHEN 2 THEN 'First ' || s.n_name || ' and ' || o.n_name ELSE 'Firm ' || s.dev END AS name FROM s JOIN nation o ON o.n_nationkey = (s.nk + 1) % 25),
+    projects AS (SELECT p_partkey AS cid, dev, CASE WHEN p_partkey < k AND dev % 6 = 3 THEN 'Gardens of ' || n_name || ' ' || dev WHEN p_partkey % 7 = 0 THEN 'Twin ' || p_partkey % 30 ELSE 'Plot ' || p_partkey END AS name FROM part, c, s WHERE s.dev = p_partkey % k AND (s.dev % 6 <> 3 OR p_partkey < k)),
+    seeds AS (SELECT DISTINCT n_name AS grp, p.name FROM projects p JOIN s ON s.dev = p.dev WHERE p.cid % 3 = 0 OR s.dev % 6 = 4 OR (s.dev % 6 = 3 AND s.dev % 4 < 3)
+        UNION SELECT o.n_name, p.name FROM projects p JOIN s ON s.dev = p.dev JOIN nation o ON o.n_nationkey = (s.nk + 1) % 25 WHERE s.dev % 6 = 2 AND p.cid % 5 = 0),
+    hand AS (SELECT n_name AS grp, dev, CASE WHEN dev % 2 = 1 THEN 'accepted' ELSE 'rejected' END AS verdict FROM s WHERE dev % 23 = 7)"""
+_PADDED = "' ' || trim(regexp_replace(lower({0}), '[^a-z0-9]+', ' ', 'g')) || ' '"
+_GROUPED = f"""{_GROUPS}, aliases AS (SELECT n_name AS grp, {_PADDED.format('n_name')} AS al FROM nation),
+    named AS (SELECT grp, dev, bool_or(length(trim(al)) > length(replace(trim(al), ' ', '')) OR starts_with({_PADDED.format('name')}, al)) AS lead FROM developers, aliases WHERE contains({_PADDED.format('name')}, al) GROUP BY 1, 2),
+    several AS (SELECT {_PADDED.format('name')} AS k, count(DISTINCT cid) AS n FROM projects GROUP BY 1),
+    hits AS (SELECT z.grp, p.dev, p.cid, contains({_PADDED.format('z.name')}, a.al) AS brand FROM seeds z JOIN aliases a ON a.grp = z.grp JOIN several v ON v.k = {_PADDED.format('z.name')} JOIN projects p ON {_PADDED.format('p.name')} = v.k WHERE v.n = 1 OR contains({_PADDED.format('z.name')}, a.al)),
+    folio AS (SELECT grp, dev, count(DISTINCT cid) AS b, count(DISTINCT cid) FILTER (brand) AS bb FROM hits GROUP BY 1, 2), owned AS (SELECT dev, count(DISTINCT cid) AS n FROM projects GROUP BY 1),
+    tied AS (SELECT coalesce(n.grp, f.grp, h.grp) AS grp, coalesce(n.dev, f.dev, h.dev) AS dev, n.lead, coalesce(f.b, 0) AS b, coalesce(f.bb, 0) AS bb, h.verdict FROM named n FULL JOIN folio f ON f.grp = n.grp AND f.dev = n.dev FULL JOIN hand h ON h.grp = coalesce(n.grp, f.grp) AND h.dev = coalesce(n.dev, f.dev)),
+    ruled AS (SELECT t.grp, t.dev, coalesce(b / n, 0) AS share, verdict, CASE WHEN lead AND b > 0 THEN 1 WHEN lead THEN 2 WHEN lead IS NOT NULL AND b > 0 THEN 3 WHEN b >= 2 AND coalesce(b / n, 0) >= 0.5 THEN 4 WHEN bb > 0 AND coalesce(b / n, 0) >= 0.5 THEN 5 WHEN lead IS NOT NULL THEN 6 WHEN b > 0 THEN 7 ELSE 8 END AS r FROM tied t LEFT JOIN owned o ON o.dev = t.dev),
+    final AS (SELECT *, count(*) FILTER (verdict IS NULL AND r <= 5) OVER (PARTITION BY dev) AS claims FROM ruled)"""
+
+
+@query("K18,K64", f"""WITH {_GROUPED} SELECT grp, dev, CASE WHEN verdict IS NOT NULL THEN 'hand' ELSE ['register name and portfolio', 'register name', 'brand inside the name and portfolio', 'portfolio', 'portfolio project with the brand', 'brand inside another name', 'portfolio, too few', 'hand only'][r] END
+        || CASE WHEN verdict IS NULL AND r <= 5 AND claims > 1 THEN ', claimed by ' || claims || ' groups' ELSE '' END AS method, CASE WHEN verdict IS NOT NULL THEN 1.0 ELSE CASE r WHEN 1 THEN 1.0 WHEN 2 THEN 0.95 WHEN 3 THEN 0.9 WHEN 6 THEN 0.5 WHEN 8 THEN 0.0 ELSE round(share, 3) END END::DOUBLE AS score,
+        CASE WHEN verdict IS NOT NULL THEN verdict WHEN r > 5 OR claims > 1 THEN 'review' ELSE 'accepted' END AS status, CASE WHEN verdict IS NOT NULL THEN 'hand' ELSE 'rule' END AS decided_by FROM final""")
+def developer_groups(t: Tables):
+    """Suppliers as developers of parts, tied to nations by name, portfolio and hand."""
+    return groups.grouped(*_group_tables(t))
+
+
+def _group_tables(t: Tables) -> tuple[DataFrame, ...]:
+    read = lambda what: t.spark.sql(f"WITH {_GROUPS} {what}".replace("FROM supplier", "FROM {supplier}").replace("JOIN nation ", "JOIN {nation} ").replace("FROM part,", "FROM {part},"), supplier=t.supplier, nation=t.nation, part=t.part)
+    aliases = t.nation.select(F.col("n_name").alias("grp"), F.col("n_name").alias("alias"))
+    return read("SELECT * FROM developers"), aliases, read("SELECT * FROM seeds"), read("SELECT * FROM projects"), read("SELECT * FROM hand")
+
+
+@query("K67", f"""WITH {_GROUPED}, members AS (SELECT dev, min(grp) AS grp FROM final WHERE verdict = 'accepted' OR (verdict IS NULL AND r <= 5 AND claims = 1) GROUP BY dev HAVING count(*) = 1),
+    sales AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 5 = 1 THEN o_custkey END AS cid, CASE o_orderkey % 5 WHEN 2 THEN 'PLOT ' || o_custkey WHEN 3 THEN n_name || ' Tower' WHEN 4 THEN 'Gardens of ' || n_name || ' ' || s.dev || ' phase 2' ELSE 'Twin ' || o_custkey % 30 END AS name
+        FROM orders JOIN c ON true JOIN s ON s.dev = o_custkey % c.k),
+    k AS (SELECT s.id, m.grp, 'key' AS route FROM sales s JOIN projects p ON p.cid = s.cid JOIN members m ON m.dev = p.dev),
+    names AS (SELECT {_PADDED.format('name')} AS k, count(DISTINCT dev) AS n, min(dev) AS dev FROM projects GROUP BY 1),
+    n AS (SELECT s.id, m.grp, 'name' AS route FROM sales s JOIN names ON names.k = {_PADDED.format('s.name')} AND n = 1 JOIN members m ON m.dev = names.dev WHERE s.id NOT IN (SELECT id FROM k)),
+    rest AS (SELECT id, {_PADDED.format('name')} AS w FROM sales WHERE id NOT IN (SELECT id FROM k) AND {_PADDED.format('name')} NOT IN (SELECT k FROM names)),
+    f AS (SELECT DISTINCT w, z.grp FROM (SELECT DISTINCT w FROM rest) r JOIN seeds z ON starts_with(w, {_PADDED.format('z.name')}) WHERE NOT EXISTS (SELECT 1 FROM aliases a WHERE a.grp <> z.grp AND contains(w, a.al))),
+    p AS (SELECT w, min(grp) AS grp FROM f GROUP BY w HAVING count(*) = 1)
+    SELECT s.id, coalesce(k.grp, n.grp, p.grp) AS grp, CASE WHEN k.id IS NOT NULL THEN 'key' WHEN n.id IS NOT NULL THEN 'name' WHEN p.w IS NOT NULL THEN 'portfolio' END AS route FROM sales s LEFT JOIN k ON k.id = s.id LEFT JOIN n ON n.id = s.id LEFT JOIN rest r ON r.id = s.id LEFT JOIN p ON p.w = r.w""")
+def attributed_sales(t: Tables):
+    """Orders as sales, given to nations by key, by name and by portfolio."""
+    developers, aliases, seeds, projects, hand = _group_tables(t)
+    members = groups.grouped(developers, aliases, seeds, projects, hand).where("status = 'accepted'").select("grp", "dev")
+    kind, part, dev = F.col("o_orderkey") % 5, F.col("o_custkey"), F.col("s_suppkey")
+    name = (
+        F.when(kind == 2, F.concat(F.lit("PLOT "), part.cast("string"))).when(kind == 3, F.concat("n_name", F.lit(" Tower")))
+        .when(kind == 4, F.concat(F.lit("Gardens of "), "n_name", F.lit(" "), dev.cast("string"), F.lit(" phase 2"))).otherwise(F.concat(F.lit("Twin "), (part % 30).cast("string")))
+    )
+    made = t.orders.join(t.supplier, part % t.supplier.count() == dev).join(t.nation, F.col("n_nationkey") == F.col("s_nationkey"))
+    sales = made.select(F.col("o_orderkey").alias("id"), F.when(kind == 1, part).alias("cid"), name.alias("name"))
+    return groups.attributed(sales, members, projects, seeds, aliases)
+
+
+@query("K30", None)
+def anchored_adverts(t: Tables):
+    """Lines as adverts without a building: buckets of a brand number, places of suppliers; tests replay the rule."""
+    k = F.col("l_suppkey")
+    adverts = t.lineitem.select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("item"), (F.col("l_partkey") % 25).alias("bucket"), F.col("l_shipdate").alias("at"), (F.col("l_quantity") * 30).alias("size"), F.col("l_extendedprice").alias("price"),
+        F.when(F.col("l_returnflag") == "A", "yes").when(F.col("l_returnflag") == "R", "no").alias("furnished"), (25 + (k * 91 % 1000) / 2000.0).alias("lat"), (55 + (k * 37 % 1000) / 1000.0).alias("lon"),
+    )
+    return anchors.clusters(adverts, lake.stored, geo=True)

@@ -29,6 +29,13 @@ def shared_dir(spark: SparkSession) -> str:
     return found or tempfile.mkdtemp(prefix="spark-ledgerline-")
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """df, written once in the shared folder and read again."""
+    path = f"{shared_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 class Held(RuntimeError):
     """A publish was refused; the former snapshot stands."""
 
