@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -26,7 +27,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 def small_batches(spark: SparkSession, size: str = "8m") -> None:
     """From now on the session sends rows to Python in batches of at most so many bytes: a task holds a few copies of a batch in
-    the JVM and in its worker, and rows with long texts are large."""
+    the JVM and in its worker, and rows with long texts are large.  It is not set back here, as what a caller returns is read
+    later under the same setting."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
@@ -34,23 +36,27 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/ledgerline/{name}-{uuid.uuid4().hex}"
 
 
-#: Paths written under an owner's name, and the present owner.
+#: Paths written under an owner's name (all threads), and the present owner of a thread.
 _MADE: dict[str, list[str]] = {}
-_OWNER: list[str] = []
+_LOCK = threading.Lock()
+_OWNER = threading.local()
 
 
 @contextmanager
 def owned(name: str) -> Iterator[None]:
-    """Tables written inside can be deleted together, once nothing reads them, by drop(name)."""
-    _OWNER.append(name)
+    """Tables that this thread writes inside can be deleted together, once nothing reads them, by drop(name)."""
+    before = getattr(_OWNER, "name", None)
+    _OWNER.name = name
     try:
         yield
     finally:
-        _OWNER.pop()
+        _OWNER.name = before
 
 
 def drop(spark: SparkSession, name: str) -> None:
-    for path in _MADE.pop(name, ()):
+    with _LOCK:
+        paths = _MADE.pop(name, ())
+    for path in paths:
         there = spark._jvm.org.apache.hadoop.fs.Path(path)
         there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
 
@@ -59,7 +65,8 @@ def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """df, stored once as Parquet in the shared folder (or at `path`) and read again."""
     if path is None:
         path = new_path(df.sparkSession, name)
-        if _OWNER:
-            _MADE.setdefault(_OWNER[-1], []).append(path)
+        if (owner := getattr(_OWNER, "name", None)) is not None:
+            with _LOCK:
+                _MADE.setdefault(owner, []).append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -48,3 +48,6 @@ def test_run(spark, sf):
     pieces = corpus_pipeline.run(spark, sf)
     ends = pieces.groupBy("sequence_id").agg({"length": "sum"}).collect()
     assert len(ends) > 1 and sum(r[1] == 2048 for r in ends) >= len(ends) - 1
+    again = corpus_pipeline.run(spark, sf)
+    both = [sorted(map(str, df.drop("ids").collect())) for df in (pieces, again)]  # the first run's tables are still there
+    assert both[0] == both[1]
