@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.geo import METRES_LAT, METRES_LON, cell, flat_metres
 
 
-def within(left: DataFrame, right: DataFrame, metres: float) -> DataFrame:
-    """Pairs of left(a, lon, lat) and right(b, lon, lat) at most so many metres apart: a, b, metres.
+def within(left: DataFrame, right: DataFrame, metres: float, strict: bool = False) -> DataFrame:
+    """Pairs of left(a, lon, lat) and right(b, lon, lat) at most (strict: less than) so many metres apart: a, b, metres.
 
     Cells are as high as the radius; each left point looks into the cells that its circle touches, of which there are more the
     farther it is from the equator.  No circle reaches over a pole or the date line."""
@@ -20,7 +20,7 @@ def within(left: DataFrame, right: DataFrame, metres: float) -> DataFrame:
     l = l.select("a", "lon1", "lat1", "cx", spread(F.col("lat1"), F.lit(size * 1.0001), "cy"))
     r = right.select("b", "lon", "lat", cell(F.col("lon"), size).alias("cx"), cell(F.col("lat"), size).alias("cy"))
     apart = flat_metres(F.col("lon1"), F.col("lat1"), F.col("lon"), F.col("lat"))
-    return l.join(r, ["cx", "cy"]).withColumn("metres", apart).where(F.col("metres") <= metres).select("a", "b", "metres")
+    return l.join(r, ["cx", "cy"]).withColumn("metres", apart).where(F.col("metres") < metres if strict else F.col("metres") <= metres).select("a", "b", "metres")
 
 
 def nearest(left: DataFrame, right: DataFrame, metres: float) -> DataFrame:
@@ -87,3 +87,69 @@ def density(points: DataFrame, size: float) -> DataFrame:
     kernel = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.lit(1.0 / (1 << abs(x) + abs(y))).alias("w")) for x in (-1, 0, 1) for y in (-1, 0, 1)])
     spread = own.select("x", "y", "n", F.explode(kernel).alias("k"))
     return spread.groupBy((F.col("x") + F.col("k.x")).alias("cx"), (F.col("y") + F.col("k.y")).alias("cy")).agg(F.sum(F.col("n") * F.col("k.w")).alias("density"))
+
+
+def authority_kept(points: DataFrame, metres: float) -> DataFrame:
+    """The rows of points(p, rank, lon, lat) that no kept point of a smaller rank lies within so many metres of.
+
+    Ranks are few and are settled in order.  A point in one square with a kept point is certainly near it; squares are joined
+    without their points, so a crowded place costs one row a square.  Only points of other squares are compared, with one row
+    for each place in the squares around them."""
+    side = metres / 1.5  # the diagonal of a square is below the radius
+
+    def squares(df: DataFrame) -> DataFrame:
+        # a degree is widest at the equator, so a square is never wider than its side
+        return df.withColumn("sx", cell(F.col("lon") * METRES_LON, side)).withColumn("sy", cell(F.col("lat") * METRES_LAT, side))
+
+    ranks = sorted(r[0] for r in points.select("rank").where("rank IS NOT NULL").distinct().collect())  # a few numbers
+    kept = None
+    for rank in ranks:
+        own = points.where(F.col("rank") == rank)
+        if kept is not None:
+            there = squares(kept)
+            lonely = squares(own).join(there.select("sx", "sy").distinct(), ["sx", "sy"], "left_anti")
+            places = there.select("lon", "lat").distinct().select(F.struct("lon", "lat").alias("b"), "lon", "lat")
+            near = within(lonely.select(F.struct("lon", "lat").alias("a"), "lon", "lat").distinct(), places, metres, strict=True).select("a").distinct()
+            own = lonely.join(near, (F.col("lon") == F.col("a.lon")) & (F.col("lat") == F.col("a.lat")), "left_anti").select(*points.columns)
+        kept = own if kept is None else kept.unionByName(own)
+    return points.limit(0) if kept is None else kept
+
+
+def largest_within(points: DataFrame, sites: DataFrame, values: list[str], metres: float) -> DataFrame:
+    """points(p, lon, lat, ...) with the largest of each value of sites(lon, lat, values) within so many metres, null if none.
+    Sites of one place are one, and points of one place are looked up once."""
+    best = lambda df, *by: df.groupBy(*by).agg(*[F.max(v).alias(v) for v in values])
+    one = best(sites.where("lon IS NOT NULL AND lat IS NOT NULL"), "lon", "lat").select(F.struct("lon", "lat", *values).alias("b"), "lon", "lat")
+    asked = points.select(F.struct("lon", "lat").alias("a"), "lon", "lat").where("lon IS NOT NULL AND lat IS NOT NULL").distinct()
+    found = best(within(asked, one, metres, strict=True).select("a", *[F.col(f"b.{v}").alias(v) for v in values]), "a")
+    return points.join(found, (F.col("lon") == F.col("a.lon")) & (F.col("lat") == F.col("a.lat")), "left").drop("a")
+
+
+def edge_distance(points: DataFrame, vertices: DataFrame, metres: float) -> DataFrame:
+    """p, poly, metres: 0 inside a ring of vertices(poly, v, lon, lat), else the distance to its nearest edge, within the radius.
+
+    An edge is cut into pieces no longer than the radius; a piece is put into the cells that lie within the radius of its box,
+    and points meet the pieces of their own cell.  So a long edge costs its length and not the square of its box."""
+    size = metres / METRES_LAT
+    e = edges(vertices).withColumn("shrink", F.cos(F.radians((F.col("y1") + F.col("y2")) / 2)))
+    dx, dy = (F.col("x2") - F.col("x1")) * METRES_LON * F.col("shrink"), (F.col("y2") - F.col("y1")) * METRES_LAT
+    n = F.greatest(F.lit(1), F.ceil(F.sqrt(dx * dx + dy * dy) / metres)).cast("int")
+    pieces = e.withColumn("n", n).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    at = lambda a, b, i: F.col(a) + (F.col(b) - F.col(a)) * i / F.col("n")
+    pieces = pieces.select("poly", at("x1", "x2", F.col("i")).alias("x1"), at("y1", "y2", F.col("i")).alias("y1"), at("x1", "x2", F.col("i") + 1).alias("x2"), at("y1", "y2", F.col("i") + 1).alias("y2"))
+    north = F.least(F.lit(89.0), F.greatest(F.abs("y1"), F.abs("y2")) + size)
+    reach = F.lit(metres / METRES_LON) / F.cos(F.radians(north)) * 1.0001
+    span = lambda a, b, r: F.explode(F.sequence(cell(F.least(a, b) - r, size), cell(F.greatest(a, b) + r, size)))
+    cells = pieces.select("*", span("x1", "x2", reach).alias("cx")).select("*", span("y1", "y2", F.lit(size * 1.0001)).alias("cy"))
+    there = points.select("p", "lon", "lat", cell(F.col("lon"), size).alias("cx"), cell(F.col("lat"), size).alias("cy"))
+    near = there.join(cells, ["cx", "cy"])
+    # flat coordinates about the point
+    k = F.cos(F.radians("lat")) * METRES_LON
+    ax, ay, bx, by = (F.col("x1") - F.col("lon")) * k, (F.col("y1") - F.col("lat")) * METRES_LAT, (F.col("x2") - F.col("lon")) * k, (F.col("y2") - F.col("lat")) * METRES_LAT
+    near = near.select("p", "poly", ax.alias("ax"), ay.alias("ay"), (bx - ax).alias("ux"), (by - ay).alias("uy"))
+    square = F.col("ux") * F.col("ux") + F.col("uy") * F.col("uy")
+    along = F.when(square > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), -(F.col("ax") * F.col("ux") + F.col("ay") * F.col("uy")) / square))).otherwise(0.0)
+    x, y = F.col("ax") + F.col("t") * F.col("ux"), F.col("ay") + F.col("t") * F.col("uy")
+    far = near.withColumn("t", along).withColumn("metres", F.sqrt(x * x + y * y)).where(F.col("metres") <= metres).groupBy("p", "poly").agg(F.min("metres").alias("metres"))
+    inside = in_polygon(points, vertices).withColumn("metres", F.lit(0.0))
+    return inside.unionByName(far.join(inside.select("p", "poly"), ["p", "poly"], "left_anti"))
