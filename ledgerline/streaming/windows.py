@@ -35,3 +35,8 @@ def drained(df: DataFrame, folder: str, mode: str) -> DataFrame:
     query = df.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).foreachBatch(put).start()
     query.awaitTermination()
     return df.sparkSession.read.parquet(f"{folder}/out").drop(*([] if mode == "complete" else ["batch"]))
+
+
+def sliding(events: DataFrame, width: str = "7 days", step: str = "1 day", late: str = "1 day") -> DataFrame:
+    timed = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late)
+    return timed.groupBy(F.window("ts", width, step), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("v"))
