@@ -19,8 +19,8 @@ Pages with the same main text (the largest blocks that hold NEARLY_ALL of the wo
 headings, list items) are never judged, so a sentence that many articles share stays.  The counting is over
 (host, path, value) with partial sums, so a host with a third of all pages is no hot key.
 
-Defined results: null or empty html gives the empty text; elements nested deeper than DEPTH are, as in browsers, laid beside
-each other, so that time follows the length of a page; unclosed elements, comments and scripts reach to the end of the
+Defined results: null or empty html gives the empty text; elements nested deeper than DEPTH hide and close as others do, but are
+judged by their tag, role and names alone, so that time follows the length of a page; unclosed elements, comments and scripts reach to the end of the
 page; br and other inline elements are white space at most; rows with the same page_id are separate pages.
 """
 
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from .store import written
 
 MIN_PAGES = 8
-#: Open elements beyond which further ones only end blocks.
+#: Open elements beyond which further ones are no nodes of the style tree: they hide, are boilerplate or main as any others.
 DEPTH = 128
 #: Weight of the content in a node's importance, and the importance below which a branch goes.
 CONTENT, LOW = 0.9, 0.2
@@ -63,6 +63,8 @@ NAMES = {
     "pagination", "popup", "promo", "promotion", "recommended", "related", "respond", "search", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget",
 }
 
+PARTS = {"area", "bar", "block", "body", "bottom", "box", "column", "container", "content", "inner", "item", "items", "left", "links", "list", "outer", "panel", "right", "row", "section", "top", "wrap", "wrapper"}
+
 _TOKEN = re.compile(r"<!--|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>")
 _UNFINISHED = re.compile(r"</?[a-zA-Z]")
 _ATTRIBUTE = re.compile(r"([^\s=/\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -85,14 +87,16 @@ def host_of(url: str | None) -> str:
 class _Node:
     __slots__ = ("tag", "path", "key", "above", "gone", "named", "article", "main", "judged", "content", "words", "main_words", "holds_main", "kids", "text")
 
-    def __init__(self, tag: str, above: "_Node | None", name: str, gone: bool, named: bool):
+    def __init__(self, tag: str, above: "_Node | None", name: str | None, gone: bool, named: bool):
+        """Without a name, an element beyond DEPTH: it has no path, and its name alone says whether it is boilerplate."""
         self.tag, self.above, self.kids, self.text = tag, above, [], []
-        self.path = f"{above.path}/{name}" if above else name
+        gone = gone or (name is None and named)
+        self.path = "" if name is None else f"{above.path}/{name}" if above else name
         self.gone = gone or (above is not None and above.gone)
         self.named = named
         self.article = tag == "article" or (above is not None and above.article)
         self.main = tag == "main" or (above is not None and above.main)
-        self.judged = above is not None and tag not in INLINE and tag not in TEXT_LEVEL and tag not in ("html", "body", "article", "main")
+        self.judged = above is not None and name is not None and tag not in INLINE and tag not in TEXT_LEVEL and tag not in ("html", "body", "article", "main")
         self.key = _hash(self.path) if self.judged else 0
         self.words = self.main_words = self.content = 0
         self.holds_main = False
@@ -111,7 +115,16 @@ def _is_named(tag: str, at: dict[str, str], above: _Node) -> bool:
         return False
     if tag in NEVER_MAIN or (tag == "header" and not above.article) or at.get("role") in ROLES:
         return True
-    return bool(at) and not NAMES.isdisjoint(_PART.findall(f"{at.get('class', '')} {at.get('id', '')}"))
+    return bool(at) and any(map(_speaks, f"{at.get('class', '')} {at.get('id', '')}".split()))
+
+
+def _speaks(name: str) -> bool:
+    """Does a class or id name boilerplate: as a whole, by its last word (site-footer), or by its first before a word for a part
+    (nav-list)?  What it has, lacks or is about (has-sidebar, ad-free, related-research) says nothing."""
+    words = _PART.findall(name)
+    if not words or words[0] in ("has", "no", "with", "without"):
+        return False
+    return words[-1] in NAMES or (words[0] in NAMES and words[-1] in PARTS)
 
 
 def _words(text: str) -> int:
@@ -123,29 +136,38 @@ def parse(page: str) -> tuple[list[dict], list[dict]]:
     heading; nodes: path, style, content, whether with a prior)."""
     root = _Node("", None, "", False, False)
     stack, blocks, nodes, line = [root], [], [], []
-    deep: dict[str, int] = {}  # open elements by tag that are not on the stack
+    open_: dict[str, int] = {}  # open elements by tag, so that what closes nothing is not looked for
+
+    def push(node: _Node) -> None:
+        stack.append(node)
+        open_[node.tag] = open_.get(node.tag, 0) + 1
+
+    def pop() -> _Node:
+        node = stack.pop()
+        open_[node.tag] -= 1
+        return node
 
     def end_block() -> None:
         text = " ".join(html.unescape("".join(line)).split())
         line.clear()
         if text:
-            top = stack[-1]
-            for node in stack:
+            top, tree = stack[-1], stack[: DEPTH + 1]
+            for node in tree:
                 if node.path and node.tag not in INLINE:
                     node.text.append(text)
             if not top.gone:
                 words = _words(text)
-                for node in stack:
+                for node in tree:
                     node.words += words
                     node.main_words += words if top.article or top.main else 0
-                blocks.append((text, words, [n for n in stack if n.judged], top.article, top.main, any(n.tag == "h1" for n in stack)))
+                blocks.append((text, words, [n for n in tree if n.judged], top.article, top.main, open_.get("h1", 0) > 0))
 
     def close(depth: int) -> None:
         while len(stack) > depth:
             if stack[-1].tag not in INLINE:
                 end_block()
-            node = stack.pop()
-            if node.tag not in INLINE and node.tag not in TEXT_LEVEL:
+            node = pop()
+            if node.path and node.tag not in INLINE and node.tag not in TEXT_LEVEL:
                 node.content = _hash("\n".join((node.path, *node.text)))
                 nodes.append((node, _hash(" ".join(node.kids))))
 
@@ -164,12 +186,7 @@ def parse(page: str) -> tuple[list[dict], list[dict]]:
             continue
         tag = m[2].lower()
         if m[1]:
-            if deep.get(tag):
-                deep[tag] -= 1
-                if tag not in INLINE:
-                    end_block()
-                continue
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if open_.get(tag) else ():
                 if stack[i].tag == tag:
                     close(i)
                     break
@@ -197,21 +214,18 @@ def parse(page: str) -> tuple[list[dict], list[dict]]:
                         break
                     if stack[i].tag not in INLINE:
                         break
-        if len(stack) > DEPTH:
-            deep[tag] = deep.get(tag, 0) + 1
-            continue
         above = stack[-1]
         at_ = _attributes(m[3]) if m[3].strip() else {}
-        name = tag + (f"#{at_['id']}" if at_.get("id") else "") + "".join(f".{c}" for c in sorted(at_.get("class", "").split()))
+        name = None if len(stack) > DEPTH else tag + (f"#{at_['id']}" if at_.get("id") else "") + "".join(f".{c}" for c in sorted(at_.get("class", "").split()))
         node = _Node(tag, above, name, _is_hidden(tag, at_), _is_named(tag, at_, above))
         if tag not in INLINE:
             above.kids.append(tag)
         if tag in ("article", "main"):
-            for around in stack:
+            for around in stack[: DEPTH + 1]:
                 around.holds_main = True
-        stack.append(node)
+        push(node)
         if m[3].endswith("/") and tag in INLINE:
-            stack.pop()
+            pop()
     end_block()
     close(1)
     for node, _ in nodes:

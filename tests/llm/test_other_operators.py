@@ -146,3 +146,16 @@ def test_top_k_edge_cases(spark):
     assert sorted(got[50]) == [(1, 0, 65536), (2, 1, 65536), (3, 2, 65536)]
     assert sorted(got[100]) == [(1, 8, 256 * 256 * 3 - 768)]
     assert mtree.top_k(df.limit(0)).count() == 0
+
+
+def test_deep_elements_hide_and_names_are_whole(spark):
+    deep = "<div>" * 400
+    page = lambda inner, more="": f"<body>{deep}{inner}{'</div>' * 400}<p>{'story word ' * 30}</p>{more}</body>"
+    rows = [
+        (1, page("<nav>menu</nav><div style='display:none'>hidden</div><div class=sidebar><p>side</p></div><p>kept</p>")), (2, page("<h1>title</h1><div hidden><div><p>gone</p></div></div></span></p>kept")),
+        (3, page("", "<section class='ad-free'>free words</section><section class=related-research>research words</section><div class='has-sidebar'>wide words</div>")), (4, page("", "<div class=site-footer>foot</div><div id=nav-list>list</div><ul class='comments'>talk</ul>")),
+        (5, "<div>" * 20_000 + "end" + "</p>" * 20_000 + "</i>" * 20_000 + "</div>" * 20_000 + "after"),
+    ]
+    story = ("story word " * 30).strip()
+    got = {r["page_id"]: r["text"] for r in html_main.extract(spark.createDataFrame([(i, f"http://h{i}/", t) for i, t in rows], "page_id long, url string, html string")).collect()}
+    assert got == {1: f"kept\n{story}", 2: f"title\nkept\n{story}", 3: f"{story}\nfree words\nresearch words\nwide words", 4: story, 5: "end\nafter"}
