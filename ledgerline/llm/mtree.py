@@ -117,7 +117,10 @@ class Tree:
     def search(self, own: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, int]:
         """(ids, scores) of the k best, best first, and how many products were computed."""
         whole, q = q, q.astype(np.float64)
-        exact = self.largest * float(np.abs(q).max(initial=0)) * len(q) < 2.0**53
+        most = self.largest * float(np.abs(q).max(initial=0)) * len(q)
+        if most >= 2.0**63:
+            raise OverflowError("products of these vectors may not fit 64 bits")
+        exact = most < 2.0**53
         product = (lambda rows: self.vectors[rows] @ q) if exact else (lambda rows: self.whole[rows] @ whole)
         c = float(q @ q) + self.most
         rounding = ROUNDING * np.sqrt(c)

@@ -240,3 +240,11 @@ def test_long_conversation(spark):
     source = conversations(spark, rows)
     got = conversation_repair.repaired(source, source).first()
     assert got["cost"] == 40_000 and got["audit"] == "R" * 20_000 and got["gaps"] == 0
+
+
+def test_products_beyond_64_bits_are_refused(spark):
+    from ledgerline.llm import mtree
+
+    rows = [(0, [3e7] * 64), (50, [3e7] * 64), (1, [1.0] * 64)]
+    with pytest.raises(Exception, match="may not fit 64 bits"):
+        mtree.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
