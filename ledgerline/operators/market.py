@@ -17,8 +17,8 @@ def nearest_value(left: DataFrame, right: DataFrame, key: str, value: str, most:
 
     Both sides are put in one order of values; the nearest right row is the last one before or the first one after.  So a
     frequent key is sorted, not paired off."""
-    one = right.where(F.col(value).isNotNull()).groupBy(key, value).agg(F.min("b").alias("b"))
-    mine = left.where(F.col(value).isNotNull()).select("a", key, value, F.lit(None).cast(dict(right.dtypes)["b"]).alias("b"), F.lit(1).alias("side"))
+    one = right.where(F.col(value).isNotNull() & F.col(key).isNotNull()).groupBy(key, value).agg(F.min("b").alias("b"))
+    mine = left.where(F.col(value).isNotNull() & F.col(key).isNotNull()).select("a", key, value, F.lit(None).cast(dict(right.dtypes)["b"]).alias("b"), F.lit(1).alias("side"))
     there = one.select(F.lit(None).cast(dict(left.dtypes)["a"]).alias("a"), key, value, "b", F.lit(0).alias("side"))
     pair = F.when(F.col("side") == 0, F.struct(F.col(value).alias("v"), "b"))
     up = Window.partitionBy(key).orderBy(value, "side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
