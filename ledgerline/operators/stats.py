@@ -33,16 +33,16 @@ def values_at(df: DataFrame, by: str, x: str, places: dict[str, Column], buckets
     ends = counts.groupBy(by).agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"), F.sum("__c").alias("n"))
     width = (F.col("__hi") - F.col("__lo")).cast("double") / buckets
     bucket = F.coalesce(F.floor((F.col("__v") - F.col("__lo")).cast("double") / F.nullif(width, F.lit(0.0))), F.lit(0).cast("bigint"))
-    placed = counts.join(F.broadcast(ends.select(F.col(by).alias("__by"), "__lo", "__hi")), F.col(by).eqNullSafe(F.col("__by"))).select(by, "__v", "__c", bucket.alias("__b"))
+    placed = counts.join(ends.select(F.col(by).alias("__by"), "__lo", "__hi"), F.col(by).eqNullSafe(F.col("__by"))).select(by, "__v", "__c", bucket.alias("__b"))
     sums = placed.groupBy(F.col(by).alias("__by"), F.col("__b").alias("__bb")).agg(F.sum("__c").alias("__c"))
     before = sums.withColumn("__to", F.sum("__c").over(Window.partitionBy("__by").orderBy("__bb"))).withColumn("__from", F.col("__to") - F.col("__c")).drop("__c")
     want = F.explode(F.array(*[F.struct(F.lit(k).alias("name"), p.cast("bigint").alias("at")) for k, p in places.items()]))
     wanted = ends.select(F.col(by).alias("__g"), want.alias("__w")).select("__g", "__w.*")
     chosen = wanted.join(before, F.col("__g").eqNullSafe(F.col("__by")) & (F.col("at") > F.col("__from")) & (F.col("at") <= F.col("__to"))).select("__g", "__bb", "name", F.col("at") - F.col("__from"))
     chosen = chosen.toDF("__g", "__bb", "name", "at")
-    rows = placed.join(F.broadcast(chosen.select("__g", "__bb").distinct()), F.col(by).eqNullSafe(F.col("__g")) & (F.col("__b") == F.col("__bb")), "left_semi")
+    rows = placed.join(chosen.select("__g", "__bb").distinct(), F.col(by).eqNullSafe(F.col("__g")) & (F.col("__b") == F.col("__bb")), "left_semi")
     ranked = rows.withColumn("__to", F.sum("__c").over(Window.partitionBy(by, "__b").orderBy("__v")))
-    found = ranked.join(F.broadcast(chosen), F.col(by).eqNullSafe(F.col("__g")) & (F.col("__b") == F.col("__bb")) & (F.col("at") <= F.col("__to")) & (F.col("at") > F.col("__to") - F.col("__c")))
+    found = ranked.join(chosen, F.col(by).eqNullSafe(F.col("__g")) & (F.col("__b") == F.col("__bb")) & (F.col("at") <= F.col("__to")) & (F.col("at") > F.col("__to") - F.col("__c")))
     got = found.groupBy(F.col(by).alias("__g")).agg(*[F.max(F.when(F.col("name") == k, F.col("__v"))).alias(k) for k in places])
     return ends.select(by, "n").join(got, F.col(by).eqNullSafe(F.col("__g")), "left").drop("__g")
 

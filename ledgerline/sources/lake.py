@@ -1,14 +1,19 @@
 """Snapshots of tables as Parquet under a shared path: publish, hold, time travel, expiry.
 
 A snapshot is a row in the log, written last: readers see a table only through the log, so a publish that fails or is held
-leaves the former snapshot as it was.  A table whose fingerprint has not changed is not written again.  A snapshot's number
-is claimed by a file that only one publisher can make.
+leaves the former snapshot as it was.  A table is written once, and what was written is checked; if its fingerprint has not
+changed it is deleted again and the former files stand.  A snapshot's number is claimed by a file that only one publisher can
+make; a claim that is older than STALE and led to no snapshot was left by a publisher that died and is taken over.
+
+The log lies in a folder with a number; the highest that is whole is the log.  Expiry writes the next one beside it, so
+readers have a whole log at any moment.
 """
 
 from __future__ import annotations
 
 import datetime
 import tempfile
+import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -18,6 +23,8 @@ from pyspark.sql import functions as F
 
 from ..operators.stats import fingerprint
 
+#: Seconds after which a claim without a snapshot was left behind.
+STALE = 3600.0
 LOG = "snapshot long, published_at timestamp, name string, path string, row_count long, mark string"
 
 
@@ -44,13 +51,17 @@ class Lake:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
+    def _log(self) -> str:
+        """The newest log that is whole: in the making of the next one its mark of success comes last."""
+        fs, root = self._fs(), self._path("")
+        found = [int(f.getPath().getName()[5:]) for f in (fs.listStatus(root) if fs.exists(root) else []) if f.getPath().getName().startswith("_log-") and fs.exists(self._path(f"{f.getPath().getName()}/_SUCCESS"))]
+        return f"_log-{max(found, default=0)}"
+
     def log(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(LOG).parquet(f"{self.root}/_log")
-        except Exception as e:  # no publish yet
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
+        name = self._log()
+        if not self._fs().exists(self._path(name)):  # no publish yet
             return self.spark.createDataFrame([], LOG)
+        return self.spark.read.schema(LOG).parquet(f"{self.root}/{name}")
 
     def _current(self, version: int | None = None, timestamp: str | None = None) -> dict[str, tuple[str, int, str, int]]:
         log = self.log()
@@ -68,29 +79,47 @@ class Lake:
         """The new snapshot's number, or None if nothing changed.  Raises Held where a key repeats or a table shrank."""
         now = self._current()
         number = max([0, *(r[3] for r in now.values())]) + 1
-        rows, changed = [], set(now) != set(tables)
-        for name, df in tables.items():
-            f = fingerprint(df).first()
-            mark = f"{f['rows']}/{f['xor']}/{f['total']}"
-            if name in now and now[name][2] == mark:
-                rows.append((name, now[name][0], f["rows"], mark))
-                continue
-            changed = True
-            if name in now and f["rows"] < shrink * now[name][1]:
-                raise Held(f"{name}: {f['rows']} rows after {now[name][1]}")
-            if (key := (keys or {}).get(name)) and df.groupBy(*key).count().where("count > 1").limit(1).count():
-                raise Held(f"{name}: {key} repeats")
-            path = f"{self.root}/{name}/{number}-{uuid.uuid4().hex}"
-            df.write.parquet(path)
-            rows.append((name, path, f["rows"], mark))
-        if not changed:
-            return None
-        if not self._fs().createNewFile(self._path(f"_claims/{number}")):
-            raise Held(f"snapshot {number} was published meanwhile")
+        rows, fresh, changed = [], [], set(now) != set(tables)
+        try:
+            for name, df in tables.items():
+                path = f"{self.root}/{name}/{number}-{uuid.uuid4().hex}"
+                df.write.parquet(path)
+                fresh.append(path)
+                wrote = self.spark.read.schema(df.schema).parquet(path)
+                f = fingerprint(wrote).first()
+                mark = f"{f['rows']}/{f['xor']}/{f['total']}"
+                if name in now and now[name][2] == mark:
+                    self._delete(fresh.pop())
+                    rows.append((name, now[name][0], f["rows"], mark))
+                    continue
+                changed = True
+                if name in now and f["rows"] < shrink * now[name][1]:
+                    raise Held(f"{name}: {f['rows']} rows after {now[name][1]}")
+                if (key := (keys or {}).get(name)) and wrote.groupBy(*key).count().where("count > 1").limit(1).count():
+                    raise Held(f"{name}: {key} repeats")
+                rows.append((name, path, f["rows"], mark))
+            if not changed:
+                return None
+            self._claim(number)
+        except Held:
+            for path in fresh:
+                self._delete(path)
+            raise
         entry = self.spark.createDataFrame([(number, *r) for r in rows], "snapshot long, name string, path string, row_count long, mark string")
-        entry.select("snapshot", F.current_timestamp().alias("published_at"), "name", "path", "row_count", "mark").coalesce(1).write.mode("append").parquet(f"{self.root}/_log")
+        entry.select("snapshot", F.current_timestamp().alias("published_at"), "name", "path", "row_count", "mark").coalesce(1).write.mode("append").parquet(f"{self.root}/{self._log()}")
         return number
 
+    def _claim(self, number: int) -> None:
+        """Only one publisher at a time goes on from here."""
+        fs, path = self._fs(), self._path(f"_claims/{number}")
+        if fs.createNewFile(path):
+            return
+        age = time.time() - fs.getFileStatus(path).getModificationTime() / 1000
+        if age < STALE or number in self.snapshots() or not (fs.delete(path, False) and fs.createNewFile(path)):
+            raise Held(f"snapshot {number} was published meanwhile")
+
+    def _delete(self, path: str) -> None:
+        self._fs().delete(self.spark._jvm.org.apache.hadoop.fs.Path(path), True)
 
     def _path(self, name: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
@@ -108,22 +137,23 @@ class Lake:
 
     def expire(self, older_than: datetime.datetime | None = None, keep: int = 1) -> int:
         """Forgets the snapshots published before a time (the last `keep` always stay), deletes the table folders that none that
-        is left refers to, and returns how many went.  The log is written anew beside the old one, which goes last."""
+        is left refers to, and returns how many went.  The next log is written beside the old one, which goes last."""
         log, numbers = self.log(), self.snapshots()
         old = log if older_than is None else log.where(F.col("published_at") < F.lit(older_than))
         gone = {r[0] for r in old.select("snapshot").distinct().collect()} - set(numbers[-keep:])
         if not gone:
             return 0
         left = log.where(~F.col("snapshot").isin(list(gone))).collect()
-        fs, fresh = self._fs(), f"_log-{uuid.uuid4().hex}"
-        self.spark.createDataFrame(left, LOG).coalesce(1).write.parquet(f"{self.root}/{fresh}")
-        wanted = {r["path"] for r in left}
-        orphans = {r["path"] for r in log.select("path").distinct().collect()} - wanted
-        fs.rename(self._path("_log"), self._path(f"{fresh}-old"))
-        fs.rename(self._path(fresh), self._path("_log"))
-        for path in orphans:
-            fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(path), True)
-        fs.delete(self._path(f"{fresh}-old"), True)
+        number, was = numbers[-1] + 1, self._log()
+        self._claim(number)  # no publish meanwhile
+        try:
+            self.spark.createDataFrame(left, LOG).coalesce(1).write.parquet(f"{self.root}/_log-{int(was[5:]) + 1}")
+            orphans = {r["path"] for r in log.select("path").distinct().collect()} - {r["path"] for r in left}
+            for path in orphans:
+                self._delete(path)
+            self._fs().delete(self._path(was), True)
+        finally:
+            self._fs().delete(self._path(f"_claims/{number}"), False)
         return len(orphans)
 
 

@@ -127,3 +127,34 @@ def test_spans(spark):
     assert got == {x for x in days(left) if x[1] < 60}
     assert spans.covered(asked, df(left), ["g"], "d", "held").count() == asked.count()
     assert spans.union(df([]), ["g"]).count() == 0 and spans.difference(df(left), df([]), ["g"]).count() == spans.union(df(left), ["g"]).count()
+
+
+def test_lake_claims_expiry_and_single_evaluation(spark, tmp_path):
+    import os
+    import time
+
+    from ledgerline.sources import lake
+
+    store = lake.Lake(spark, str(tmp_path / "lake"))
+    noisy = spark.range(50).withColumn("x", F.rand())  # another table each time that it is evaluated
+    assert store.publish({"t": noisy}) == 1
+    from ledgerline.operators.stats import fingerprint
+
+    wrote = fingerprint(store.table("t")).first()
+    assert store._current()["t"][2] == f"{wrote['rows']}/{wrote['xor']}/{wrote['total']}"
+    same = spark.range(45)
+    store.publish({"t": same.withColumn("x", F.lit(0.5))})
+    assert store.publish({"t": same.withColumn("x", F.lit(0.5))}) is None and len(list((tmp_path / "lake" / "t").iterdir())) == 2  # the copy is gone again
+    claim = tmp_path / "lake" / "_claims" / "3"
+    claim.touch()
+    with pytest.raises(Held):  # someone is at it
+        store.publish({"t": spark.range(46)})
+    assert store.snapshots() == [1, 2] and len(list((tmp_path / "lake" / "t").iterdir())) == 2
+    os.utime(claim, (time.time() - 2 * lake.STALE,) * 2)  # whoever it was is dead
+    assert store.publish({"t": spark.range(46)}) == 3
+    reading = store.table("t", version=3)
+    (tmp_path / "lake" / "_log-1").mkdir()  # an expiry that died before its log was whole
+    assert store.snapshots() == [1, 2, 3]
+    (tmp_path / "lake" / "_log-1").rmdir()
+    assert store.expire(keep=1) == 2 and store.snapshots() == [3] and reading.count() == 46
+    assert store.publish({"t": spark.range(47)}) == 4 and store.table("t").count() == 47 and store.table("t", version=3).count() == 46
