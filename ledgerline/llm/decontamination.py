@@ -175,8 +175,10 @@ def _search_shard(row: dict, phrases: Phrases, slop: int) -> tuple[np.ndarray, n
         hit = np.flatnonzero(np.cumsum(marks) > 0)
         of = np.searchsorted(base, hit, "right") - 1
         inside = hit - base[of] < n_words[of] if len(hit) else np.zeros(0, bool)
-        for doc in np.unique(of[inside]).tolist():
-            found[doc] = ((hit[inside & (of == doc)] - base[doc]).tolist(), set())
+        hit, of = hit[inside], of[inside]
+        docs, first = np.unique(of, return_index=True)  # hits are in order, so those of a document stand together
+        for doc, s, e in zip(docs.tolist(), first, [*first[1:], len(of)]):
+            found[doc] = ((hit[s:e] - base[doc]).tolist(), set())
         for docs_, item in pairs:
             for doc in docs_.tolist():
                 found[doc][1].add(phrases.names[item])

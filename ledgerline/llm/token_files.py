@@ -8,7 +8,8 @@ payload.  So a key is found with two hashes and one comparison, and a key that i
 The records are Parquet rows, committed by Spark's own writer on any file system that Spark writes to.
 
 Defined results: a null text has no ids but the end id; a null key comes first and is found under its own hash; rows
-with the same key are told apart by their ordinal (order of their texts); an empty table gives an empty file.
+with the same key are told apart by their ordinal (order of their texts) and may go on from record to record, so a record
+is bounded whatever a key holds; an empty table gives an empty file.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ END_ID = 2
 #: A shard ends with the document that brings it to this many documents or ids.
 SHARD_DOCS, SHARD_IDS = 512, 1 << 19
 
-SHARD_SCHEMA = "part int, shard int, first_key long, last_key long, ids_before long, n_docs int, n_ids long, width int, payload binary, keys binary, null_keys int, seeds binary, fingerprints binary, begins binary, lengths binary"
+SHARD_SCHEMA = "part int, shard int, first_key long, last_key long, ordinal long, ids_before long, n_docs int, n_ids long, width int, payload binary, keys binary, null_keys int, seeds binary, fingerprints binary, begins binary, lengths binary"
 _U = np.uint64
 
 
@@ -39,13 +40,16 @@ def key_hashes(keys: np.ndarray, ordinals: np.ndarray, is_null: np.ndarray) -> n
     return np.where(is_null, mix(h + _U(0xA5A5)), h)
 
 
-def ordinals(keys: np.ndarray, is_null: np.ndarray) -> np.ndarray:
-    """For sorted keys, the how-manieth of its equals each one is."""
+def ordinals(keys: np.ndarray, is_null: np.ndarray, carry: int = 0) -> np.ndarray:
+    """For sorted keys, the how-manieth of its equals each one is; `carry` equals of the first key stand before them."""
     n = len(keys)
     new = np.ones(n, bool)
     new[1:] = (keys[1:] != keys[:-1]) | (is_null[1:] != is_null[:-1])
     at = np.arange(n)
-    return at - np.maximum.accumulate(np.where(new, at, 0))
+    out = at - np.maximum.accumulate(np.where(new, at, 0))
+    if carry and n:
+        out[: int(np.argmax(new[1:])) + 1 if new[1:].any() else n] += carry
+    return out
 
 
 def _slots(h: np.ndarray, seed: np.ndarray | int, n: int) -> np.ndarray:
@@ -100,23 +104,24 @@ def write(docs: DataFrame, out: str, path: str | None = None, end_id: int = END_
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, enc = TaskContext.get().partitionId(), encoder(path)
         before = number = held = 0
+        carry = 0  # how many documents of the first key stand in the records before
         keys, nulls, ids, lens = [], [], [], []
 
         def flush() -> pa.RecordBatch:
-            nonlocal before, number, held
+            nonlocal before, number, held, carry
             key, null, n = np.concatenate(keys), np.concatenate(nulls), np.concatenate(lens)
             payload = np.concatenate(ids)
-            # ordinals are counted inside a shard: equal keys never lie in two (see below)
-            h = key_hashes(key, ordinals(key, null), null)
+            nth = ordinals(key, null, carry)
+            h = key_hashes(key, nth, null)
             seeds, slot = build(h)
             prints, begins, lengths = np.zeros(len(h), np.uint32), np.zeros(len(h), np.int64), np.zeros(len(h), np.int64)
             prints[slot], begins[slot], lengths[slot] = (h >> _U(32)).astype(np.uint32), np.cumsum(n) - n, n
             some = key[~null]
             row = {
-                "part": part, "shard": number, "first_key": int(some[0]) if len(some) else None, "last_key": int(some[-1]) if len(some) else None, "ids_before": before, "n_docs": len(h), "n_ids": len(payload), "width": payload.dtype.itemsize,
+                "part": part, "shard": number, "first_key": int(some[0]) if len(some) else None, "last_key": int(some[-1]) if len(some) else None, "ordinal": carry, "ids_before": before, "n_docs": len(h), "n_ids": len(payload), "width": payload.dtype.itemsize,
                 "payload": payload.tobytes(), "keys": key.tobytes(), "null_keys": int(null.sum()), "seeds": seeds.tobytes(), "fingerprints": prints.tobytes(), "begins": begins.tobytes(), "lengths": lengths.tobytes(),
             }
-            before, number, held = before + len(payload), number + 1, 0
+            before, number, held, carry = before + len(payload), number + 1, 0, int(nth[-1]) + 1
             for x in (keys, nulls, ids, lens):
                 x.clear()
             return pa.RecordBatch.from_pylist([row], schema=_ARROW)
@@ -129,8 +134,10 @@ def write(docs: DataFrame, out: str, path: str | None = None, end_id: int = END_
                 got, first = enc.encode_chunk(data, offsets, end_id)
                 at = 0
                 while at < len(key):
-                    if held and (held >= SHARD_DOCS or sum(map(len, ids)) >= SHARD_IDS) and (key[at] != keys[-1][-1] or null[at] != nulls[-1][-1]):
+                    if held and (held >= SHARD_DOCS or sum(map(len, ids)) >= SHARD_IDS):
+                        last = keys[-1][-1], nulls[-1][-1]
                         yield flush()
+                        carry = carry if (key[at], null[at]) == last else 0  # equal keys may go on in the next record
                     room = max(1, SHARD_DOCS - held)
                     stop = min(len(key), at + room, max(at + 1, int(np.searchsorted(first, first[at] + SHARD_IDS))))
                     keys.append(key[at:stop]), nulls.append(null[at:stop]), ids.append(got[first[at] : first[stop]]), lens.append(np.diff(first[at : stop + 1]))
@@ -143,7 +150,7 @@ def write(docs: DataFrame, out: str, path: str | None = None, end_id: int = END_
     ordered.mapInArrow(shards, SHARD_SCHEMA).write.option("compression", "zstd").parquet(out)
 
 
-_ARROW = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("first_key", pa.int64()), ("last_key", pa.int64()), ("ids_before", pa.int64()), ("n_docs", pa.int32()), ("n_ids", pa.int64()), ("width", pa.int32()), *((c, pa.binary()) for c in ("payload", "keys")), ("null_keys", pa.int32()), *((c, pa.binary()) for c in ("seeds", "fingerprints", "begins", "lengths"))])
+_ARROW = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("first_key", pa.int64()), ("last_key", pa.int64()), ("ordinal", pa.int64()), ("ids_before", pa.int64()), ("n_docs", pa.int32()), ("n_ids", pa.int64()), ("width", pa.int32()), *((c, pa.binary()) for c in ("payload", "keys")), ("null_keys", pa.int32()), *((c, pa.binary()) for c in ("seeds", "fingerprints", "begins", "lengths"))])
 
 
 class Shard:
@@ -153,6 +160,7 @@ class Shard:
         self.ids = np.frombuffer(row["payload"], f"<u{row['width']}")
         self.keys = np.frombuffer(row["keys"], np.int64)
         self.null = np.arange(len(self.keys)) < row["null_keys"]
+        self.ordinal = row["ordinal"]
         self.seeds, self.prints = np.frombuffer(row["seeds"], np.int32), np.frombuffer(row["fingerprints"], np.uint32)
         self.begins, self.lengths = np.frombuffer(row["begins"], np.int64), np.frombuffer(row["lengths"], np.int64)
 
@@ -184,7 +192,7 @@ def documents(records: DataFrame) -> DataFrame:
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             shard = Shard(row)
-            begin, n = shard.places(shard.keys, ordinals(shard.keys, shard.null), shard.null)
+            begin, n = shard.places(shard.keys, ordinals(shard.keys, shard.null, shard.ordinal), shard.null)
             crc = [zlib.crc32(shard.ids[b : b + k].astype("<u4")) for b, k in zip(begin.tolist(), n.tolist())]
             yield pa.RecordBatch.from_arrays([pa.array(shard.keys, mask=shard.null), pa.array(begin + row["ids_before"]), pa.array(n), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 

@@ -94,3 +94,17 @@ def test_perfect_hash_is_minimal_and_refuses_strangers():
         assert token_files.find(h, seeds, prints).tolist() == slot.tolist()
         other = token_files.key_hashes(keys + 1, np.zeros(n, np.int64), np.zeros(n, bool))
         assert (token_files.find(other, seeds, prints) == -1).all()
+
+
+def test_one_key_in_many_records(spark, tmp_path):
+    rows = [(7, f"word {i % 900}") for i in range(1300)] + [(None, f"none {i}") for i in range(700)] + [(8, "last"), (3, "first")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = str(tmp_path / "files")
+    token_files.write(docs, out)
+    records = token_files.read(spark, out)
+    assert records.agg({"n_docs": "max"}).first()[0] <= token_files.SHARD_DOCS and records.count() >= 4
+    got = sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["start"], r["n_tokens"]) for r in token_files.documents(records).collect())
+    assert len(got) == len(rows) and min(r[3] for r in got) >= 2
+    assert [r[2] for r in got] == [sum(x[3] for x in got[:k]) for k in range(len(got))]
+    found = token_files.lookup(records, spark.createDataFrame([(7,), (8,), (3,), (99,)], "doc_id long")).collect()
+    assert sorted(r["doc_id"] for r in found) == [3, 7, 8]
