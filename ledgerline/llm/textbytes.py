@@ -8,6 +8,7 @@ of about 2**-60.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -95,8 +96,22 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - first
 
 
+def _returned() -> None:
+    """Gives memory that is free back to the system, where the allocator has a call for it: a worker serves many tasks, one stage
+    after another, and would keep what its greediest one needed."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
+try:
+    _TRIM = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # another C library
+    _TRIM = None
+
+
 def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, bytes, offsets) of runs of rows of about `limit` bytes."""
+    """(first row, end row, bytes, offsets) of runs of rows of about `limit` bytes; memory is returned after a column."""
     data, offsets = buffers(column)
     row, n = 0, len(offsets) - 1
     while row < n:
@@ -105,6 +120,7 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, in
         base = offsets[row]
         yield row, end, data[base : offsets[end]], offsets[row : end + 1] - base
         row = end
+    _returned()
 
 
 def word_bounds(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray = WORD_BYTE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

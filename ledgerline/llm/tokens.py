@@ -17,7 +17,7 @@ from .textbytes import INK_BYTE, LOWER_VALUES, fingerprints, prefix_sums, ranges
 
 WORD_FILE = "word_bpe_49k.json"
 #: Words whose ids a worker process keeps (about 30 bytes each), and pieces (about 200 bytes each).
-MEMO_WORDS, MEMO_PIECES = 4_000_000, 600_000
+MEMO_WORDS, MEMO_PIECES = 2_000_000, 300_000
 
 _SIMPLE = re.compile("[!-~À-ÖØ-öø-ÿ]*").fullmatch
 _PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+").findall
