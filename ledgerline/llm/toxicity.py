@@ -3,18 +3,20 @@
 Evidence.  A token is a word of the text (A-Z lower-cased); its features are the word and its beginnings of PREFIXES bytes.  Of
 a bounded sample of labelled rows each feature gets the number of toxic and of other texts that hold it.  A Dirichlet prior of
 weight PRIOR smooths the two counts; it is centred on the shares of the next shorter feature, and for the shortest on the
-share of toxic texts.  The log-odds against that share, drawn to 0 by ERRORS standard errors, is the feature's weight.  A token weighs what its longest feature
-known from MIN_TEXTS texts weighs, so unseen words take the weight of their beginning, and what nothing is known of weighs
-nothing.
+share of toxic texts.  A feature weighs what the next shorter one weighs (0 without one), moved into ERRORS standard errors
+around its own log-odds against that share: so a longer word of a toxic beginning keeps its weight.  A token weighs what
+its longest feature known from MIN_TEXTS texts weighs, so unseen words take the weight of their beginning, and what nothing
+is known of weighs nothing.
 
 Passages.  A token scores its weight less DRIFT.  A linear-time scan finds all maximal scoring segments of a text: runs of
 tokens whose score no longer or shorter run within them betters.  Only tokens of positive score can begin or end one, so the
 scan steps from one to the next.
 
 Calibration.  On texts that are not toxic the best segment of n tokens exceeds x with probability 1 - exp(-K n exp(-rate x));
-rate solves E[exp(rate * score)] = 1 over their tokens and K is the maximum-likelihood estimate for that rate.  A segment of
-score x has the evidence rate * x - ln(K n): it is significant if that is positive.  The evidence of the r best segments
-together, T, stands for a chance of exp(-T) T**(r - 1) / (r! (r - 1)!) of r such segments; a text has the rarest over r.
+rate and K have the greatest likelihood for the best segments of those texts (of a text without one it is known that none
+exceeds 0) and a faint prior.  A segment of score x has the evidence rate * x - ln(K n): it is significant if that is
+positive.  A text has the root of the sum of their squares, in which many faint segments, as long texts have, do not
+outweigh a strong one.
 A logistic curve over the logarithm of that evidence, fitted to the counts of labelled texts in bins, gives the score.
 
 All texts are scored whole in one pass without a shuffle.  What is fitted is bounded: SAMPLE labelled rows, FEATURES features
@@ -45,7 +47,7 @@ PREFIXES = (4, 5, 6, 7, 8, 10)
 MIN_TEXTS, PRIOR, ERRORS = 3, 16.0, 2.0
 DRIFT = 0.4
 THRESHOLD = 0.7
-#: Segments of a text whose evidence is added up; more add nothing to a text that has so many.
+#: Segments of a text, the best ones, whose evidence is put together; more add nothing to a text that has so many.
 MOST = 64
 _BIN = 0.05
 
@@ -84,16 +86,9 @@ class Model:
         return out - DRIFT
 
     def evidence(self, scores: list[float], tokens: int) -> float:
-        """Minus the log of the chance of the r best segments, the largest over r; 0 without a significant one."""
+        """Root of the sum of squares of the evidence of the best segments; 0 without a significant one."""
         base = self.log_k + math.log(max(tokens, 1))
-        best, total = 0.0, 0.0
-        for r, x in enumerate(sorted(scores, reverse=True)[:MOST], 1):
-            part = self.rate * x - base
-            if part <= 0:
-                break
-            total += part
-            best = max(best, total + math.lgamma(r + 1) + math.lgamma(r) - (r - 1) * math.log(total))
-        return best
+        return math.sqrt(sum(max(self.rate * x - base, 0.0) ** 2 for x in sorted(scores, reverse=True)[:MOST]))
 
     def score(self, evidence: np.ndarray) -> np.ndarray:
         a, b = self.curve
@@ -167,20 +162,22 @@ def _counted(sample: DataFrame) -> DataFrame:
 
 
 def _weights(found: pd.DataFrame, share: float, prior: float, errors: float) -> np.ndarray:
-    """Log-odds of each feature, its counts smoothed towards its parent's, drawn to 0 by so many standard errors."""
+    """Weight of each feature: its parent's (0 without one), moved into so many standard errors around the log-odds of its
+    own counts, which are smoothed towards its parent's shares."""
     keys, parents = found["key"].to_numpy(), found["parent"].to_numpy()
     order = np.argsort(keys)
     at = order[np.minimum(np.searchsorted(keys, parents, sorter=order), len(keys) - 1)]
     known = keys[at] == parents
-    out, weight = np.full(len(keys), share), np.zeros(len(keys))
-    toxic, texts = found["toxic"].to_numpy(float), (found["toxic"] + found["other"]).to_numpy(float)
+    # the share of other texts is kept beside that of toxic ones: down a chain of pure features it falls below what 1 - share tells
+    out, rest, weight = np.full(len(keys), share), np.full(len(keys), 1 - share), np.zeros(len(keys))
+    toxic, other = found["toxic"].to_numpy(float), found["other"].to_numpy(float)
     for level in sorted(found["level"].unique()):
         here = np.flatnonzero(found["level"].to_numpy() == level)
-        mean = np.where(known[here], out[at[here]], share)
-        t, c = toxic[here] + prior * mean, texts[here] - toxic[here] + prior * (1 - mean)
-        out[here] = t / (t + c)
-        odds = np.log(t / c) - math.log(share / (1 - share))
-        weight[here] = np.sign(odds) * np.maximum(np.abs(odds) - errors * np.sqrt(1 / t + 1 / c), 0)
+        above = [np.where(known[here], x[at[here]], y) for x, y in ((out, share), (rest, 1 - share), (weight, 0.0))]
+        t, c = toxic[here] + prior * above[0], other[here] + prior * above[1]
+        out[here], rest[here] = t / (t + c), c / (t + c)
+        odds, wide = np.log(t / c) - math.log(share / (1 - share)), errors * np.sqrt(1 / t + 1 / c)
+        weight[here] = np.clip(above[2], odds - wide, odds + wide)
     return weight
 
 
@@ -194,42 +191,38 @@ def _scanned(data: np.ndarray, offsets: np.ndarray, model: Model) -> Iterator[tu
 
 
 def _null_parts(sample: DataFrame, model: Model) -> DataFrame:
-    """place, n, top, exp: bins of token scores (place), and of texts the sum of tokens * exp(-score of the best segment)."""
+    """place, n, tokens: bins of the score of the best segment (place; 0 without one) of texts that are not toxic, with their
+    texts and the tokens of these."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, int] = {}
-        best: dict[int, tuple[int, float]] = {}
+        best: dict[int, tuple[int, int]] = {}
         for batch in batches:
             for _, _, data, offsets in chunks(batch.column(0)):
                 for _, scores, _, _ in _scanned(data, offsets, model):
-                    for place, n in zip(*np.unique(np.floor(scores / _BIN + 0.5).astype(np.int64), return_counts=True)):
-                        found[int(place)] = found.get(int(place), 0) + int(n)
-                    top = max((x for x, _, _ in segments(scores)), default=0.0)
                     if len(scores):
-                        texts, tokens = best.get(math.floor(top / _BIN + 0.5), (0, 0.0))
-                        best[math.floor(top / _BIN + 0.5)] = (texts + 1, tokens + len(scores))
-        rows = [("token", k, n, 0.0) for k, n in found.items()] + [("text", k, n, t) for k, (n, t) in best.items()]
-        yield pa.RecordBatch.from_pylist([dict(zip(("kind", "place", "n", "tokens"), r)) for r in rows], schema=pa.schema([("kind", pa.string()), ("place", pa.int64()), ("n", pa.int64()), ("tokens", pa.float64())]))
-
-    return sample.where("toxic = 0").select("text").mapInArrow(run, "kind string, place long, n long, tokens double").groupBy("kind", "place").agg(F.sum("n").alias("n"), F.sum("tokens").alias("tokens"))
-
-
-def _null(rows: list, model: Model) -> tuple[float, float]:
-    """(rate, ln K): rate solves E[exp(rate * score)] = 1 by halving, within 0.05 and 5; K maximises the likelihood."""
-    score = np.array([r["place"] * _BIN for r in rows if r["kind"] == "token"])
-    share = np.array([r["n"] for r in rows if r["kind"] == "token"], float)
+                        place = math.floor(max((x for x, _, _ in segments(scores)), default=0.0) / _BIN + 0.5)
+                        texts, tokens = best.get(place, (0, 0))
+                        best[place] = (texts + 1, tokens + len(scores))
+        yield pa.RecordBatch.from_pylist([{"place": k, "n": n, "tokens": t} for k, (n, t) in best.items()], schema=pa.schema([("place", pa.int64()), ("n", pa.int64()), ("tokens", pa.int64())]))
+
+    return sample.where("toxic = 0").select("text").mapInArrow(run, "place long, n long, tokens long").groupBy("place").agg(F.sum("n").alias("n"), F.sum("tokens").alias("tokens"))
+
+
+def _null(rows: list) -> tuple[float, float]:
+    """(rate, ln K) of the greatest likelihood for the bins of _null_parts and half a text that exceeds 0 by no more than
+    DRIFT, which alone decides if no text does; rate by halving, within 0.05 and 5."""
+    score, n, tokens = (np.array([r[k] for r in rows], float) for k in ("place", "n", "tokens"))
+    score *= _BIN
+    texts, total = n[score > 0].sum() + 0.5, (n * score).sum() + 0.5 * DRIFT
+    if not len(rows):
+        return 1.0, 0.0
     low, high = 0.05, 5.0
-    if len(score):
-        share /= share.sum()
-        for _ in range(60):
-            mid = (low + high) / 2
-            low, high = (mid, high) if (share * np.exp(mid * score)).sum() < 1 else (low, mid)
-    else:
-        low = high = 1.0
+    for _ in range(60):
+        mid = (low + high) / 2
+        tail = tokens * np.exp(-mid * score)
+        low, high = (mid, high) if texts / mid + texts * (tail * score).sum() / tail.sum() > total else (low, mid)
     rate = (low + high) / 2
-    n = sum(r["n"] for r in rows if r["kind"] == "text")
-    weight = sum(r["tokens"] * math.exp(-rate * r["place"] * _BIN) for r in rows if r["kind"] == "text")
-    return rate, math.log(n / weight) if n else 0.0
+    return rate, math.log(texts / (tokens * np.exp(-rate * score)).sum())
 
 
 def _evidence(frame: DataFrame, model: Model, carry: list[str]) -> DataFrame:
@@ -280,7 +273,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     counted = _counted(rows).where(F.col("toxic") + F.col("other") >= MIN_TEXTS)
     found = counted.orderBy((F.col("toxic") + F.col("other")).desc(), "key").limit(FEATURES).toPandas()
     model = Model(found["key"].to_numpy(np.int64).view(np.uint64), _weights(found, share, PRIOR, ERRORS))
-    model.rate, model.log_k = _null(_null_parts(rows, model).collect(), model)
+    model.rate, model.log_k = _null(_null_parts(rows, model).collect())
     graded = _evidence(rows, model, ["toxic"]).groupBy(F.round(F.log1p("evidence"), 1).alias("x")).agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
     model.curve = _curve([(math.expm1(r["x"]), r["t"], r["c"]) for r in graded.collect()])
     return model

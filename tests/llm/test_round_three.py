@@ -126,6 +126,28 @@ def test_toxicity_awkward_rows(spark):
     assert toxicity.scored(table([]), marks(labels)).count() == 0
 
 
+def test_longer_features_keep_the_weight_of_their_beginning():
+    # a word of six levels that only toxic texts hold, and a last level that other texts hold too
+    rows = [(k, k - 1, k, 160, 0) for k in range(4, 10)] + [(10, 9, 10, 4, 0), (11, 9, 10, 60, 60)]
+    found = toxicity.pd.DataFrame(rows, columns=["key", "parent", "level", "toxic", "other"])
+    weight = toxicity._weights(found, 0.1, toxicity.PRIOR, toxicity.ERRORS)
+    assert (np.diff(weight[:7]) >= 0).all() and weight[0] > 3.5 and weight[7] < weight[5] - 1
+
+
+def test_toxicity_of_few_words_in_long_texts(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice(["an", "re", "ti", "ou", "st", "er", "ing", "ble", "nd", "ha"]) for _ in range(rng.randint(1, 4)))
+    rows = []
+    for i in range(1500):
+        text = [word() for _ in range(rng.randint(150, 500))]
+        for _ in range(rng.randint(2, 3) if i % 10 == 0 else 0):
+            text.insert(rng.randrange(len(text)), rng.choice(["scoundrelly", "worthlessly", "disgustedly", "stinkingest"]))
+        rows.append((i, " ".join(text)))
+    found = toxicity.scored(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, 1, int(i % 10 == 0)) for i in range(1500)], "doc_id long, quality int, toxic int")).where("held_out").collect()
+    caught, wrong = ([r["predicted"] for r in found if (r["doc_id"] % 10 == 0) == y] for y in (True, False))
+    assert len(caught) > 30 and np.mean(caught) > 0.9 and np.mean(wrong) < 0.02
+
+
 # ---- conversation repair
 
 
