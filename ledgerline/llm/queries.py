@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import centroids, chat, conversation_repair, decontamination, html_main, mtree, near_dup, packing, pii, quality, substring_dedup, token_files, toxicity
+from . import centroids, chat, conversation_repair, decontamination, html_main, mtree, near_dup, packing, passages, pii, quality, substring_dedup, token_files, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,7 +53,7 @@ def op9_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.digests(_table(spark, sf_dir, "documents"))
+    return substring_dedup.digests(_table(spark, sf_dir, "documents"), words=passages.WORDS)
 
 
 def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,6 +13,9 @@ built by induced sorting; the permuted common prefixes tell which windows start
 is split into shorter spans, down to single windows, which are all equal.  The flags return to all documents that hold the
 string.
 
+Passages.  Strings of LENGTH bytes miss repeats of fewer bytes that still are whole passages.  With `words` each text is told
+the words that stand in passages of so many words that another document has too (passages.py); they are counted, not removed.
+
 Defined results: a null text is empty; texts shorter than LENGTH lose nothing; rows with the same doc_id are separate
 documents; an empty table gives no rows.  Fingerprints have 64 bits (two strings share one with a chance of about 2**-60).
 """
@@ -26,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import passages
 from .store import written
 from .suffix_array import repeated
 from .textbytes import VALUES, buffers, chunks, fingerprints, mix, prefix_sums, ranges
@@ -43,33 +47,7 @@ SPAN_SCHEMA = "anchor long, string long, copies int, lead int, first int, window
 def regions(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
     """(text, first window, windows, anchor's distance from it, anchor fingerprint, string fingerprint) of the maximal runs
     of windows of a text that have the same anchor; positions count from the text's begin."""
-    n, span = len(data), length - gram + 1
-    none = np.zeros(0, np.int64)
-    if n < length:
-        return (none,) * 6
-    sums = prefix_sums(data, VALUES)
-    at = np.arange(n - gram + 1)
-    grams = fingerprints(sums, at, at + gram)
-    key = (grams >> np.uint64(32) << np.uint64(32)) | at.astype(np.uint64)
-    # the least key of each run of `span` grams: of blocks' suffixes and prefixes
-    wide = np.full(-(-len(key) // span) * span, np.uint64((1 << 64) - 1))
-    wide[: len(key)] = key
-    blocks = wide.reshape(-1, span)
-    ahead = np.minimum.accumulate(blocks, axis=1).reshape(-1)
-    behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].reshape(-1)
-    windows = np.maximum(np.diff(offsets) - length + 1, 0)
-    start = ranges(offsets[:-1], windows)
-    if not len(start):
-        return (none,) * 6
-    of = np.repeat(np.arange(len(windows)), windows)
-    least = np.minimum(behind[start], ahead[start + span - 1])
-    anchor = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    new = np.ones(len(start), bool)
-    new[1:] = (anchor[1:] != anchor[:-1]) | (of[1:] != of[:-1])
-    first = np.flatnonzero(new)
-    count = np.diff(np.append(first, len(start)))
-    begin = start[first]
-    return of[first], begin - offsets[of[first]], count, anchor[first] - begin, grams[anchor[first]].view(np.int64), fingerprints(sums, begin, begin + count - 1 + length).view(np.int64)
+    return passages.runs(prefix_sums(data, VALUES), offsets, length, gram)
 
 
 def _regions(docs: DataFrame, length: int, gram: int) -> DataFrame:
@@ -224,11 +202,24 @@ def _ready(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("fp"), *more)
 
 
-def deduplicated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, spans: tuple[int, ...] = SPANS, shard: int = SHARD_BYTES) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept (binary) for every row of docs(doc_id, text)."""
+def _covered(found: list[dict] | None, length: int) -> int:
+    """Items in any of the runs (first window, windows) of windows of so many items."""
+    n, end = 0, 0
+    for first, last in sorted((r["first"], r["first"] + r["count"] - 1 + length) for r in found or ()):
+        n, end = n + max(last - max(first, end), 0), max(last, end)
+    return n
+
+
+def deduplicated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, spans: tuple[int, ...] = SPANS, shard: int = SHARD_BYTES, words: int = 0) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept (binary) for every row of docs(doc_id, text); with `words` also
+    n_passage_words: its words in passages of so many words that stand in another document."""
     ready = _ready(docs)
     runs = _marks(ready, length, gram, spans, shard).select(F.col("doc_id").alias("run_id"), F.col("fp").alias("run_fp"), "runs")
-    both = ready.join(runs, F.col("doc_id").eqNullSafe(F.col("run_id")) & (F.col("fp") == F.col("run_fp")), "left").select("doc_id", "text", "runs")
+    if words:
+        more = passages.repeated(ready, words)
+        runs = runs.join(more, runs["run_id"].eqNullSafe(more["doc_id"]) & (runs["run_fp"] == more["fp"]), "full")
+        runs = runs.select(F.coalesce("run_id", "doc_id").alias("run_id"), F.coalesce("run_fp", "fp").alias("run_fp"), "runs", "passages")
+    both = ready.join(runs, F.col("doc_id").eqNullSafe(F.col("run_id")) & (F.col("fp") == F.col("run_fp")), "left").select("doc_id", "text", "runs", *["passages"] * bool(words))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -236,11 +227,15 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, spans:
                 part = batch.slice(k, 512)
                 raw = [x.encode() for x in part.column(1).to_pylist()]
                 out = [_cut(x, r, length) for x, r in zip(raw, part.column(2).to_pylist())]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) for x in raw], pa.int64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.int64()), pa.array([o[0] for o in out], pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+                columns = [part.column(0), pa.array([len(x) for x in raw], pa.int64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.int64()), pa.array([o[0] for o in out], pa.binary())]
+                if words:
+                    columns.append(pa.array([_covered(x, words) for x in part.column(3).to_pylist()], pa.int64()))
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "n_passage_words"][: len(columns)])
 
-    return both.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return both.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary" + ", n_passage_words long" * bool(words))
 
 
 def digests(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
-    return deduplicated(docs, **options).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256; with `words` also n_passage_words."""
+    out = deduplicated(docs, **options)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), *(c for c in out.columns if c == "n_passage_words"))

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from data import SCHEMA, prose, table, texts, words
 
-from ledgerline.llm import decontamination, near_dup, pii, quality, substring_dedup
+from ledgerline.llm import decontamination, near_dup, passages, pii, quality, queries, substring_dedup
 from ledgerline.llm.store import written
 from ledgerline.llm.suffix_array import permuted_lcp, repeated, suffix_array
 
@@ -300,6 +300,34 @@ def test_repeated_substrings_whole_table(spark, sf):
     assert substring_dedup.digests(table(spark, [])).count() == 0
 
 
+def passage_words(rows, n=50):
+    held, spoken = {}, [words(t) for _, t in rows]
+    for k, w in enumerate(spoken):
+        for i in range(len(w) - n + 1):
+            held.setdefault(tuple(w[i : i + n]), set()).add(k)
+    return [len({p for i in range(len(w) - n + 1) if len(held[tuple(w[i : i + n])]) > 1 for p in range(i, i + n)}) for w in spoken]
+
+
+def test_passages_shorter_than_the_strings(spark):
+    rng = __import__("random").Random(12)
+    passage = prose(rng, 55)[:399].rsplit(" ", 1)[0]
+    n = len(words(passage))
+    assert n >= 50 and len(passage.encode()) < 400
+    rows = [(1, f"{prose(rng, 90)} {passage} {prose(rng, 20)}"), (2, f"{prose(rng, 30)}\n{re.sub('[a-z]', lambda m: m[0].upper(), passage).replace(' ', ', ')}. {prose(rng, 90)}"), (3, f"{passage} -- {prose(rng, 60)} {passage}"), (4, prose(rng, 400))]
+    own = prose(rng, 60)
+    rows += [(5, f"{own} {prose(rng, 9)} {own}"), (6, " ".join(passage.split()[:49]) + " other " + prose(rng, 50)), (7, None), (None, passage), (8, ""), (9, "of " * 300), (9, "of " * 300), (10, "of " * 120 + prose(rng, 70)), (11, "on " * 300)]
+    for extra in ([], texts()):
+        got = substring_dedup.digests(table(spark, rows + extra), words=passages.WORDS).collect()
+        assert sorted((str(r["doc_id"]), r["n_bytes"], r["n_passage_words"]) for r in got) == sorted((str(i), len((t or "").encode()), k) for (i, t), k in zip(rows + extra, passage_words(rows + extra)))
+    assert [k for k in passage_words(rows)][:6] == [n, n, 2 * n, 0, 0, 0]
+
+
+def test_passages_whole_table(spark, sf):
+    df, rows = documents(spark, sf)
+    got = queries.op10_substring_dedup(spark, sf).collect()
+    assert sorted((r["doc_id"], r["n_passage_words"]) for r in got) == sorted((i, k) for (i, _), k in zip(rows, passage_words(rows)))
+
+
 @pytest.mark.parametrize("small", [1024, 0])
 def test_suffix_array_and_common_prefixes(monkeypatch, small):
     monkeypatch.setattr("ledgerline.llm.suffix_array.SMALL_ALPHABET", small)
