@@ -202,12 +202,15 @@ def _ready(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("fp"), *more)
 
 
-def _covered(found: list[dict] | None, length: int) -> int:
-    """Items in any of the runs (first window, windows) of windows of so many items."""
-    n, end = 0, 0
-    for first, last in sorted((r["first"], r["first"] + r["count"] - 1 + length) for r in found or ()):
-        n, end = n + max(last - max(first, end), 0), max(last, end)
-    return n
+def _covered(found: pa.Array, length: int) -> np.ndarray:
+    """Items of each text in any of its runs (first window, windows) of windows of so many items."""
+    flat, of = found.flatten(), np.repeat(np.arange(len(found)), found.value_lengths().fill_null(0).to_numpy())
+    first = flat.field("first").to_numpy() + (of << 40)  # texts one behind the other
+    last = first + flat.field("count").to_numpy() - 1 + length
+    order = np.argsort(first)
+    first, last, of = first[order], last[order], of[order]
+    before = np.append(0, np.maximum.accumulate(last)[:-1]) if len(last) else last
+    return np.bincount(of, np.maximum(last - np.maximum(first, before), 0), len(found)).astype(np.int64)
 
 
 def deduplicated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, spans: tuple[int, ...] = SPANS, shard: int = SHARD_BYTES, words: int = 0) -> DataFrame:
@@ -229,7 +232,7 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, spans:
                 out = [_cut(x, r, length) for x, r in zip(raw, part.column(2).to_pylist())]
                 columns = [part.column(0), pa.array([len(x) for x in raw], pa.int64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.int64()), pa.array([o[0] for o in out], pa.binary())]
                 if words:
-                    columns.append(pa.array([_covered(x, words) for x in part.column(3).to_pylist()], pa.int64()))
+                    columns.append(pa.array(_covered(part.column(3), words)))
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "n_passage_words"][: len(columns)])
 
     return both.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary" + ", n_passage_words long" * bool(words))
