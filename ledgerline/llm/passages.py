@@ -12,13 +12,14 @@ passage; null texts and texts of fewer words hold none.  Fingerprints have 64 bi
 from __future__ import annotations
 
 from collections.abc import Iterator
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import written
+from .store import drop, owned, written
 from .textbytes import LOWER_VALUES, chunks, fingerprints, mix, owners, powers, prefix_sums, ranges, word_bounds
 
 WORDS, GRAM = 50, 12
@@ -99,10 +100,24 @@ def _windows(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Recor
 
 
 def repeated(docs: DataFrame, words: int = WORDS, gram: int = GRAM) -> DataFrame:
-    """doc_id, fp, passages (first window, windows) of the texts of docs(doc_id, text, fp) that hold any."""
-    all_ = written(_regions(docs, words, gram), "passage-regions")
-    often = written(all_.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "passage-anchors")
+    """doc_id, fp, passages (first window, windows) of the texts of docs(doc_id, text, fp) that hold any.  Tables are deleted when what
+    goes on from them is stored."""
+    spark, work = docs.sparkSession, f"passages {uuid4().hex}"
+    with owned(work):
+        all_ = written(_regions(docs, words, gram), "passage-regions")
+        often = written(all_.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "passage-anchors")
     shared = written(all_.join(often, "anchor"), "passage-shared")
+    drop(spark, work)
+    with owned(work):
+        found = _repeats(docs, shared, words)
+    flags = written(found.groupBy("anchor", "string").agg(F.collect_list(F.struct("first", "count")).alias("flags")), "passage-flags")
+    drop(spark, work)
+    back = shared.select("doc_id", "fp", F.col("first").alias("begin"), "anchor", "string").join(flags, ["anchor", "string"])
+    return back.groupBy("doc_id", "fp").agg(F.flatten(F.collect_list(F.transform("flags", lambda x: F.struct((F.col("begin") + x["first"]).alias("first"), x["count"].alias("count"))))).alias("passages"))
+
+
+def _repeats(docs: DataFrame, shared: DataFrame, words: int) -> DataFrame:
+    """anchor, string, first, count: the runs of windows of the strings of the stored regions that stand in several documents."""
     one = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "fp", "first", "windows"))
     kinds = shared.groupBy("anchor", "string").agg(F.least(F.sum((~F.col("again")).cast("int")), F.lit(2)).cast("int").alias("copies"), one.alias("one"))
     kinds = written(kinds.withColumn("doc", F.xxhash64("one.doc_id", "one.fp")), "passage-strings")
@@ -116,6 +131,4 @@ def repeated(docs: DataFrame, words: int = WORDS, gram: int = GRAM) -> DataFrame
     twice = windows.groupBy("window").agg(F.max("copies").alias("most"), F.min("doc").alias("low"), F.max("doc").alias("high")).where("most > 1 OR low <> high").select("window")
     found = windows.where("copies = 1").join(written(twice, "passage-twice"), "window").select("anchor", "string", "first", F.lit(1).alias("count"))
     whole = kinds.where("copies > 1").select("anchor", "string", F.lit(0).alias("first"), F.col("one.windows").alias("count"))
-    flags = written(whole.unionAll(found).groupBy("anchor", "string").agg(F.collect_list(F.struct("first", "count")).alias("flags")), "passage-flags")
-    back = shared.select("doc_id", "fp", F.col("first").alias("begin"), "anchor", "string").join(flags, ["anchor", "string"])
-    return back.groupBy("doc_id", "fp").agg(F.flatten(F.collect_list(F.transform("flags", lambda x: F.struct((F.col("begin") + x["first"]).alias("first"), x["count"].alias("count"))))).alias("passages"))
+    return whole.unionAll(found)

@@ -23,6 +23,7 @@ documents; an empty table gives no rows.  Fingerprints have 64 bits (two strings
 from __future__ import annotations
 
 from collections.abc import Iterator
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import passages
-from .store import written
+from .store import brief_shuffles, drop, owned, written
 from .suffix_array import repeated
 from .textbytes import VALUES, buffers, chunks, fingerprints, mix, prefix_sums, ranges
 
@@ -167,10 +168,23 @@ def _split(strings: DataFrame, length: int, spans: tuple[int, ...], shard: int)
 
 
 def _marks(docs: DataFrame, length: int, gram: int, spans: tuple[int, ...], shard: int) -> DataFrame:
-    """doc_id, fp, runs (first window, windows) of the repeated windows of each text that has any."""
-    all_ = written(_regions(docs, length, gram), "substring-regions")
-    often = written(all_.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "substring-anchors")
+    """doc_id, fp, runs (first window, windows) of the repeated windows of each text that has any.  Tables are deleted when what goes on from
+    them is stored."""
+    spark, work = docs.sparkSession, f"substring {uuid4().hex}"
+    with owned(work):
+        all_ = written(_regions(docs, length, gram), "substring-regions")
+        often = written(all_.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "substring-anchors")
     shared = written(all_.join(often, "anchor"), "substring-shared")
+    drop(spark, work)
+    with owned(work):
+        found = _repeats(docs, shared, length, spans, shard)
+    flags = written(found, "substring-flags")
+    drop(spark, work)
+    return shared.select("doc_id", "fp", "at", "anchor", "string").join(flags, ["anchor", "string"]).groupBy("doc_id", "fp").agg(F.collect_list(F.struct((F.col("at") + F.col("first")).alias("first"), "count")).alias("runs"))
+
+
+def _repeats(docs: DataFrame, shared: DataFrame, length: int, spans: tuple[int, ...], shard: int) -> DataFrame:
+    """anchor, string, first, count: the runs of repeated windows of the strings of the stored regions."""
     one = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "fp", "at", "windows", "lead"))
     kinds = written(shared.groupBy("anchor", "string").agg(F.least(F.count("*"), F.lit(2)).cast("int").alias("copies"), one.alias("one")), "substring-strings")
     whole = kinds.where("copies > 1").select("anchor", "string", F.lit(0).alias("first"), F.col("one.windows").alias("count"))
@@ -181,8 +195,7 @@ def _marks(docs: DataFrame, length: int, gram: int, spans: tuple[int, ...], shar
     strings = docs.join(by_doc, same).select("text", "want").mapInArrow(lambda it: _strings(it, length), STRING_SCHEMA)
     if docs.groupBy("doc_id", "fp").agg(F.count("*").alias("n")).where("n > 1").limit(1).count():
         strings = strings.dropDuplicates(["anchor", "string"])  # rows with the same id and text bring them each
-    flags = written(whole.unionAll(_split(written(strings, "substring-texts"), length, spans, shard)), "substring-flags")
-    return shared.select("doc_id", "fp", "at", "anchor", "string").join(flags, ["anchor", "string"]).groupBy("doc_id", "fp").agg(F.collect_list(F.struct((F.col("at") + F.col("first")).alias("first"), "count")).alias("runs"))
+    return whole.unionAll(_split(written(strings, "substring-texts"), length, spans, shard))
 
 
 def _cut(text: bytes, runs: list[dict] | None, length: int) -> tuple[bytes, int, int]:
@@ -217,9 +230,11 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, spans:
     """doc_id, n_bytes, n_removed, n_spans, kept (binary) for every row of docs(doc_id, text); with `words` also
     n_passage_words: its words in passages of so many words that stand in another document."""
     ready = _ready(docs)
-    runs = _marks(ready, length, gram, spans, shard).select(F.col("doc_id").alias("run_id"), F.col("fp").alias("run_fp"), "runs")
+    with brief_shuffles(docs.sparkSession):
+        runs = _marks(ready, length, gram, spans, shard)
+        more = passages.repeated(ready, words) if words else None
+    runs = runs.select(F.col("doc_id").alias("run_id"), F.col("fp").alias("run_fp"), "runs")
     if words:
-        more = passages.repeated(ready, words)
         runs = runs.join(more, runs["run_id"].eqNullSafe(more["doc_id"]) & (runs["run_fp"] == more["fp"]), "full")
         runs = runs.select(F.coalesce("run_id", "doc_id").alias("run_id"), F.coalesce("run_fp", "fp").alias("run_fp"), "runs", "passages")
     both = ready.join(runs, F.col("doc_id").eqNullSafe(F.col("run_id")) & (F.col("fp") == F.col("run_fp")), "left").select("doc_id", "text", "runs", *["passages"] * bool(words))

@@ -2,16 +2,18 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter
 from itertools import combinations
+from pathlib import Path
 
 import numpy as np
 import pytest
 from data import SCHEMA, prose, table, texts, words
 
 from ledgerline.llm import decontamination, near_dup, passages, pii, quality, queries, substring_dedup
-from ledgerline.llm.store import written
+from ledgerline.llm.store import brief_shuffles, shared_dir, written
 from ledgerline.llm.suffix_array import permuted_lcp, repeated, suffix_array
 
 sha = lambda s: hashlib.sha256(s.encode() if isinstance(s, str) else s).hexdigest()
@@ -300,6 +302,29 @@ def test_repeated_substrings_whole_table(spark, sf):
     assert substring_dedup.digests(table(spark, [])).count() == 0
 
 
+def test_repeated_substrings_leave_little_on_disk(spark):
+    """Of the tables only what the result reads, of the jobs before it no shuffle files; and the result can be read twice."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    local = list(spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString())
+    tables = lambda: {p.name for p in Path(shared_dir(spark).removeprefix("file:"), "ledgerline").glob("*")}
+    shuffles = lambda: {p.name.split("_")[1] for d in local for p in Path(d).rglob("shuffle_*")}
+    there, shuffled, before = tables(), shuffles(), spark.conf.get(setting)
+    out = substring_dedup.digests(table(spark), words=passages.WORDS, shard=1)
+    assert sorted(x.rsplit("-", 1)[0] for x in tables() - there) == ["passage-flags", "passage-shared", "substring-flags", "substring-shared"]
+    for _ in range(50):  # files go in the background
+        if not (left := shuffles() - shuffled):
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(setting) == before
+    for _ in range(2):
+        assert sorted((str(r[0]), *r[1:5]) for r in out.collect()) == cut(texts(), 400)
+    with brief_shuffles(spark):
+        with brief_shuffles(spark):
+            pass
+        assert spark.conf.get(setting) == "true"
+    assert spark.conf.get(setting) == before
+
+
 def passage_words(rows, n=50):
     held, spoken = {}, [words(t) for _, t in rows]
     for k, w in enumerate(spoken):
