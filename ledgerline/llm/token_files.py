@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .store import new_path
+from .store import new_path, small_batches
 from .textbytes import chunks, mix
 from .tokens import encoder, tokenizer_path
 
@@ -99,6 +99,7 @@ def find(h: np.ndarray, seeds: np.ndarray, prints: np.ndarray) -> np.ndarray:
 
 def write(docs: DataFrame, out: str, path: str | None = None, end_id: int = END_ID) -> None:
     """Writes the ids of every text of docs(doc_id, text) to `out`, in ascending doc_id order."""
+    small_batches(docs.sparkSession)  # a range of keys may be one batch else
     path = path or tokenizer_path()
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,6 +179,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 
 def read(spark: SparkSession, out: str) -> DataFrame:
     """The records, each with the number of ids in all records before it (`ids_before`)."""
+    small_batches(spark)  # a record is a row of a megabyte or more
     rows = spark.read.schema(SHARD_SCHEMA).parquet(out)
     totals = rows.groupBy("part").agg(F.sum("n_ids").alias("n"))
     # one row for each task that wrote

@@ -16,8 +16,9 @@ import numpy as np
 from .textbytes import INK_BYTE, LOWER_VALUES, fingerprints, prefix_sums, ranges, word_bounds
 
 WORD_FILE = "word_bpe_49k.json"
-#: Words whose ids a worker process keeps (about 30 bytes each), and pieces (about 200 bytes each).
-MEMO_WORDS, MEMO_PIECES = 2_000_000, 300_000
+#: What a worker process keeps: words (17 bytes each) with their ids (2 or 4 bytes each), and pieces (about 170 bytes each).
+#: A single chunk may go beyond.
+MEMO_WORDS, MEMO_IDS, MEMO_PIECES = 1_000_000, 6_000_000, 150_000
 
 _SIMPLE = re.compile("[!-~À-ÖØ-öø-ÿ]*").fullmatch
 _PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+").findall
@@ -49,49 +50,65 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.pieces: dict[str, list[int]] = {}
-        self._forget()
-
-    def _forget(self) -> None:
-        self.keys, self.start, self.length = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pieces: dict[str, bytes] = {}
+        self.keys, self.start, self.length = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.again = np.zeros(0, bool)  # words met in another chunk since the last time that some were forgotten
         self.flat = np.zeros(0, self.dtype)
 
-    def _piece(self, piece: str) -> list[int]:
+    def _forget(self) -> None:
+        """Keeps the words met again, or none if these alone fill half of the memo."""
+        kept = np.flatnonzero(self.again)
+        if len(kept) > MEMO_WORDS // 2 or int(self.length[kept].sum()) > MEMO_IDS // 2:
+            kept = kept[:0]
+        length = self.length[kept]
+        self.flat = self.flat[ranges(self.start[kept].astype(np.int64), length.astype(np.int64))]
+        self.keys, self.start, self.length = self.keys[kept], (np.cumsum(length) - length).astype(np.int32), length
+        self.again = np.zeros(len(kept), bool)
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.dtype).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
         ids = self.pieces.get(piece)
         if ids is None:
             seen = piece if piece.isascii() else "".join(map(_LETTERS.__getitem__, piece.encode()))
-            ids = [t.id for t in self.model.tokenize(seen)]
+            ids = self._bytes([t.id for t in self.model.tokenize(seen)])
             if len(self.pieces) >= MEMO_PIECES:
                 self.pieces.clear()
             self.pieces[piece] = ids
         return ids
 
-    def word(self, word: str) -> list[int]:
+    def word(self, word: str) -> bytes:
         if _SIMPLE(word) and "<|" not in word:
             found = _PIECES(word.lower())
-            return self._piece(found[0]) if len(found) == 1 else [i for p in found for i in self._piece(p)]
-        return self.tokenizer.encode(word, add_special_tokens=False).ids
+            return self._piece(found[0]) if len(found) == 1 else b"".join(map(self._piece, found))
+        return self._bytes(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
     def _learn(self, keys: np.ndarray, words: list[str]) -> None:
         ids = [self.word(w) for w in words]
-        length = np.fromiter(map(len, ids), np.int64, len(ids))
+        length = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
+        new = np.frombuffer(b"".join(ids), self.dtype)
+        if len(self.flat) + len(new) >= 1 << 31:
+            self.start = self.start.astype(np.int64)
         start = np.cumsum(length) - length + len(self.flat)
-        self.flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), self.dtype, int(length.sum()))])
+        self.flat = np.concatenate([self.flat, new])
         at = np.searchsorted(self.keys, keys)
         self.keys = np.insert(self.keys, at, keys)
         self.start, self.length = np.insert(self.start, at, start), np.insert(self.length, at, length)
+        self.again = np.insert(self.again, at, False)
 
     def encode_chunk(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, each followed by end_id; first, with text i at first[i]:first[i + 1])."""
         start, end, of_text = word_bounds(data, offsets, INK_BYTE)
         key = fingerprints(prefix_sums(data, LOWER_VALUES), start, end)
         distinct, where, each = np.unique(key, return_index=True, return_inverse=True)
-        if len(self.keys) + len(distinct) > MEMO_WORDS:
+        if len(self.keys) + len(distinct) > MEMO_WORDS or len(self.flat) > MEMO_IDS:
             self._forget()
         at = np.searchsorted(self.keys, distinct)
         known = np.zeros(len(distinct), bool)
         inside = at < len(self.keys)
         known[inside] = self.keys[at[inside]] == distinct[inside]
+        self.again[at[known]] = True
         if not known.all():
             new = np.flatnonzero(~known)
             raw = data.tobytes()

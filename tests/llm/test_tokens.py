@@ -1,12 +1,14 @@
 """Packing and token files against the tokenizers library, one text at a time."""
 
+import tracemalloc
 import zlib
 
 import numpy as np
 import pytest
 from data import table, texts
 
-from ledgerline.llm import packing, token_files
+from ledgerline.llm import packing, token_files, tokens
+from ledgerline.llm.textbytes import powers
 from ledgerline.llm.tokens import tokenizer_path
 
 
@@ -108,3 +110,57 @@ def test_one_key_in_many_records(spark, tmp_path):
     assert [r[2] for r in got] == [sum(x[3] for x in got[:k]) for k in range(len(got))]
     found = token_files.lookup(records, spark.createDataFrame([(7,), (8,), (3,), (99,)], "doc_id long")).collect()
     assert sorted(r["doc_id"] for r in found) == [3, 7, 8]
+
+
+def test_workers_get_small_batches(spark, tmp_path, monkeypatch):
+    """A range of keys of 40 MB goes to its worker in parts, and so do the records that are read back."""
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    docs = spark.range(400).selectExpr("id AS doc_id", "repeat(concat('word', id, ' '), 12000) AS text").coalesce(1)
+    out, real, rows = str(tmp_path / "files"), token_files.chunks, token_files._rows
+
+    def seen(column):
+        if column.nbytes > 10 << 20:
+            raise ValueError(f"a batch of {column.nbytes} bytes")
+        yield from real(column)
+
+    def seen_rows(batches):
+        for batch in batches:
+            if batch.nbytes > 14 << 20:
+                raise ValueError(f"records of {batch.nbytes} bytes")
+            yield from rows([batch])
+
+    monkeypatch.setattr(token_files, "chunks", seen)
+    token_files.write(docs, out)
+    monkeypatch.setattr(token_files, "_rows", seen_rows)
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    got = token_files.documents(token_files.read(spark, out)).selectExpr("count(*)", "min(n_tokens) > 12000").first()
+    assert tuple(got) == (400, True)
+
+
+def _chunk(words):
+    data = " ".join(words).encode()
+    return np.frombuffer(data, np.uint8), np.array([0, len(data)])
+
+
+def test_the_memo_of_words_is_bounded_by_ids_and_small(monkeypatch):
+    """Few words may hold many ids; and what is kept of a word is little more than its ids."""
+    monkeypatch.setattr(tokens, "MEMO_IDS", 20_000, raising=False)
+    rng = np.random.default_rng(3)
+    enc = tokens.WordEncoder(tokenizer_path())
+    for _ in range(12):
+        words = ["again", *("".join(map(chr, rng.integers(97, 123, 3000))) for _ in range(5))]
+        got, _ = enc.encode_chunk(*_chunk(words), 2)
+        assert got.tolist() == encode(" ".join(words), 2)
+        assert len(enc.flat) < 20_000 + 15_000
+    enc._forget()
+    assert len(enc.keys) == 1 and enc.flat.tolist() == encode("again", 2)[:-1]  # what is met again stays
+    monkeypatch.setattr(tokens, "MEMO_IDS", 6_000_000)
+    enc = tokens.WordEncoder(tokenizer_path())
+    words = sorted({"".join(map(chr, rng.integers(97, 123, 9))) for _ in range(20_000)})
+    powers(1 << 19), powers(1 << 19, True)  # tables of the process, not of the words
+    tracemalloc.start()
+    try:
+        enc.encode_chunk(*_chunk(words), 2)
+        assert tracemalloc.get_traced_memory()[0] < 250 * len(words)
+    finally:
+        tracemalloc.stop()
