@@ -155,9 +155,22 @@ def developer_groups(t: Tables):
 
 
 def _group_tables(t: Tables) -> tuple[DataFrame, ...]:
-    read = lambda what: t.spark.sql(f"WITH {_GROUPS} {what}".replace("FROM supplier", "FROM {supplier}").replace("JOIN nation ", "JOIN {nation} ").replace("FROM part,", "FROM {part},"), supplier=t.supplier, nation=t.nation, part=t.part)
-    aliases = t.nation.select(F.col("n_name").alias("grp"), F.col("n_name").alias("alias"))
-    return read("SELECT * FROM developers"), aliases, read("SELECT * FROM seeds"), read("SELECT * FROM projects"), read("SELECT * FROM hand")
+    """developers, aliases, seeds, projects and hand as in _GROUPS, join by join: projects and seeds are stored, else conditions on
+    seeds move below the join of parts and suppliers, which then pairs them all."""
+    n, k = t.supplier.count(), F.col("dev")
+    s = lake.stored(t.supplier.join(t.nation, F.col("n_nationkey") == F.col("s_nationkey")).select(F.col("s_suppkey").alias("dev"), F.col("s_nationkey").alias("nk"), "n_name"))
+    both = s.join(t.nation.select(F.col("n_nationkey").alias("after"), F.col("n_name").alias("other")), F.col("after") == (F.col("nk") + 1) % 25)
+    text = lambda *xs: F.concat(*[x if not isinstance(x, str) else F.lit(x) for x in xs])
+    nation, dev, cid = F.col("n_name"), k.cast("string"), F.col("cid").cast("string")
+    firm = F.when(k % 6 == 0, text(nation, " Estates")).when(k % 6 == 1, text("The ", nation, " Fund")).when(k % 6 == 2, text("First ", nation, " and ", F.col("other"))).otherwise(text("Firm ", dev))
+    parts = t.part.select(F.col("p_partkey").alias("cid"), (F.col("p_partkey") % F.nullif(F.lit(n), F.lit(0))).alias("dev"))
+    made = parts.join(s, "dev").where((k % 6 != 3) | (F.col("cid") < n))
+    title = F.when((F.col("cid") < n) & (k % 6 == 3), text("Gardens of ", nation, " ", dev)).when(F.col("cid") % 7 == 0, text("Twin ", (F.col("cid") % 30).cast("string"))).otherwise(text("Plot ", cid))
+    projects = lake.stored(made.select("cid", "dev", title.alias("name")))
+    own = projects.join(s, "dev").where((F.col("cid") % 3 == 0) | (k % 6 == 4) | ((k % 6 == 3) & (k % 4 < 3))).select(nation.alias("grp"), "name")
+    seeds = lake.stored(own.union(projects.join(both, "dev").where((k % 6 == 2) & (F.col("cid") % 5 == 0)).select("other", "name")).distinct())
+    hand = s.where("dev % 23 = 7").select(nation.alias("grp"), "dev", F.when(k % 2 == 1, "accepted").otherwise("rejected").alias("verdict"))
+    return both.select("dev", firm.alias("name")), t.nation.select(nation.alias("grp"), nation.alias("alias")), seeds, projects, hand
 
 
 @query("K67", f"""WITH {_GROUPED}, members AS (SELECT dev, min(grp) AS grp FROM final WHERE verdict = 'accepted' OR (verdict IS NULL AND r <= 5 AND claims = 1) GROUP BY dev HAVING count(*) = 1),

@@ -6,6 +6,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ledgerline.operators import anchors, groups
+from ledgerline.plans import identities, registry  # noqa: F401
 
 SCHEMA = "item long, bucket string, at long, size double, price double, furnished string, lat double, lon double"
 
@@ -71,3 +72,8 @@ def test_groups(spark):
     more = spark.createDataFrame([*seeds, ("h", "Reef")], "grp string, name string")
     placed = groups.attributed(spark.createDataFrame(sales, "id long, cid long, name string"), members, spark.createDataFrame(projects, "cid long, name string, dev long"), more, spark.createDataFrame(aliases, "grp string, alias string"))
     assert {r["id"]: (r["grp"], r["route"]) for r in placed.collect()} == {1: ("h", "key"), 2: ("h", "name"), 3: ("h", "name"), 4: ("h", "portfolio"), 5: (None, None), 6: (None, None), 7: (None, None), 8: (None, None)}
+
+
+def test_no_parts_are_paired_with_suppliers(spark, sf):
+    plan = registry.QUERIES["developer_groups"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
