@@ -79,20 +79,26 @@ def attributed(sales: DataFrame, members: DataFrame, projects: DataFrame, seeds:
     """id, grp, route of sales(id, cid, name): by the developer of the register row that the sale is keyed to; else by that of
     the only developer whose projects have the name; else by the only group in whose portfolio the name begins, unless the
     name carries an alias of another group.  members(grp, dev) are accepted ones; a developer of several groups attributes
-    nothing; a null grp is a sale that no route places."""
-    one = members.groupBy("dev").agg(F.count("*").alias("n"), F.min("grp").alias("grp")).where("n = 1").drop("n")
-    by_key = sales.join(projects.select("cid", "dev"), "cid").join(one, "dev").select("id", "grp", F.lit("key").alias("route"))
-    rest = sales.join(by_key.select("id"), "id", "left_anti").select("id", words(F.col("name")).alias("k"), "name").where(F.size("k") > 0)
+    nothing; a null grp is a sale that no route places.
+
+    Only key and name of a sale decide, so each pair of the two is asked once and its sales take the answer."""
+    from ..sources.lake import stored
+
+    asked = stored(sales.select("cid", "name").distinct().withColumn("asked", F.monotonically_increasing_id()))
+    one = stored(members.groupBy("dev").agg(F.count("*").alias("n"), F.min("grp").alias("grp")).where("n = 1").drop("n"))
+    by_key = asked.join(projects.select("cid", "dev"), "cid").join(one, "dev").select("asked", "grp", F.lit("key").alias("route"))
+    rest = asked.join(by_key.select("asked"), "asked", "left_anti").select("asked", words(F.col("name")).alias("k"), "name").where(F.size("k") > 0)
     named = projects.where("dev IS NOT NULL").groupBy(words(F.col("name")).alias("k")).agg(F.countDistinct("dev").alias("n"), F.min("dev").alias("dev"))
-    by_name = rest.join(named.where("n = 1"), "k").join(one, "dev").select("id", "grp", F.lit("name").alias("route"))
+    by_name = rest.join(named.where("n = 1"), "k").join(one, "dev").select("asked", "grp", F.lit("name").alias("route"))
     # what the register gives to a developer of another group or of none is not the portfolio's to give
-    left = rest.join(named.select("k"), "k", "left_anti")
+    left = stored(rest.join(named.select("k"), "k", "left_anti"))
     starts = seeds.select("grp", words(F.col("name")).alias("k")).where(F.size("k") > 0).distinct()
     sizes = [r[0] for r in starts.select(F.size("k")).distinct().collect()]  # a few numbers
-    heads = left.select("id", "name", F.explode(F.array(*[F.slice("k", 1, n) for n in sizes]) if sizes else F.array().cast("array<array<string>>")).alias("k")).distinct()
-    met = heads.join(starts, "k").select("id", "grp").distinct()
-    other = carried(left.select("id", "name"), aliases).select("id", F.col("grp").alias("alias_of"))
-    barred = met.join(other, "id").where("alias_of <> grp").select("id", "grp").distinct()
-    kept = met.join(barred, ["id", "grp"], "left_anti").groupBy("id").agg(F.count("*").alias("n"), F.min("grp").alias("grp")).where("n = 1")
-    found = by_key.unionByName(by_name).unionByName(kept.select("id", "grp", F.lit("portfolio").alias("route")))
-    return sales.select("id").join(found, "id", "left")
+    heads = left.select("asked", F.explode(F.array(*[F.slice("k", 1, n) for n in sizes]) if sizes else F.array().cast("array<array<string>>")).alias("k")).distinct()
+    met = heads.join(starts, "k").select("asked", "grp").distinct()
+    other = carried(left.select(F.col("asked").alias("id"), "name"), aliases).select(F.col("id").alias("asked"), F.col("grp").alias("alias_of"))
+    barred = met.join(other, "asked").where("alias_of <> grp").select("asked", "grp").distinct()
+    kept = met.join(barred, ["asked", "grp"], "left_anti").groupBy("asked").agg(F.count("*").alias("n"), F.min("grp").alias("grp")).where("n = 1")
+    found = by_key.unionByName(by_name).unionByName(kept.select("asked", "grp", F.lit("portfolio").alias("route")))
+    answers = asked.join(found, "asked").select(F.col("cid").alias("c"), F.col("name").alias("m"), "grp", "route")
+    return sales.join(answers, F.col("cid").eqNullSafe(F.col("c")) & F.col("name").eqNullSafe(F.col("m")), "left").select("id", "grp", "route")

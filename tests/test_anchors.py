@@ -77,3 +77,14 @@ def test_groups(spark):
 def test_no_parts_are_paired_with_suppliers(spark, sf):
     plan = registry.QUERIES["developer_groups"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_a_sale_is_placed_by_its_key_and_name_alone(spark):
+    """Two thousand sales of three names, a null key and name among them; answers equal one by one, plans ask each name once."""
+    sales = [(i, *[(100, None), (None, "Reef Tower"), (None, None), (7, "Twin")][i % 4]) for i in range(2000)]
+    frame = lambda rows, schema: spark.createDataFrame(rows, schema)
+    projects = frame([(100, "Bay One", 1), (109, "Twin", 2), (110, "Twin", 1)], "cid long, name string, dev long")
+    got = groups.attributed(frame(sales, "id long, cid long, name string"), frame([("h", 1)], "grp string, dev long"), projects, frame([("h", "Reef")], "grp string, name string"), frame([("h", "Heron")], "grp string, alias string"))
+    assert {r["id"]: (r["grp"], r["route"]) for r in got.collect()} == {i: [("h", "key"), ("h", "portfolio"), (None, None), (None, None)][i % 4] for i in range(2000)}
+    # sales are read for one join alone, the rest is done on their distinct keys and names
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD [id#") == 1
