@@ -8,7 +8,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.functions import geo, keys
+from ledgerline.functions import geo, keys, roles
 from ledgerline.operators import contracts, linkage, rows, space, stats
 from ledgerline.plans import contracts as _contracts, feeds, identity, market, more, registers, registry, relational  # noqa: F401
 from ledgerline.sources import lake, readers
@@ -205,3 +205,39 @@ def test_roles(spark):
     register = spark.createDataFrame([("Heron Court",), ("heron court",), ("Court",), ("A b c d e f g h i j",), (None,)], "name string")
     names = spark.createDataFrame([(1, "Bakery in HERON  court!"), (2, "Heron Court"), (3, None), (4, "The a B c d e f g h i j shop"), (5, "a b c d e f g h i"), (6, "Courtyard of nothing")], "a int, name string")
     assert {r["a"]: r["parent"] for r in roles.parents(names, register).collect()} == {1: "Heron Court", 2: "Court", 3: None, 4: "A b c d e f g h i j", 5: None, 6: None}
+
+
+def test_probabilistic_links_compare_each_pair_of_names_once(spark, sf):
+    parts = spark.read.parquet(f"{sf}/part.parquet").collect()
+    bayes = lambda x, m, u: m[x] / u[x]
+    want = {}
+    for x in (r for r in parts if r["p_partkey"] % 20 == 0):
+        found = []
+        for y in (r for r in parts if r["p_name"].split(" ")[0] == x["p_name"].split(" ")[0]):
+            j = keys.jaro_winkler_scores([x["p_name"] + "s"], [y["p_name"]])[0]
+            odds = bayes(sum(j < c for c in (0.95, 0.88, 0.8)), [0.8, 0.12, 0.05, 0.03], [0.01, 0.02, 0.05, 0.92]) * bayes(int(x["p_size"] % 5 != y["p_size"] % 5), [0.6, 0.4], [0.2, 0.8]) / (len(parts) - 1)
+            found += [(-round(odds / (1 + odds), 9), y["p_partkey"])] if odds / (1 + odds) >= 0.05 else []
+        if found:
+            want[x["p_partkey"]] = (min(found)[1], round(-min(found)[0], 6))
+    got = registry.QUERIES["probabilistic_links"](spark, sf)
+    assert {r["a"]: (r["b"], r["p"]) for r in got.collect()} == want
+    below = got._jdf.queryExecution().optimizedPlan().toString().split("ArrowEvalPython")[1]
+    assert below.count("Aggregate") >= 2, "names are compared row by row"
+
+
+def test_one_edit_names_of_equal_names_and_late_keys(spark, tmp_path):
+    """Equal names are no edit apart, a name of many customers is compared once, and the first key is below 100000, as in the SQL."""
+    rows = [(1, "abc", 1), (2, "abc", 1), (3, "abd", 1), (4, "abd", 2), (200000, "abe", 1), (300000, "abf", 1), (99999, "bc", 1), (6, None, 1), (7, "abd", None)]
+    spark.createDataFrame(rows, "c_custkey long, c_name string, c_nationkey int").write.parquet(f"{tmp_path}/customer.parquet")
+    duckdb.sql(f"CREATE OR REPLACE VIEW customer AS SELECT * FROM '{tmp_path}/customer.parquet/*.parquet'")
+    want = duckdb.sql(registry.ORACLES["one_edit_names"]).fetchall()
+    assert len(want) > 5
+    assert sorted(map(tuple, registry.QUERIES["one_edit_names"](spark, str(tmp_path)).select("a", "b").collect())) == sorted(want)
+
+
+def test_a_name_of_many_rows_has_its_parent_looked_up_once(spark):
+    names = spark.createDataFrame([(i, ["Olive Diner at Red Ring", "Red Ring", None][i % 3]) for i in range(300)], "a int, name string")
+    got = roles.parents(names, spark.createDataFrame([("red ring",), ("ring",), ("at",)], "name string"))
+    assert sorted(map(tuple, got.collect())) == [(i, ["red ring", "ring", None][i % 3]) for i in range(300)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in plan.rpartition("Generate")[2].split("LogicalRDD")[0], "words are taken from every row"
