@@ -105,12 +105,13 @@ def parents(names: DataFrame, register: DataFrame, longest: int = 8) -> DataFram
     (ties: the first in order); null if there is none.
 
     Runs of words are joined with the register's names, so a register of any size will do.  Case and marks do not count;
-    register names of more than `longest` words are compared by their runs of that length and then in full."""
+    register names of more than `longest` words are compared by their runs of that length and then in full.  A name that many
+    rows have is looked up once."""
     known = register.select(F.col("name").alias("parent"), _words(F.col("name")).alias("full")).where(F.size("full") > 0).groupBy("full").agg(F.min("parent").alias("parent"))
     known = known.withColumn("run", F.slice("full", 1, longest))
-    w = names.select("a", _words(F.coalesce("name", F.lit(""))).alias("w")).where(F.size("w") > 1)
-    starts = w.select("a", "w", F.explode(F.sequence(F.lit(1), F.size("w"))).alias("i"))
-    runs = starts.select("a", "w", "i", F.explode(F.transform(F.sequence(F.lit(1), F.least(F.lit(longest), F.size("w") - F.col("i") + 1)), lambda k: F.slice("w", F.col("i"), k))).alias("run"))
+    w = names.select("name").where("name IS NOT NULL").distinct().select("name", _words(F.col("name")).alias("w")).where(F.size("w") > 1)
+    starts = w.select("name", "w", F.explode(F.sequence(F.lit(1), F.size("w"))).alias("i"))
+    runs = starts.select("name", "w", "i", F.explode(F.transform(F.sequence(F.lit(1), F.least(F.lit(longest), F.size("w") - F.col("i") + 1)), lambda k: F.slice("w", F.col("i"), k))).alias("run"))
     held = runs.join(known, "run").where((F.slice("w", F.col("i"), F.size("full")) == F.col("full")) & (F.size("full") < F.size("w")))
-    best = first_rows(held, ["a"], [F.size("full").desc(), F.length("parent").desc(), F.col("parent")]).select("a", "parent")
-    return names.select("a").join(best, "a", "left")
+    best = first_rows(held, ["name"], [F.size("full").desc(), F.length("parent").desc(), F.col("parent")]).select("name", "parent")
+    return names.select("a", "name").join(best, "name", "left").select("a", "parent")
