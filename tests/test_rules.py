@@ -241,3 +241,9 @@ def test_a_name_of_many_rows_has_its_parent_looked_up_once(spark):
     assert sorted(map(tuple, got.collect())) == [(i, ["red ring", "ring", None][i % 3]) for i in range(300)]
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate" in plan.rpartition("Generate")[2].split("LogicalRDD")[0], "words are taken from every row"
+
+
+def test_place_spine_pairs_nothing(spark, sf):
+    plan = registry.QUERIES["place_spine"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    for count in plan.split("Aggregate"):
+        assert not ("c_custkey" in count and "s_suppkey" in count), "customers are paired with suppliers"
