@@ -26,7 +26,8 @@ def field_answers(claims: DataFrame, amenities: DataFrame) -> DataFrame:
 
     The nearest amenity of the kind, of public ones alone where the claim says public, must be as far as claimed (within SHARE
     or METRES; a null claim is any distance that the widest claim allows) and of the claimed access.  Beyond the widest
-    distance that any claim allows nothing is looked for: metres is null and the claim does not hold."""
+    distance that any claim allows nothing is looked for: metres is null and the claim does not hold.  Claims of one place are
+    looked up once, and of the amenities of a place the first stands for all."""
     widest = claims.agg(F.max(F.col("claimed") + F.greatest(F.lit(METRES), SHARE * F.col("claimed"))).alias("m")).first()["m"] or METRES
     kinds = sorted((tuple(r) for r in claims.select("kind", "access").where("kind IS NOT NULL").distinct().collect()), key=str)  # a few
     found = None
@@ -34,8 +35,10 @@ def field_answers(claims: DataFrame, amenities: DataFrame) -> DataFrame:
         asked = claims.where((F.col("kind") == kind) & F.col("access").eqNullSafe(F.lit(access)))
         there = amenities.where(F.col("kind") == kind)
         there = there.where("access = 'public'") if access == "public" else there
-        near = space.nearest(asked, there, float(widest)).join(there.select("b", F.col("access").alias("is")), "b")
-        one = asked.join(near.select("a", "metres", "is"), "a", "left")
+        there = there.where("b IS NOT NULL").groupBy("lon", "lat").agg(F.min(F.struct("b", "access")).alias("b"))
+        places = asked.where("lon IS NOT NULL AND lat IS NOT NULL").select(F.struct("lon", "lat").alias("a"), "lon", "lat").distinct()
+        near = space.nearest(places, there, float(widest)).select("a.lon", "a.lat", "metres", F.col("b.access").alias("is"))
+        one = asked.join(near, ["lon", "lat"], "left").select(*claims.columns, "metres", "is")
         found = one if found is None else found.unionByName(one)
     if found is None:
         found = claims.withColumn("metres", F.lit(None).cast("double")).withColumn("is", F.lit(None).cast("string"))

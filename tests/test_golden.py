@@ -45,3 +45,13 @@ def test_extracts(spark):
     df = lambda rows: spark.createDataFrame(rows, "k string, v int")
     was, now = df([("a", 1), ("a", 1), ("b", 1), ("c", 1), (None, 2), ("d", 1)]), df([("a", 1), ("a", 1), ("b", 2), ("c", 1), ("c", 1), (None, 2), ("e", 1)])
     assert {r["k"]: r["reason"] for r in golden.extracts_compared(was, now, "k").collect()} == {"a": "same", "b": "content", "c": "count", None: "same", "d": "count", "e": "count"}
+
+
+def test_claims_of_a_place_are_looked_up_once(spark):
+    """Two hundred claims at two places, amenities at one place: the first amenity stands for all of a place, claims are placed before they are paired."""
+    claims = spark.createDataFrame([(i, [55.0, 55.01, None][i % 3], 25.0, "park", "members", 1000.0) for i in range(200)], "a int, lon double, lat double, kind string, access string, claimed double")
+    amenities = spark.createDataFrame([(b, 55.005, 25.0, "park", "members" if b == 4 else "public") for b in range(4, 90)], "b int, lon double, lat double, kind string, access string")
+    got = golden.field_answers(claims, amenities)
+    assert {r["a"]: (r["metres"] and round(r["metres"]), r["holds"]) for r in got.collect()} == {i: [(504, False), (504, False), (None, False)][i % 3] for i in range(200)}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in plan.rpartition("Generate")[2].split("LogicalRDD")[0], "every claim is paired"
