@@ -88,3 +88,21 @@ def test_a_sale_is_placed_by_its_key_and_name_alone(spark):
     assert {r["id"]: (r["grp"], r["route"]) for r in got.collect()} == {i: [("h", "key"), ("h", "portfolio"), (None, None), (None, None)][i % 4] for i in range(2000)}
     # sales are read for one join alone, the rest is done on their distinct keys and names
     assert got._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD [id#") == 1
+
+
+def test_islands_of_a_large_bucket_need_no_rounds(spark, tmp_path, monkeypatch):
+    """Forty places far apart share a bucket that no task may hold; each of them is replayed by itself."""
+    rng = random.Random(3)
+    rows = [(i, "hot", rng.randint(0, 90), float(rng.randint(30, 1500)), float(rng.randint(900, 90_000)), rng.choice([None, "yes", "no"]), 25 + i % 40 * 0.004, 55 + i % 40 * 0.0002) for i in range(600)]
+
+    def store(df):
+        path = str(tmp_path / uuid.uuid4().hex)
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
+    def rounds(*_):
+        raise AssertionError("the bucket went by rounds")
+
+    monkeypatch.setattr(anchors, "_rounds", rounds)
+    got = {r["item"]: r["anchor"] for r in anchors.clusters(spark.createDataFrame(rows, SCHEMA).repartition(4), store, True, 90).collect()}
+    assert got == plain(rows, True)
