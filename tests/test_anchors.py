@@ -3,10 +3,11 @@
 import random
 import uuid
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from ledgerline.operators import anchors, groups
-from ledgerline.plans import identities, registry  # noqa: F401
+from ledgerline.plans import identities, more, registry  # noqa: F401
 
 SCHEMA = "item long, bucket string, at long, size double, price double, furnished string, lat double, lon double"
 
@@ -106,3 +107,22 @@ def test_islands_of_a_large_bucket_need_no_rounds(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(anchors, "_rounds", rounds)
     got = {r["item"]: r["anchor"] for r in anchors.clusters(spark.createDataFrame(rows, SCHEMA).repartition(4), store, True, 90).collect()}
     assert got == plain(rows, True)
+
+
+def test_small_buckets_share_a_pack(spark, sf):
+    """Groups of Python are packs of rows, not one a bucket, and a pack's buckets are replayed side by side."""
+    plan = registry.QUERIES["anchored_clusters"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapGroupsInPandas [pack" in plan
+    rng = random.Random(4)
+    rows = sorted((rng.randint(0, 60), i, float(rng.randint(30, 1500)), float(rng.randint(900, 30_000))) for i in range(900))
+    for larger in (True, False):
+        unit, item, size, price = map(np.array, zip(*rows))
+        none = np.full(900, -1)
+        got, found, want = anchors.replay(unit, size, price, none, size, size, False, larger), {}, []
+        for i, (u, _, s, p) in enumerate(rows):
+            of = (lambda a, b: max(a, b)) if larger else (lambda a, b: a)
+            a = next((a for a in found.get(u, []) if abs(size[a] - s) <= max(0.03 * of(size[a], s), 25) and abs(price[a] - p) <= max(0.02 * of(price[a], p), 2000)), i)
+            if a == i:
+                found.setdefault(u, []).append(i)
+            want.append(a)
+        assert got.tolist() == want
