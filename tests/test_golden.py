@@ -55,3 +55,11 @@ def test_claims_of_a_place_are_looked_up_once(spark):
     assert {r["a"]: (r["metres"] and round(r["metres"]), r["holds"]) for r in got.collect()} == {i: [(504, False), (504, False), (None, False)][i % 3] for i in range(200)}
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate" in plan.rpartition("Generate")[2].split("LogicalRDD")[0], "every claim is paired"
+
+
+def test_golden_gate_looks_up_places_not_claims(spark, sf):
+    from ledgerline.plans import gatekeeping  # noqa: F401
+    from ledgerline.plans.registry import QUERIES
+
+    plan = QUERIES["golden_gate"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in plan.rpartition("Generate")[2].split("Relation")[0], "every claim is paired"
