@@ -111,7 +111,10 @@ def parents(names: DataFrame, register: DataFrame, longest: int = 8) -> DataFram
     known = known.withColumn("run", F.slice("full", 1, longest))
     w = names.select("name").where("name IS NOT NULL").distinct().select("name", _words(F.col("name")).alias("w")).where(F.size("w") > 1)
     starts = w.select("name", "w", F.explode(F.sequence(F.lit(1), F.size("w"))).alias("i"))
-    runs = starts.select("name", "w", "i", F.explode(F.transform(F.sequence(F.lit(1), F.least(F.lit(longest), F.size("w") - F.col("i") + 1)), lambda k: F.slice("w", F.col("i"), k))).alias("run"))
-    held = runs.join(known, "run").where((F.slice("w", F.col("i"), F.size("full")) == F.col("full")) & (F.size("full") < F.size("w")))
+    upto = F.sequence(F.lit(1), F.least(F.lit(longest), F.size("w") - F.col("i") + 1))
+    run = lambda k: F.struct(F.slice("w", F.col("i"), k).alias("run"), F.when(k == longest, F.slice("w", F.col("i"), F.size("w"))).alias("rest"))
+    runs = starts.select("name", F.size("w").alias("n"), F.explode(F.transform(upto, run)).alias("r")).select("name", "n", "r.run", "r.rest")
+    whole = (F.size("full") <= longest) | (F.slice("rest", F.lit(1), F.size("full")) == F.col("full"))
+    held = runs.join(known, "run").where(whole & (F.size("full") < F.col("n"))).select("name", "parent", "full")
     best = first_rows(held, ["name"], [F.size("full").desc(), F.length("parent").desc(), F.col("parent")]).select("name", "parent")
     return names.select("a", "name").join(best, "name", "left").select("a", "parent")
